@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Where the public vocabulary files lie; a parameter of the operators, never copied into the repository.
 WORD_BPE = "word_bpe_49k.json"
@@ -22,6 +21,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lectern.llm.toxicity import judge
+
+    return judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lectern.llm.mixing import copies
+
+    mixed = copies(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lectern.llm.simhash import near_duplicates
 
@@ -35,7 +47,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_simhash_near_dedup, op10_packing)
+    f.__name__: f for f in (op2_toxicity, op3_mixing, op6_simhash_near_dedup, op10_packing)
 }
 
 #: DuckDB SQL for those queries that SQL can express.
