@@ -1,0 +1,72 @@
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from lectern.llm.packing import Packer, WordTokenizer, pack
+from lectern.llm.queries import WORD_BPE, tokenizer_path
+
+
+@pytest.fixture(scope="module")
+def library():
+    t = Tokenizer.from_file(tokenizer_path(WORD_BPE))
+    t.encode_special_tokens = True
+    return t
+
+
+def test_ids_equal_the_librarys(library, odd_docs):
+    own = WordTokenizer(tokenizer_path(WORD_BPE), limit=50)
+    texts = [r.text for r in odd_docs.select("text").distinct().collect() if r.text]
+    texts += ["".join(map(chr, range(a, a + 256))) for a in range(0, 0x500, 128)]
+    texts += ["à Å ẞ ½²³ ­ soft­hyphen İ İ ﬁ __init__ foo_bar 'S 'LL we'Ve $9.50—ok “q”"]
+    for t in texts:
+        assert np.frombuffer(own.encode(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t[:50]
+
+
+def check(pieces, docs, library, capacity):
+    per = {}
+    for r in pieces:
+        per.setdefault(r.doc_id, []).append(r)
+    seqs = {}
+    for r in pieces:
+        seqs.setdefault(r.sequence_id, []).append(r)
+    for rows in seqs.values():
+        at = 0
+        for r in sorted(rows, key=lambda r: r.offset):
+            assert r.offset == at and r.length > 0
+            at += r.length
+        assert at <= capacity
+    for doc, text in docs.items():
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
+        at = 0
+        for r in sorted(per[doc], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids))
+            assert r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    return [sum(r.length for r in rows) for rows in seqs.values()]
+
+
+def test_pack_round_trip(spark, odd_docs, no_docs, library):
+    docs = odd_docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    pieces = pack(docs.repartition(5), tokenizer_path(WORD_BPE), capacity=64, windows=2, fan_in=2).collect()
+    filled = check(pieces, {r.doc_id: r.text for r in docs.collect()}, library, 64)
+    assert sum(f < 64 for f in filled) <= 1
+    twice = pack(odd_docs, tokenizer_path(WORD_BPE)).collect()
+    assert sum(r.doc_id is None for r in twice) == 2 and sum(r.doc_id == 0 and r.start == 0 for r in twice) == 2
+    assert pack(no_docs, tokenizer_path(WORD_BPE)).count() == 0
+
+
+def test_packer_fills_and_keeps_few_windows_open():
+    rng = np.random.default_rng(3)
+    packer, total = Packer(100, 4), 0
+    for i in range(500):
+        n = int(rng.integers(1, 350))
+        packer.add(i, 0, b"\0" * 4 * n, n)
+        total += n
+        assert len(packer.open) <= 4
+    left = packer.close()
+    size = lambda s: sum(len(p[2]) // 4 for p in s)
+    assert all(size(s) == 100 for s in packer.done)
+    assert sum(map(size, packer.done)) + (size(left) if left else 0) == total
