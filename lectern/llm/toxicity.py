@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Container, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,16 +17,37 @@ from lectern.runtime import materialise, ship
 
 #: Words longer than this are no features; it bounds the vocabulary's bytes.
 LONGEST_WORD = 40
+#: Lengths of the word beginnings that are features beside whole words, for languages that inflect and compound.
+PREFIXES = (3, 4, 5, 6)
+#: A feature that makes up this share of a text's words also counts as frequent there.
+FREQUENT = 1 / 200
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def distinct_words(text: str | None) -> set[str]:
-    """The distinct lower-case letter runs of a whole text."""
-    found = set(text.lower().split()) if text else set()
-    plain = {w for w in found if w.isalpha()}
-    for w in found - plain:
-        plain.update(_LETTERS.findall(w))
-    return plain
+def word_counts(text: str | None) -> Counter[str]:
+    """The lower-case letter runs of a whole text and how often each occurs."""
+    found = Counter(text.lower().split()) if text else Counter()
+    for w in [w for w in found if not w.isalpha()]:
+        n = found.pop(w)
+        for run in _LETTERS.findall(w):
+            found[run] += n
+    return found
+
+
+def features(counts: Counter[str], whole: Container[str] | None = None, starts: dict[int, Container[str]] | None = None) -> set[str]:
+    """Feature names: a word, ``^`` and a word's beginning, and either with ``!`` where it is frequent.
+
+    With ``whole`` and ``starts`` (by length) only those words and beginnings are looked for.
+    """
+    total, least, found = counts.total(), 1, Counter()
+    for w, n in counts.items():
+        if len(w) <= LONGEST_WORD if whole is None else w in whole:
+            found[w] += n
+        for k in PREFIXES if starts is None else starts:
+            if len(w) > k and (starts is None or w[:k] in starts[k]):
+                found["^" + w[:k]] += n
+    least = total * FREQUENT
+    return found.keys() | {w + "!" for w, n in found.items() if n >= least}
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -55,16 +77,20 @@ class Rows:
         return np.concatenate((sparse, r @ self.extra))
 
 
-def fit_linear(x: Rows, y: np.ndarray, penalty: float = 0.003, rounds: int = 120) -> tuple[np.ndarray, float]:
+def fit_linear(x: Rows, y: np.ndarray, rounds: int = 120) -> tuple[np.ndarray, float]:
     """Logistic regression: an L1-penalised fit selects features, a fit with a slight L2 penalty weighs those.
 
-    One class only: no features, and an intercept from the smoothed rate.
+    A feature's penalty is the slope that chance alone would give the strongest of as many unrelated features of its
+    spread, so few rows select few features. One class only: no features, and an intercept from the smoothed rate.
     """
     n, d = len(y), x.width + x.extra.shape[1]
     rate = (y.sum() + 0.5) / (n + 1.0)
     b0 = float(np.log(rate / (1 - rate)))
     if n == 0 or y.min() == y.max():
         return np.zeros(d), b0
+    seen = np.bincount(x.index, minlength=x.width) / n
+    spread = np.concatenate((np.sqrt(seen * (1 - seen)), x.extra.std(axis=0)))
+    penalty = np.sqrt(2 * np.log(max(d, 2)) / n * rate * (1 - rate)) * spread
     size = np.mean(np.diff(x.start)) + (x.extra**2).sum(axis=1).mean() + 1.0
     step, w, b = 4.0 / min(size, 60.0), np.zeros(d), b0
     v, vb, t = w.copy(), b, 1.0
@@ -76,7 +102,7 @@ def fit_linear(x: Rows, y: np.ndarray, penalty: float = 0.003, rounds: int = 120
         w2 = np.sign(moved) * np.maximum(np.abs(moved) - step * penalty, 0.0)
         b2 = vb - step * r.sum()
         z2 = x.score(w2) + b2
-        loss = float(np.mean(np.logaddexp(0, z2) - y * z2) + penalty * np.abs(w2).sum())
+        loss = float(np.mean(np.logaddexp(0, z2) - y * z2) + (penalty * np.abs(w2)).sum())
         if loss > loss_before + 1e-9:  # too long a step, or too much momentum
             step, v, vb, t = step / 2, w.copy(), b, 1.0
             continue
@@ -125,7 +151,15 @@ class Chain:
     earlier: list[list[float]]
     intercepts: list[float]
 
-    def probabilities(self, found: set[str]) -> list[float]:
+    def __post_init__(self) -> None:
+        names = {w.rstrip("!") for words in self.words for w in words}
+        self.whole = {w for w in names if w[0] != "^"}
+        self.starts: dict[int, set[str]] = {}
+        for w in names - self.whole:
+            self.starts.setdefault(len(w) - 1, set()).add(w[1:])
+
+    def probabilities(self, text: str | None) -> list[float]:
+        found = features(word_counts(text), self.whole, self.starts)
         odds: list[float] = []
         for words, earlier, b in zip(self.words, self.earlier, self.intercepts):
             z = b + sum(words[w] for w in sorted(found & words.keys())) + sum(a * o for a, o in zip(earlier, odds))
@@ -133,20 +167,20 @@ class Chain:
         return [1.0 / (1.0 + float(np.exp(-z))) for z in odds]
 
 
-def fit_chain(features: list[list[int]], vocabulary: list[str], labels: np.ndarray, categories: list[str], folds: int = 3) -> Chain:
+def fit_chain(rows: list[list[int]], vocabulary: list[str], labels: np.ndarray, categories: list[str], folds: int = 3) -> Chain:
     """Fit the chain. Later models learn from earlier categories' out-of-fold probabilities, never from fitted ones."""
-    n = len(features)
-    start = np.concatenate(([0], np.cumsum([len(f) for f in features]))).astype(np.int64)
-    index = np.array([i for f in features for i in f], dtype=np.int64)
+    n = len(rows)
+    start = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64)
+    index = np.array([i for r in rows for i in r], dtype=np.int64)
     fold = np.arange(n) % folds
     extra = np.zeros((n, 0))
-    chain = Chain(list(categories), [], [], [])
+    words, earlier, intercepts = [], [], []
     for k in range(len(categories)):
         x, y = Rows(start, index, len(vocabulary), extra), labels[:, k].astype(float)
         w, b = fit_linear(x, y)
-        chain.words.append({vocabulary[i]: float(w[i]) for i in np.flatnonzero(w[: x.width])})
-        chain.earlier.append([float(v) for v in w[x.width :]])
-        chain.intercepts.append(b)
+        words.append({vocabulary[i]: float(w[i]) for i in np.flatnonzero(w[: x.width])})
+        earlier.append([float(v) for v in w[x.width :]])
+        intercepts.append(b)
         if k + 1 < len(categories):
             unseen = np.zeros(n)
             for f in range(folds):
@@ -154,14 +188,14 @@ def fit_chain(features: list[list[int]], vocabulary: list[str], labels: np.ndarr
                 wf, bf = fit_linear(x.take(a), y[a])
                 unseen[held] = x.take(held).score(wf) + bf
             extra = np.column_stack((extra, _logit(_sigmoid(unseen))))
-    return chain
+    return Chain(list(categories), words, earlier, intercepts)
 
 
-def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_rows: int = 4000, max_words: int = 8192, min_docs: int = 5) -> Chain:
+def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_rows: int = 4000, max_features: int = 16384, min_docs: int = 5) -> Chain:
     """Fit a chain on at most ``max_rows`` labelled documents, chosen by a hash of doc_id over all labelled documents.
 
-    The vocabulary is the ``max_words`` words found in most of those documents, in ``min_docs`` at least; labels
-    play no part in that choice. Words are found on the executors; the driver gets word numbers only. Labels with a
+    The vocabulary is the ``max_features`` features found in most of those documents, in ``min_docs`` at least;
+    labels play no part in that choice. Features are found on the executors; the driver gets their numbers only. Labels with a
     null take no part; of several labels or texts of one id the greatest counts. No labels: all probabilities are 0.5.
     """
     spark = docs.sparkSession
@@ -172,17 +206,17 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max
     chosen = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = materialise(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows), "labelled")
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sorted(w for w in distinct_words(t.as_py()) if len(w) <= LONGEST_WORD) for t in b.column(1)]
+            found = [sorted(features(word_counts(t.as_py()))) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.string()))], names=["doc_id", "words"])
 
     # max_rows ids: a bounded table
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
     schema = docs.select("doc_id").schema.add("words", T.ArrayType(T.StringType()))
-    bags = materialise(texts.mapInArrow(words, schema).groupBy("doc_id").agg(F.max("words").alias("words")), "bags")
+    bags = materialise(texts.mapInArrow(named, schema).groupBy("doc_id").agg(F.max("words").alias("words")), "bags")
     common = bags.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs)
-    vocabulary = sorted(r.w for r in common.orderBy(F.desc("n"), "w").limit(max_words).collect())
+    vocabulary = sorted(r.w for r in common.orderBy(F.desc("n"), "w").limit(max_features).collect())
     place = {w: i for i, w in enumerate(vocabulary)}
 
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +245,7 @@ def score(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            p = [chain.probabilities(distinct_words(t.as_py())) for t in b.column(0)]
+            p = [chain.probabilities(t.as_py()) for t in b.column(0)]
             cols = [pa.array([r[i] for r in p], pa.float64()) for i in range(len(new))]
             toxic = pa.array([r[-1] >= threshold for r in p], pa.bool_())
             yield pa.RecordBatch.from_arrays([*b.columns[1:], *cols, toxic], names=[*keep, *new, flag])
@@ -241,7 +275,7 @@ def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array([chain.probabilities(distinct_words(t.as_py()))[-1] < threshold for t in b.column(at)], pa.bool_()))
+            yield b.filter(pa.array([chain.probabilities(t.as_py())[-1] < threshold for t in b.column(at)], pa.bool_()))
 
     ship(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm.toxicity import Rows, distinct_words, fit_chain, fit_linear, judge, label_categories, reject, train
+from lectern.llm.toxicity import Rows, features, fit_chain, fit_linear, judge, label_categories, reject, train, word_counts
 
 BAD = ["scum", "moron", "clown"]
 
@@ -42,10 +42,10 @@ def test_later_models_learn_from_unseen_folds():
     y = rng.integers(0, 2, (600, 2))
     y[:, 1] = y[:, 0]  # the second category follows the first
     features = [[0] if a and rng.random() < 0.9 else [1 + int(rng.integers(50))] for a in y[:, 0]]
-    chain = fit_chain(features, [f"w{i}" for i in range(51)], y, ["a", "b"])
+    chain = fit_chain(features, ["wa", *(f"x{i}" for i in range(50))], y, ["a", "b"])
     assert chain.earlier[0] == [] and len(chain.earlier[1]) == 1
-    a, b = chain.probabilities({"w0"})
-    assert a > 0.9 and b > 0.9 and max(chain.probabilities({"other"})) < 0.5
+    a, b = chain.probabilities("wa")
+    assert a > 0.9 and b > 0.9 and max(chain.probabilities("other")) < 0.5
 
 
 def test_one_class_and_no_rows():
@@ -56,9 +56,14 @@ def test_one_class_and_no_rows():
     assert fit_linear(empty, np.array([])) [1] == 0.0
 
 
-def test_words():
-    assert distinct_words("Idiot, you're a CLOWN%%% x1y") == {"idiot", "you", "re", "a", "clown", "x", "y"}
-    assert distinct_words(None) == distinct_words(" 12 ") == set()
+def test_features():
+    counts = word_counts("Idiot, you're a CLOWN%%% x1y a")
+    assert counts == {"idiot": 1, "you": 1, "re": 1, "a": 2, "clown": 1, "x": 1, "y": 1}
+    assert word_counts(None) == word_counts(" 12 ") == {}
+    assert features(counts) >= {"a", "a!", "clown", "clown!", "^clo", "^clow", "^clo!"}
+    long = word_counts("clown " + "word " * 500)
+    assert features(long, {"clown", "word"}, {3: {"clo"}}) == {"clown", "word", "word!", "^clo"}
+    assert features(word_counts("z" * 100)) >= {"^zzz"} and "z" * 100 not in features(word_counts("z" * 100))
 
 
 def test_odd_rows(spark, corpus, odd_docs, no_docs):
@@ -69,6 +74,6 @@ def test_odd_rows(spark, corpus, odd_docs, no_docs):
     assert judge(no_docs, odd).count() == 0
     assert reject(odd_docs, labels.limit(0)).columns == odd_docs.columns
     chain = train(odd_docs, labels.limit(0), label_categories())
-    assert chain.probabilities({"x"}) == pytest.approx([0.5, 0.5])
+    assert chain.probabilities("x") == pytest.approx([0.5, 0.5])
     same = got.where(F.col("doc_id") == 0).select("p_toxic").distinct()
     assert same.count() == 1
