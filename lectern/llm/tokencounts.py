@@ -133,7 +133,8 @@ def count_edited(docs: DataFrame, edits: Column, tokenizer_path: str) -> DataFra
     """Token counts of every whole text before and after its edits, the latter from the updated tree.
 
     ``edits`` is an array of (start, stop, replacement) in code points, applied in order, each to the text that the
-    one before left; places outside a text are moved to its ends and a null replacement is empty. Returns ``doc_id,
+    one before left; places outside a text are moved to its ends, an edit without a place is
+    skipped, and a null replacement is empty. Returns ``doc_id,
     n_chars, n_tokens, n_segments, edited_chars, edited_tokens, encoded_chars``; the last is what was encoded anew.
 
     A null text counts as empty: no tokens, one empty segment; null edits are none. Texts of any length keep one tree
@@ -152,6 +153,8 @@ def count_edited(docs: DataFrame, edits: Column, tokenizer_path: str) -> DataFra
                 tree = Tree.build(text.as_py() or "", count)
                 row = [doc, tree.chars[1], tree.total, len(tree.leaves)]
                 for e in todo.as_py() or []:
+                    if e["start"] is None or e["stop"] is None:
+                        continue
                     tree.replace(e["start"], e["stop"], e["text"] or "", count)
                 out.append([*row, tree.chars[1], tree.total, tree.encoded])
             cols = list(zip(*out)) if out else [[] for _ in names]

@@ -1,0 +1,59 @@
+import gzip
+import hashlib
+import zlib
+from pathlib import Path
+
+from lectern.llm import warc
+
+BIG = "<p>é " + "x" * 1500
+PAGES = [
+    (1, "http://a/", BIG), (2, "http://b/\r\nX: y z", BIG), (9, None, BIG), (9, None, BIG), (None, "http://n/", BIG), (3, "http://c/", "small"),
+    (4, "http://d/", "small"), (5, "http://e/", None), (6, "", ""), (7, "http://f/", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n"), (8, "u", "z" * 3_000_000),
+    (None, "http://m/", "y" * 2000), (None, "http://o/", "y" * 2000),
+]
+
+
+def brute(pages):
+    out = []
+    for page_id, _, html in pages:
+        payload = (html or "").encode()
+        same = [p for p, _, h in pages if (h or "").encode() == payload and p is not None] if len(payload) >= 1000 else []
+        top = max(same, default=None)
+        revisit = top is not None and page_id != top
+        out.append((page_id, len(payload), hashlib.sha1(payload).hexdigest(), "revisit" if revisit else "response", top if revisit else None))
+    return sorted(out, key=str)
+
+
+def test_round_trip(spark, tmp_path):
+    pages = spark.createDataFrame([(*p, "x", 1) for p in PAGES], "page_id long, url string, html string, digest string, refers_to int")
+    got = warc.round_trip(spark, pages.repartition(3), tmp_path.as_uri())
+    assert sorted(map(tuple, got.collect()), key=str) == brute(PAGES)
+    assert warc.round_trip(spark, pages.limit(0), tmp_path.as_uri()).count() == 0
+
+
+def test_members_and_index(spark, tmp_path):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").repartition(2)
+    raw = warc.write_archives(warc.dedup_targets(pages), (tmp_path / "raw").as_uri(), most_bytes=10_000)
+    files = warc.normalise(raw, (tmp_path / "raw").as_uri(), (tmp_path / "out").as_uri())
+    assert {r.file: r.records for r in raw.collect()} == {r.file: r.records for r in files.collect()}
+    seen = 0
+    for f in Path(tmp_path / "out").glob("*.warc.gz"):
+        data = f.read_bytes()
+        assert gzip.decompress(data) == gzip.decompress((tmp_path / "raw" / f.name).read_bytes())
+        end = 0
+        for line in Path(f"{f}.idx").read_text().splitlines():
+            at, size, kind, rid = line.split(" ", 3)
+            assert int(at) == end
+            end += int(size)
+            d = zlib.decompressobj(31)
+            rec = d.decompress(data[int(at) : end])
+            assert d.eof and not d.unused_data and rec.startswith(b"WARC/1.1\r\nWARC-Type: " + kind.encode()) and rid.encode() in rec
+            seen += 1
+        assert end == len(data)
+    assert seen == len(PAGES)
+
+
+def test_inflates_many_members_in_pieces():
+    data = gzip.compress(b"a" * 100_000) + gzip.compress(b"b" * 10) + gzip.compress(b"")
+    parts = (data[i : i + 7] for i in range(0, len(data), 7))
+    assert b"".join(warc.inflate(parts)) == b"a" * 100_000 + b"b" * 10
