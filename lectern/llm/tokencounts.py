@@ -62,6 +62,17 @@ class Tree:
         leaves = segments(text)
         return cls._over(leaves, [count(s) for s in leaves])
 
+    @classmethod
+    def kept(cls, text: str, chars: list[int], tokens: list[int]) -> Tree:
+        """A tree from its leaves' measures, without encoding anything."""
+        leaves, at = [], 0
+        for n in chars:
+            leaves.append(text[at : at + n])
+            at += n
+        if at != len(text):
+            raise ValueError("the tree is not of this text")
+        return cls._over(leaves, tokens)
+
     @classmethod
     def _over(cls, leaves: list[str], counts: list[int]) -> Tree:
         width = 1
@@ -129,6 +140,65 @@ class Tree:
         return "".join(self.leaves)
 
 
+TREE = "leaf_chars array<int>, leaf_tokens array<int>"
+
+
+def _leaves(tree: Tree) -> tuple[list[int], list[int]]:
+    at = slice(tree.width, tree.width + len(tree.leaves))
+    return tree.chars[at], tree.tokens[at]
+
+
+def build_trees(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """``doc_id, text, n_tokens, leaf_chars, leaf_tokens``: the documents with their trees, to be kept in a table.
+
+    Only leaves are kept; sums above them take one pass to restore. A null text has one empty leaf.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(tokenizer_path)
+        for b in batches:
+            trees = [Tree.build(t.as_py() or "", lambda s: len(enc.encode_ordinary(s))) for t in b.column(1)]
+            yield _kept_batch(b.column(0), b.column(1), trees)
+
+    ship(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, text string, n_tokens long, {TREE}")
+
+
+def _kept_batch(ids: pa.Array, texts: pa.Array, trees: list[Tree]) -> pa.RecordBatch:
+    leaves = [_leaves(t) for t in trees]
+    lists = [pa.array([x[i] for x in leaves], pa.list_(pa.int32())) for i in (0, 1)]
+    counts = pa.array([t.total for t in trees], pa.int64())
+    return pa.RecordBatch.from_arrays([ids, texts, counts, *lists], names=["doc_id", "text", "n_tokens", "leaf_chars", "leaf_tokens"])
+
+
+def apply_edits(kept: DataFrame, edits: Column, tokenizer_path: str) -> DataFrame:
+    """The table of ``build_trees`` after each row's edits: new texts, counts and trees; only touched segments are encoded."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(tokenizer_path)
+        count = lambda s: len(enc.encode_ordinary(s))
+        for b in batches:
+            trees, texts = [], []
+            for text, chars, tokens, todo in zip(*(c.to_pylist() for c in b.columns[1:])):
+                tree = Tree.kept(text or "", chars, tokens)
+                changed = _edit(tree, todo, count)
+                trees.append(tree)
+                texts.append(tree.text() if changed else text)
+            yield _kept_batch(b.column(0), pa.array(texts, pa.string()), trees)
+
+    ship(kept.sparkSession)
+    rows = kept.select("doc_id", "text", "leaf_chars", "leaf_tokens", edits.alias("edits"))
+    return rows.mapInArrow(run, f"doc_id long, text string, n_tokens long, {TREE}")
+
+
+def _edit(tree: Tree, todo: list[dict] | None, count) -> bool:
+    """Apply edits in order; an edit without a place is skipped. Whether there were any."""
+    placed = [e for e in todo or [] if e["start"] is not None and e["stop"] is not None]
+    for e in placed:
+        tree.replace(e["start"], e["stop"], e["text"] or "", count)
+    return bool(placed)
+
+
 def count_edited(docs: DataFrame, edits: Column, tokenizer_path: str) -> DataFrame:
     """Token counts of every whole text before and after its edits, the latter from the updated tree.
 
@@ -152,10 +222,7 @@ def count_edited(docs: DataFrame, edits: Column, tokenizer_path: str) -> DataFra
             for doc, text, todo in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
                 tree = Tree.build(text.as_py() or "", count)
                 row = [doc, tree.chars[1], tree.total, len(tree.leaves)]
-                for e in todo.as_py() or []:
-                    if e["start"] is None or e["stop"] is None:
-                        continue
-                    tree.replace(e["start"], e["stop"], e["text"] or "", count)
+                _edit(tree, todo.as_py(), count)
                 out.append([*row, tree.chars[1], tree.total, tree.encoded])
             cols = list(zip(*out)) if out else [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern.llm.queries import BYTE_BPE, tokenizer_path
-from lectern.llm.tokencounts import Tree, count_edited, encoder, sample_edits, segments
+from lectern.llm.tokencounts import Tree, apply_edits, build_trees, count_edited, encoder, sample_edits, segments
 
 ALPHABET = ["word", " ", "  ", "\n", "'", "'ll", "don't", "42", "é", "漢", "🙂", "!", " the", "abc def", "I'", "l", "re", "\t", "\x00", "e\u0301"]
 
@@ -51,3 +51,14 @@ def test_odd_rows(odd_docs, no_docs, count):
     assert count_edited(no_docs, sample_edits(F.col("text")), tokenizer_path(BYTE_BPE)).count() == 0
     none = count_edited(odd_docs, F.lit(None).cast("array<struct<start:int,stop:int,text:string>>"), tokenizer_path(BYTE_BPE))
     assert none.where("n_tokens <> edited_tokens OR encoded_chars <> 0").count() == 0
+
+
+def test_kept_trees(odd_docs, count):
+    path = tokenizer_path(BYTE_BPE)
+    kept = build_trees(odd_docs, path)
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {(r.doc_id, r.text) for r in odd_docs.collect()}
+    twice = apply_edits(apply_edits(kept, sample_edits(F.col("text")), path), sample_edits(F.col("text")), path)
+    for r in twice.collect():
+        assert r.n_tokens == sum(r.leaf_tokens) == count(r.text or "") and sum(r.leaf_chars) == len(r.text or "")
+    with pytest.raises(ValueError):
+        Tree.kept("abc", [2], [1])
