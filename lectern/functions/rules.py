@@ -50,7 +50,7 @@ KEYWORDS = (
     Keyword("lecture notes", "theory", "lecture_notes", whole=False),
 )
 
-#: A day range and a month at the start of a title, such as "3 - 4 Octob".
+#: Fixed value: the pattern of a day range and a month at the start of a title, such as "3 - 4 Octob".
 DAY_RANGE = r"(?U)^\s*(\d{1,2})\s*-\s*\d{1,2}\s+([A-Za-z]+)"
 
 

@@ -16,6 +16,7 @@ from lectern.models.client import ModelClient, StandIn
 from lectern.operators.gates import change_where, passes
 from lectern.runtime import ship
 
+#: The patterns of image references and of an HTML image's description.
 MD_IMAGE = re.compile(r"!\[(.*?)\]\((.*?)\)")
 HTML_IMAGE = re.compile(r'<img\s+[^>]*src="([^"]+)"[^>]*>', re.IGNORECASE)
 ALT = re.compile(r'alt="([^"]*)"', re.IGNORECASE)

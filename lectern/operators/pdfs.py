@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -15,7 +14,7 @@ from lectern.models.client import ModelClient, StandIn
 from lectern.operators.gates import change_where, in_pairs, passes
 from lectern.runtime import materialise, ship
 
-#: Largest page image that a model is given, in pixels.
+#: Fixed value: largest page image that a model is given, in pixels.
 LARGEST = (2048, 3072)
 #: Turns a PDF's bytes into page images. No PDF library is part of this project.
 Renderer = Callable[[bytes], Iterable[bytes]]
@@ -91,7 +90,3 @@ def pdfs_to_markdown(df: DataFrame, pairs: list[tuple[str, str]] | None = None,
         text=F.col("__text"), content=F.lit(None),
     )
     return out.select(*df.columns)
-
-
-#: What a fenced page looks like, for readers of ``fenced`` documents.
-FENCE = re.compile(r"```\n(.*?)\n```(?:\n\n|\Z)", re.DOTALL)
