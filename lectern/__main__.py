@@ -9,8 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-import lectern.plans.courses  # noqa: F401  registers its pipelines
-from lectern.plans.pipeline import available, from_name
+from lectern.plans import available, from_name
 
 
 def main(args: list[str]) -> int:

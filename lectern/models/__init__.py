@@ -1,0 +1,5 @@
+"""Model-backed steps: the interface and its stand-ins."""
+
+from lectern.models.client import ModelClient, StandIn
+
+__all__ = ["ModelClient", "StandIn"]

@@ -1,0 +1,6 @@
+"""Where resource tables go."""
+
+from lectern.sinks.base import DummySink, Sink
+from lectern.sinks.content_metadata import ContentMetadataSink, content_paths, documents_by_source
+
+__all__ = ["ContentMetadataSink", "DummySink", "Sink", "content_paths", "documents_by_source"]

@@ -5,7 +5,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.plans import courses  # noqa: F401
+from lectern.plans import course
 from lectern.plans.pipeline import Pipeline, available, from_name
 from lectern.schema import METADATA_FIELDS, as_resources
 from lectern.sinks.base import DummySink
@@ -78,7 +78,7 @@ def test_every_sink_sees_the_same_rows(spark, tmp_path):
 
 
 def test_registry(spark):
-    assert "course" in available()
+    assert "course" in available() and course.__name__ == "course"
     with pytest.raises(ValueError, match="available: .*course"):
         from_name("nothing")
     p = Pipeline("p", (Table("lectern_c"),), (lambda d: d.drop("week"),))
