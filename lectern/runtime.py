@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 _PACKAGE = Path(__file__).resolve().parent
 _SHIPPED: set[str] = set()
 _OWN_SHARED: dict[str, str] = {}
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -24,7 +27,7 @@ def ship(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
-    target = Path(tempfile.mkdtemp(prefix="lectern-ship-")) / "lectern_pkg.zip"
+    target = Path(_own_folder("lectern-ship-")) / "lectern_pkg.zip"
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(_PACKAGE.rglob("*.py")):
             z.write(p, Path(_PACKAGE.name) / p.relative_to(_PACKAGE))
@@ -32,6 +35,13 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def _own_folder(prefix: str) -> str:
+    """A temporary folder of the driver's, gone when it ends."""
+    folder = tempfile.mkdtemp(prefix=prefix)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -39,7 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _OWN_SHARED:
-        _OWN_SHARED[app] = Path(tempfile.mkdtemp(prefix="lectern-shared-")).as_uri()
+        _OWN_SHARED[app] = Path(_own_folder("lectern-shared-")).as_uri()
     return _OWN_SHARED[app]
 
 
@@ -58,5 +68,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete what ``materialise`` wrote in this application, once no DataFrame over it is needed; returns how many tables."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)
