@@ -5,7 +5,7 @@ from lectern.runtime import clean, local_path, materialise, shared_dir
 
 def test_materialise_and_clean(spark):
     df = materialise(spark.range(10), "numbers")
-    assert df.count() == 10 and df.schema == spark.range(1).schema
+    assert df.count() == 10 and df.dtypes == spark.range(1).dtypes
     folder = Path(local_path(shared_dir(spark)))
     assert list(folder.glob("numbers-*"))
     assert clean(spark) >= 1 and not list(folder.glob("numbers-*")) and clean(spark) == 0
