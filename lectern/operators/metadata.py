@@ -15,7 +15,8 @@ def infer_metadata(df: DataFrame, rules: R.CourseRules | None = None) -> DataFra
     Week and number follow the unshifted date; the opening time follows the shifted one. One projection, no shuffle.
     """
     rules = rules or R.CourseRules()
-    text = R.title_text(F.col("kind"), F.col("section_title"), F.col("title"))
+    df = df.withColumn("__text", R.title_text(F.col("kind"), F.col("section_title"), F.col("title")))  # computed once for all keywords
+    text = F.col("__text")
     df = copy_with(df, date=R.infer_date(F.col("kind"), F.col("section_title"), F.col("title"), rules), year=R.infer_year(F.col("title")))
     df = copy_with(df, week=R.infer_week(F.col("date"), rules))
     df = df.withColumn("__kind", R.classify(text, F.col("week"), rules))
@@ -30,4 +31,4 @@ def infer_metadata(df: DataFrame, rules: R.CourseRules | None = None) -> DataFra
     homework = (F.col("type") == rules.homework[0]) & (F.col("subtype") == rules.homework[1])
     df = copy_with(df, date=F.when(homework & F.col("is_solution"), R.shifted_date(F.col("date"), rules)).otherwise(F.col("date")))
     df = copy_with(df, from_=R.from_field(F.col("date"), F.col("__kind"), rules))
-    return df.drop("__kind")
+    return df.drop("__kind", "__text")
