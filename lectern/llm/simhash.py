@@ -234,7 +234,8 @@ def keep_one(docs: DataFrame, width: int = 3, radius: int = 3, seed: int = 42) -
     rows = materialise(near_duplicates(docs, width, radius, seed), "components")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__rk1"), F.col("__rk2"))
     best = rows.groupBy("__root").agg(F.min(order).alias("__b"))
-    best = best.select("__root", F.col("__b.__rk1").alias("__b1"), F.col("__b.__rk2").alias("__b2"))
+    # written first, so that the join below shuffles both sides anew and a large component can be split
+    best = materialise(best.select("__root", F.col("__b.__rk1").alias("__b1"), F.col("__b.__rk2").alias("__b2")), "best")
     losers = (
         rows.join(best, "__root")
         .where((F.col("__rk1") != F.col("__b1")) | (F.col("__rk2") != F.col("__b2")))
