@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.runtime import materialise, ship
 
@@ -52,7 +51,7 @@ def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (x * q).sum(axis=1) / (np.sqrt((q * q).sum()) * np.sqrt((x * x).sum(axis=1)))
 
 
-def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = 8, probes: int = 16, seed: int = 42, block: int = 1024) -> DataFrame:
+def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = 4, probes: int = 32, seed: int = 42, block: int = 1024) -> DataFrame:
     """The ``k`` nearest found of every row that ``queries`` selects from ``vectors(vec_id, embedding)``, by largest cosine.
 
     Returns ``query_id, rank, vec_id, score``: rank from 1, nearest first, ties to the smaller vec_id; fewer rows if
@@ -70,51 +69,50 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = 8, pr
     spark = vectors.sparkSession
     ship(spark)
     fine = vectors.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    fine = fine.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), queries.alias("q"))
+    fine = fine.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("v"), queries.alias("q"))
     lengths = fine.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
     width = lengths.d if lengths else 0
     fine = fine.where(F.size("v") == width)
 
-    def cells(of: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, width)
-                unit = x / np.abs(x).max(axis=1, keepdims=True)
-                unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
-                for t in range(tables):
-                    near = axes(unit, t, seed, of) + t * 4 * width
-                    at = np.repeat(np.arange(b.num_rows), near.shape[1])
-                    rows = b.take(pa.array(at))
-                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(near.ravel().astype(np.int32))], names=["id", "v", "cell"])
-
-        return run
-
-    schema = "id long, v array<double>, cell int"
-    index = materialise(fine.select(F.col("vec_id").alias("id"), "v").mapInArrow(cells(1), schema), "index")
-    asked = materialise(fine.where("q").select(F.col("vec_id").alias("id"), "v").mapInArrow(cells(probes), schema), "asked")
+    def cells(of: int) -> Column:
+        """The cells of a vector in all tables, as numbers that do not meet between tables."""
+
+        @F.arrow_udf(T.ArrayType(T.IntegerType()))
+        def run(vectors: pa.Array) -> pa.Array:
+            x = vectors.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(vectors), width)
+            unit = x / np.abs(x).max(axis=1, keepdims=True)
+            unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+            near = np.concatenate([axes(unit, t, seed, of) + t * 4 * width for t in range(tables)], axis=1)
+            ends = np.arange(0, near.size + 1, near.shape[1], dtype=np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(near.ravel().astype(np.int32)))
+
+        return F.explode(run("v")).alias("cell")
+
+    # counting asks for cells only, so vectors are hashed once more there but never written down in between
+    index = fine.select("id", "v", cells(1))
+    asked = fine.where("q").select("id", "v", cells(probes)).toDF("qid", "qv", "cell")
 
     def parts(rows: DataFrame, name: str) -> DataFrame:
         # one row a cell: tables * axes at most
         return rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias(name))
 
-    split = parts(index, "ni").join(parts(asked, "nq"), "cell")
+    split = materialise(parts(index, "ni").join(parts(asked, "nq"), "cell"), "cells")
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
-        mine = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
+        named = rows.columns[:2]
+        mine = F.pmod(F.xxhash64(named[0]), F.col(own)).cast("int")
         every = F.sequence(F.lit(0), F.col(other) - 1)
         pair = F.transform(every, lambda o: F.struct((mine if own == "ni" else o).alias("bi"), (o if own == "ni" else mine).alias("bq")))
-        return rows.join(F.broadcast(split), "cell").select("id", "v", "cell", F.explode(pair).alias("p")).select("id", "v", "cell", "p.bi", "p.bq")
+        return rows.join(F.broadcast(split), "cell").select(*named, "cell", F.explode(pair).alias("p")).select(*named, "cell", "p.bi", "p.bq")
 
     def search(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(q) and len(x):
             ids, xs = x["id"].to_numpy(), np.stack(x["v"].to_numpy()).astype(float)
-            qs = np.stack(q["v"].to_numpy()).astype(float)
+            qs = np.stack(q["qv"].to_numpy()).astype(float)
             unit = lambda m: m / np.sqrt((m * m).sum(axis=1, keepdims=True))
             rough = unit(qs) @ unit(xs).T
-            for i, qid in enumerate(q["id"].to_numpy()):
+            for i, qid in enumerate(q["qid"].to_numpy()):
                 r = np.where(ids == qid, -np.inf, rough[i])
                 cut = np.partition(r, -k)[-k] if len(r) > k else -np.inf
                 few = np.flatnonzero((r >= cut - 1e-9) & (r > -np.inf))
