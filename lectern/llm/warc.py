@@ -123,7 +123,9 @@ def dedup_targets(pages: DataFrame, least: int = 1000) -> DataFrame:
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.sha1("payload"))
     groups = rows.where(F.length("payload") >= least).groupBy("digest")
     groups = groups.agg(F.max("page_id").alias("__top"), F.count(F.lit(1)).alias("__n")).where("__n > 1")
-    joined = rows.join(groups.select("digest", "__top"), "digest", "left")
+    # written first: its size is then known, and pages are shuffled only where it is too large to broadcast
+    groups = materialise(groups.select("digest", "__top"), "repeated")
+    joined = rows.join(groups, "digest", "left")
     own = F.col("__top").isNull() | F.col("page_id").eqNullSafe(F.col("__top"))
     return joined.select("page_id", "url", "payload", "digest", F.when(~own, F.col("__top")).alias("refers_to"))
 
