@@ -80,7 +80,7 @@ def _map(pairs: dict, kind: str) -> Column:
 
 
 def _fail(rules: CourseRules, value: Column, message: Column, kind: str) -> Column:
-    return F.when(value.isNotNull(), value).otherwise(F.raise_error(message).cast(kind)) if rules.strict else value
+    return F.coalesce(value, F.raise_error(message).cast(kind)) if rules.strict else value
 
 
 def title_text(kind: Column, section_title: Column, title: Column) -> Column:
@@ -97,12 +97,13 @@ def infer_date(kind: Column, section_title: Column, title: Column, rules: Course
     text = F.when(F.coalesce(kind == LMS, F.lit(False)), section_title).otherwise(F.lower(title))
     day, word = F.regexp_extract(text, DAY_RANGE, 1), F.regexp_extract(text, DAY_RANGE, 2)
     short = F.lower(F.substring(word, 1, 3))
-    month = _fail(rules, F.try_element_at(_map(rules.months, "int"), short), F.concat(F.lit("no month: "), short), "int")
-    year = F.when(month >= rules.first_month, rules.start_year).otherwise(rules.start_year + 1)
-    iso = F.format_string("%d-%d-%s", year, month, day)
-    found = _fail(rules, F.when(month.isNotNull(), F.try_to_date(iso, "yyyy-M-d")), F.concat(F.lit("no such day: "), iso), "date")
+    # the year follows from the month, so one lookup gives both; each part is evaluated once
+    months = {m: f"{rules.start_year + (n < rules.first_month)}-{n}-" for m, n in rules.months.items()}
+    month = _fail(rules, F.try_element_at(_map(months, "string"), short), F.concat(F.lit("no month: "), short), "string")
+    found = F.try_to_date(F.concat(month, day), "yyyy-M-d")
+    found = _fail(rules, found, F.concat(F.lit("no such day: "), day, F.lit(" "), word), "date")
     low, high = F.lit(dt.date.fromisoformat(rules.start)), F.lit(dt.date.fromisoformat(rules.end))
-    clamped = F.when(found.isNotNull(), F.least(F.greatest(found, low), high))
+    clamped = F.greatest(F.least(found, high), low) if rules.strict else F.when(found < low, low).when(found > high, high).otherwise(found)
     return F.when(F.coalesce(word != "", F.lit(False)), clamped).otherwise(low)
 
 
