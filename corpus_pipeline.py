@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import mixing, packing, simhash, toxicity
+from lectern.llm import mixing, nearcopies, packing, toxicity
 from lectern.llm.queries import WORD_BPE, tokenizer_path
 from lectern.runtime import shared_dir
 
@@ -20,8 +20,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the smallest id in each group linked by SimHash."""
-    return simhash.keep_one(docs)
+    """Keep the document of the smallest id in each group linked by five-word similarity of 0.8 or more."""
+    return nearcopies.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Model fitting, SimHash, random rounding and tokenization are beyond SQL.
+#: Model fitting, near copies, random rounding and tokenization are beyond SQL.
 ORACLE_SQL = None
 
 

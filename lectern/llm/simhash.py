@@ -25,20 +25,26 @@ CELL_LIMIT = 4096
 _CHUNK = 100_000
 
 
-def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
-    """SimHash of a whole text: a bit is 1 if it is set in over half of the shingle hashes. No words: 0."""
+def shingle_hashes(text: str | None, width: int, seed: int = 42) -> Iterator[np.ndarray]:
+    """Hashes of the shingles of a whole text, in chunks; a text of fewer words is one shingle, and no words give none."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
-        return 0
+        return
     joined, width = b" ".join(words), min(width, len(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n, digest = len(words) - width + 1, xxhash.xxh64_intdigest
-    set_bits = np.zeros(64, np.int64)
     for lo in range(0, n, _CHUNK):
         hi = min(n, lo + _CHUNK)
         a, b = starts[lo:hi].tolist(), ends[lo + width - 1 : hi + width - 1].tolist()
-        h = np.array([digest(joined[i:j], seed) for i, j in zip(a, b)], dtype="<u8")
+        yield np.array([digest(joined[i:j], seed) for i, j in zip(a, b)], dtype="<u8")
+
+
+def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
+    """SimHash of a whole text: a bit is 1 if it is set in over half of the shingle hashes. No words: 0."""
+    n, set_bits = 0, np.zeros(64, np.int64)
+    for h in shingle_hashes(text, width, seed):
+        n += len(h)
         set_bits += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
     return int.from_bytes(np.packbits(set_bits * 2 > n, bitorder="little").tobytes(), "little")
 
@@ -227,11 +233,16 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, seed: int
 
 
 def keep_one(docs: DataFrame, width: int = 3, radius: int = 3, seed: int = 42) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest doc_id (null last), ties by row hash.
+    """``docs`` with one row of each component: see ``keep_first``."""
+    return keep_first(docs, materialise(near_duplicates(docs, width, radius, seed), "components"))
+
+
+def keep_first(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs`` with one row of each ``__root`` of ``rows``: that of the smallest doc_id (null last), ties by row hash.
 
+    ``rows`` has a ``doc_id, __rk1, __rk2, __root`` for each row of ``docs`` and is read several times.
     Only the losers' keys travel to the texts; repeated rows equal in every column are merged by those keys.
     """
-    rows = materialise(near_duplicates(docs, width, radius, seed), "components")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__rk1"), F.col("__rk2"))
     best = rows.groupBy("__root").agg(F.min(order).alias("__b"))
     # written first, so that the join below shuffles both sides anew and a large component can be split
