@@ -59,8 +59,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = 4, pr
 
     In each of ``tables`` tables a row lies in the cell of its nearest signed axis; a query looks into the cells of
     its ``probes`` nearest. A cell's rows and queries are cut into blocks of about ``block``, and each block of rows
-    meets each block of queries in a task's group of its own: cells of any size are searched whole. Scores are exact
-    cosines of the original vectors.
+    meets each block of queries in a task's group of its own: cells of any size are searched whole, each id at its
+    greatest score there. Scores are exact cosines of the original vectors.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do null ids or, with vectors
     of several lengths, those of another length than most. A repeated id counts once, with its greatest score.
@@ -89,8 +89,10 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = 4, pr
         return F.explode(run("v")).alias("cell")
 
     # counting asks for cells only, so vectors are hashed once more there but never written down in between
-    index = fine.select("id", "v", cells(1))
-    asked = fine.where("q").select("id", "v", cells(probes)).toDF("qid", "qv", "cell")
+    # rows are dealt to blocks by their own numbers, so that those of one id spread too
+    fine = fine.withColumn("row", F.monotonically_increasing_id())
+    index = fine.select("id", "v", "row", cells(1))
+    asked = fine.where("q").select("id", "v", "row", cells(probes)).toDF("qid", "qv", "row", "cell")
 
     def parts(rows: DataFrame, name: str) -> DataFrame:
         # one row a cell: tables * axes at most
@@ -100,7 +102,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = 4, pr
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
         named = rows.columns[:2]
-        mine = F.pmod(F.xxhash64(named[0]), F.col(own)).cast("int")
+        mine = F.pmod(F.xxhash64("row"), F.col(own)).cast("int")
         every = F.sequence(F.lit(0), F.col(other) - 1)
         pair = F.transform(every, lambda o: F.struct((mine if own == "ni" else o).alias("bi"), (o if own == "ni" else mine).alias("bq")))
         return rows.join(F.broadcast(split), "cell").select(*named, "cell", F.explode(pair).alias("p")).select(*named, "cell", "p.bi", "p.bq")
@@ -108,16 +110,20 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = 4, pr
     def search(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(q) and len(x):
+            x = x.sort_values("id", kind="stable")
             ids, xs = x["id"].to_numpy(), np.stack(x["v"].to_numpy()).astype(float)
             qs = np.stack(q["qv"].to_numpy()).astype(float)
             unit = lambda m: m / np.sqrt((m * m).sum(axis=1, keepdims=True))
             rough = unit(qs) @ unit(xs).T
+            starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
             for i, qid in enumerate(q["qid"].to_numpy()):
                 r = np.where(ids == qid, -np.inf, rough[i])
-                cut = np.partition(r, -k)[-k] if len(r) > k else -np.inf
+                top = np.maximum.reduceat(r, starts)  # an id counts once
+                cut = np.partition(top, -k)[-k] if len(top) > k else -np.inf
                 few = np.flatnonzero((r >= cut - 1e-9) & (r > -np.inf))
                 s = cosines(qs[i], xs[few])
-                best = np.lexsort((ids[few], -s))[:k]
+                best = np.lexsort((ids[few], -s))
+                best = best[np.sort(np.unique(ids[few][best], return_index=True)[1])[:k]]
                 out.append(pd.DataFrame({"query_id": qid, "vec_id": ids[few][best], "score": s[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 

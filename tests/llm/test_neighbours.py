@@ -61,3 +61,13 @@ def test_hadamard_keeps_lengths():
     assert np.allclose(hadamard(hadamard(x)), x)
     a = axes(x, 0, 1, 4)
     assert a.shape == (5, 4) and (axes(x, 0, 1, 1)[:, 0] == a[:, 0]).all()
+
+
+@pytest.mark.parametrize("block", [1024, 4])
+def test_repeats_of_the_nearest_id_leave_room_for_others(spark, block):
+    rows = [(0, [1.0, 0.0, 0.0])] + [(1, [1.0, 0.01, 0.0])] * 12 + [(1, [1.0, 0.02, 0.0])] * 3
+    rows += [(i, [1.0, 0.1 * i, 0.0]) for i in range(2, 9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["rank"], r.vec_id, r.score) for r in nearest(df, F.col("vec_id") == 0, probes=8, block=block).collect())
+    assert [(r, i) for r, i, _ in got] == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5)]
+    assert got[0][2] == pytest.approx(1 / math.sqrt(1 + 0.01**2), abs=1e-12)
