@@ -60,7 +60,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = 4, pr
     In each of ``tables`` tables a row lies in the cell of its nearest signed axis; a query looks into the cells of
     its ``probes`` nearest. A cell's rows and queries are cut into blocks of about ``block``, and each block of rows
     meets each block of queries in a task's group of its own: cells of any size are searched whole, each id at its
-    greatest score there. Scores are exact cosines of the original vectors.
+    greatest score there. A query that finds fewer than ``k`` so is compared with all rows, in such blocks. Scores are
+    exact cosines of the original vectors.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do null ids or, with vectors
     of several lengths, those of another length than most. A repeated id counts once, with its greatest score.
@@ -88,25 +89,16 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = 4, pr
 
         return F.explode(run("v")).alias("cell")
 
-    # counting asks for cells only, so vectors are hashed once more there but never written down in between
     # rows are dealt to blocks by their own numbers, so that those of one id spread too
     fine = fine.withColumn("row", F.monotonically_increasing_id())
     index = fine.select("id", "v", "row", cells(1))
-    asked = fine.where("q").select("id", "v", "row", cells(probes)).toDF("qid", "qv", "row", "cell")
+    wanted = fine.where("q")
+    asked = wanted.select("id", "v", "row", cells(probes)).toDF("qid", "qv", "row", "cell")
 
     def parts(rows: DataFrame, name: str) -> DataFrame:
         # one row a cell: tables * axes at most
         return rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias(name))
 
-    split = materialise(parts(index, "ni").join(parts(asked, "nq"), "cell"), "cells")
-
-    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
-        named = rows.columns[:2]
-        mine = F.pmod(F.xxhash64("row"), F.col(own)).cast("int")
-        every = F.sequence(F.lit(0), F.col(other) - 1)
-        pair = F.transform(every, lambda o: F.struct((mine if own == "ni" else o).alias("bi"), (o if own == "ni" else mine).alias("bq")))
-        return rows.join(F.broadcast(split), "cell").select(*named, "cell", F.explode(pair).alias("p")).select(*named, "cell", "p.bi", "p.bq")
-
     def search(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(q) and len(x):
@@ -127,9 +119,32 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = 4, pr
                 out.append(pd.DataFrame({"query_id": qid, "vec_id": ids[few][best], "score": s[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    by = ["cell", "bi", "bq"]
-    left, right = dealt(asked, "nq", "ni"), dealt(index, "ni", "nq")
-    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, "query_id long, vec_id long, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def best(asked: DataFrame, index: DataFrame) -> DataFrame:
+        """The ``k`` nearest to each query among the rows that share a cell with it."""
+        # counting asks for cells only, so vectors are hashed once more there but never written down in between
+        split = materialise(parts(index, "ni").join(parts(asked, "nq"), "cell"), "cells")
+
+        def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+            named = rows.columns[:2]
+            mine = F.pmod(F.xxhash64("row"), F.col(own)).cast("int")
+            every = F.sequence(F.lit(0), F.col(other) - 1)
+            pair = F.transform(every, lambda o: F.struct((mine if own == "ni" else o).alias("bi"), (o if own == "ni" else mine).alias("bq")))
+            return rows.join(F.broadcast(split), "cell").select(*named, "cell", F.explode(pair).alias("p")).select(*named, "cell", "p.bi", "p.bq")
+
+        by = ["cell", "bi", "bq"]
+        left, right = dealt(asked, "nq", "ni"), dealt(index, "ni", "nq")
+        found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, "query_id long, vec_id long, score double")
+        found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    found = materialise(best(asked, index), "found")
+    full = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"))
+    short = materialise(wanted.select("id").distinct().join(full, "id", "left_anti"), "short")
+    if short.isEmpty():
+        return found
+    # one cell of all rows, in the same blocks
+    whole = F.lit(0).alias("cell")
+    again = wanted.join(short, "id", "left_semi").select("id", "v", "row", whole).toDF("qid", "qv", "row", "cell")
+    exact = best(again, fine.select("id", "v", "row", whole))
+    return found.join(short.toDF("query_id"), "query_id", "left_anti").select(*exact.columns).union(exact)

@@ -71,3 +71,14 @@ def test_repeats_of_the_nearest_id_leave_room_for_others(spark, block):
     got = sorted((r["rank"], r.vec_id, r.score) for r in nearest(df, F.col("vec_id") == 0, probes=8, block=block).collect())
     assert [(r, i) for r, i, _ in got] == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5)]
     assert got[0][2] == pytest.approx(1 / math.sqrt(1 + 0.01**2), abs=1e-12)
+
+
+def test_queries_that_find_too_few_are_compared_with_all(spark):
+    rng = np.random.default_rng(11)
+    q = rng.normal(size=64)
+    rows = [(0, q.tolist())] + [(i, (-q + 0.01 * rng.normal(size=64)).tolist()) for i in range(1, 40)]
+    for rows_, block in ((rows, 1024), (rows, 8), (rows[:4], 1024)):
+        df = spark.createDataFrame(rows_, "vec_id long, embedding array<double>")
+        got = sorted((r.query_id, r["rank"], r.vec_id) for r in nearest(df, F.col("vec_id") < 2, block=block).collect())
+        want = brute(rows_, [0, 1], 5)
+        assert got == [(i, n + 1, v) for i in (0, 1) for n, (_, v) in enumerate(want[i])]
