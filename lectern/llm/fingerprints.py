@@ -62,11 +62,16 @@ def as_string(s: Column) -> Column:
     return F.array_join(F.transform(s, lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
 
 
+def _longs(values: list[int]) -> Column:
+    """A literal array of any length, folded once when the plan is made."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def _bucket_of(key: Column, bounds: list[int]) -> Column:
     """Number of bounds at or below ``key``, less 1, by binary search over a literal array."""
     if len(bounds) == 1:
         return F.lit(0)
-    array = F.array(*[F.lit(b).cast("long") for b in bounds])
+    array = _longs(bounds)
     steps, s = [], 1
     while s < len(bounds):
         steps.insert(0, s)
@@ -80,29 +85,56 @@ def _bucket_of(key: Column, bounds: list[int]) -> Column:
     return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), down)
 
 
+def _ranges(docs: DataFrame, n: int, rows_per_bucket: int, most_buckets: int) -> tuple[DataFrame, int]:
+    """``docs`` with ``__k``, the number ``__b`` of its range by (doc_id, text hash) and whether it is ``__first`` there; how many.
+
+    Quantiles of doc_id give up to ``most_buckets`` ranges, an id of several quantiles one of its own. Ranges that are
+    still large are cut evenly by id and hash, into as many as their rows ask for.
+    """
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
+    buckets = max(1, min(most_buckets, -(-n // rows_per_bucket)))
+    cuts = [i / buckets for i in range(buckets)]
+    found = docs.select(key.alias("k")).agg(F.min("k").alias("low"), F.percentile_approx("k", cuts, 20 * buckets).alias("cuts")).first()
+    hot = {a for a, b in zip(found.cuts, found.cuts[1:]) if a == b and a < (1 << 63) - 1}
+    bounds = sorted({found.low, *[c for c in found.cuts if c > found.low], *[c + 1 for c in hot]})
+    # one row a range: its actual first and last keys
+    held = docs.select(key.alias("k"), _bucket_of(key, bounds).alias("b")).groupBy("b")
+    held = sorted(r[1:] for r in held.agg(F.min("k"), F.max("k"), F.count(F.lit(1))).collect())
+    lows = [low for low, _, _ in held]
+    parts = [-(-c // rows_per_bucket) if c > 2 * rows_per_bucket else 1 for _, _, c in held]
+    keyed = docs.withColumn("__k", key).withColumn("__b", _bucket_of(key, lows))
+    if max(parts) == 1:
+        return keyed.withColumn("__first", F.get(_longs(lows), F.col("__b")) == F.col("__k")), len(lows)
+    base = [0]
+    for x in parts[:-1]:
+        base.append(base[-1] + x)
+    of = lambda values: F.get(_longs(values), F.col("__b"))
+    low, span, part = of(lows), of([min(high - first, (1 << 63) - 1) for first, high, _ in held]), of(parts)
+    # exact while ids are within 2^53 of the first; the hash counts only there
+    exact = (F.col("__k") - low).cast("double") + (F.col("__h").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
+    place = F.when(span < (1 << 53), exact).otherwise(F.col("__k").cast("double") - low.cast("double"))
+    sub = F.least(F.floor(place / (span.cast("double") + 1) * part), part - 1)
+    keyed = keyed.withColumn("__g", F.when(part > 1, of(base) + sub).otherwise(of(base)))
+    firsts = keyed.groupBy("__g").agg(F.min(F.struct("__k", "__h")).alias("f")).select("__g", "f.*").collect()
+    g, k, h = map(list, zip(*sorted(tuple(r) for r in firsts)))
+    keyed = keyed.withColumn("__b", _bucket_of(F.col("__g"), g)).drop("__g")
+    return keyed.withColumn("__first", (of(k) == F.col("__k")) & (of(h) == F.col("__h"))), len(g)
+
+
 def with_next(docs: DataFrame, carried: list[str], rows_per_bucket: int = 2000, most_buckets: int = 16384) -> DataFrame:
     """``docs`` with ``next_<c>`` for each carried column: that of the row with the next doc_id, and of the first after the last.
 
-    One shuffle: rows are dealt by quantile ranges of doc_id, and a range's first row is also sent to the range
-    before it. Null ids come first; equal ids are ordered by text hash. An only row follows itself.
+    One shuffle: rows are dealt by ranges of doc_id and text hash (see ``_ranges``), and a range's first row is also sent
+    to the range before it. Null ids come first; equal ids are ordered by text hash. An only row follows itself.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
     n = docs.count()
     if not n:
         return docs.select("*", *[F.col(c).alias(f"next_{c}") for c in carried])
-    buckets = max(1, min(most_buckets, -(-n // rows_per_bucket)))
-    cuts = [i / buckets for i in range(buckets)]
-    found = docs.select(key.alias("k")).agg(F.min("k").alias("low"), F.percentile_approx("k", cuts, 20 * buckets).alias("cuts")).first()
-    bounds = sorted({found.low, *[c for c in found.cuts if c > found.low]})
-    # one row a range: the ranges' actual first keys
-    firsts = docs.select(key.alias("k"), _bucket_of(key, bounds).alias("b")).groupBy("b").agg(F.min("k")).collect()
-    bounds = sorted(r[1] for r in firsts)
-    bucket = _bucket_of(key, bounds)
     names = [f"`{c}`" for c in docs.columns]
-    keyed = docs.select(*names, key.alias("__k"), bucket.alias("__b"))
-    first = F.get(F.array(*[F.lit(b).cast("long") for b in bounds]), F.col("__b")) == F.col("__k")
-    before = F.pmod(F.col("__b") - 1, F.lit(len(bounds)))
-    where = F.when(first, F.array(F.struct(F.col("__b").alias("b"), F.lit(0).alias("s")), F.struct(before.alias("b"), F.lit(1).alias("s")))).otherwise(F.array(F.struct(F.col("__b").alias("b"), F.lit(0).alias("s"))))
+    keyed, ranges = _ranges(docs, n, rows_per_bucket, most_buckets)
+    before = F.pmod(F.col("__b") - 1, F.lit(ranges))
+    own = F.struct(F.col("__b").alias("b"), F.lit(0).alias("s"))
+    where = F.when(F.col("__first"), F.array(own, F.struct(before.alias("b"), F.lit(1).alias("s")))).otherwise(F.array(own))
     dealt = keyed.select("*", F.explode(where).alias("__to"))
     window = Window.partitionBy("__to.b").orderBy(F.col("__to.s"), F.col("__k"), F.col("__h"))
     follow = [F.lead(f"`{c}`").over(window).alias(f"next_{c}") for c in carried]

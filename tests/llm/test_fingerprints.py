@@ -78,3 +78,16 @@ def test_odd_rows(odd_docs, no_docs):
     assert fp.fingerprint_edits(no_docs).count() == 0
     one = fp.fingerprint_edits(odd_docs.where("doc_id = 6")).first()
     assert one.near_next == 1.0
+
+
+@pytest.mark.parametrize("most", [16384, 2])
+def test_equal_and_null_ids_split_and_follow_by_hash(spark, most):
+    ids = [None] * 120 + [7] * 90 + list(range(100, 160)) + [1 << 62, (1 << 63) - 1]
+    rows = [(i, f"text {n}") for n, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("__h", F.xxhash64("text")).repartition(3)
+    dealt, ranges = fp._ranges(docs, len(ids), 10, most)
+    sizes = [r["count"] for r in dealt.groupBy("__b").count().collect()]
+    assert len(sizes) == ranges and (max(sizes) <= 40 or most == 2)
+    got = {r.text: r.next_text for r in fp.with_next(docs, ["text"], 10, most).collect()}
+    order = sorted(((-1 if r.doc_id is None else r.doc_id, r["__h"], r.text) for r in docs.collect()))
+    assert got == {a[2]: b[2] for a, b in zip(order, order[1:] + order[:1])}
