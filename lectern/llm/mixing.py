@@ -4,36 +4,56 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.words import row_keys, word_count
+from lectern.llm.words import KEYS, numbered, quoted, row_keys, unused, word_count
 from lectern.runtime import materialise, ship
 
 #: Probabilities nearer to 0 or 1 than this are whole.
 _WHOLE = 1e-9
 
 
+def _level(by: DataFrame) -> float:
+    """The level at which each source's target is its weight times the level, but for those that stop at their cap.
+
+    ``by(__w, __cap, source_size)``, a row a source. Each round fixes the sources that the level so far fills beyond their
+    cap and spreads the rest anew; the level only rises and settles when no further source stops. One number goes to the driver.
+    """
+    level = 0.0
+    while True:
+        full = F.col("__cap") <= F.col("__w") * F.lit(level)
+        left = F.sum("source_size") - F.coalesce(F.sum(F.when(full, F.col("__cap"))), F.lit(0.0))
+        r = by.agg(left.alias("left"), F.sum(F.when(~full, F.col("__w"))).alias("w")).first()
+        if not r.w or r.left / r.w <= level * (1 + 1e-12):
+            return level if r.w else float("inf")
+        level = r.left / r.w
+
+
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: float = 3.0) -> DataFrame:
     """Targets of the sources in ``sizes(source, size)``: ``source, __sno, source_size, __rows, target``.
 
     Sources in code point order, null last, weigh ``weights``, repeating. The targets share the sum of all sizes by
-    weight; one stops at ``most`` times its source's size and the excess is shared anew. That level is found in one
-    pass over the sources, ordered by the level at which each stops. The windows run over one row per source.
+    weight; one stops at ``most`` times its source's size and the excess is shared anew. Sources are numbered within
+    sorted ranges, so that any number of them is no window of one task.
     """
     by = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("__rows"))
-    by = by.withColumn("__sno", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
-    by = by.withColumn("__w", F.array(*map(F.lit, weights))[F.pmod(F.col("__sno") - 1, F.lit(len(weights)))])
+    ordered = by.repartitionByRange(F.col("source").asc_nulls_last()).sortWithinPartitions(F.col("source").asc_nulls_last())
+    # the number's upper bits are the range, the lower 33 the place in it
+    by = materialise(ordered.withColumn("__at", F.monotonically_increasing_id()), "sources")
+    part, place = F.shiftright("__at", 33), F.expr("__at % 8589934592L")
+    ranges = sorted(tuple(r) for r in by.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before, n = {}, 0
+    for p, rows in ranges:
+        before[p], n = n, n + rows
+    if not ranges:
+        return by.select("source", F.col("__at").alias("__sno"), "source_size", "__rows", F.lit(0.0).alias("target"))
+    offset = F.create_map(*[F.lit(x).cast("long") for kv in before.items() for x in kv])[part]
+    by = by.withColumn("__sno", offset + place + 1)
+    by = by.withColumn("__w", F.array(*map(F.lit, weights))[F.pmod(F.col("__sno") - 1, F.lit(len(weights))).cast("int")])
     by = by.withColumn("__cap", F.col("source_size") * F.lit(float(most)))
-    order = Window.orderBy(F.col("__cap") / F.col("__w"), "__sno")
-    before, everything = order.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(F.lit(1))
-    left = F.sum("source_size").over(everything) - F.coalesce(F.sum("__cap").over(before), F.lit(0.0))
-    weight = F.sum("__w").over(everything) - F.coalesce(F.sum("__w").over(before), F.lit(0.0))
-    by = by.withColumn("__level", left / weight)
-    open_level = F.when(F.col("__cap") > F.col("__level") * F.col("__w"), F.col("__level"))
-    by = by.withColumn("__open", F.first(open_level, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    target = F.least(F.coalesce(F.col("__open") * F.col("__w"), F.col("__cap")), F.col("__cap"))
-    return by.select("source", "__sno", "source_size", "__rows", target.alias("target"))
+    level = _level(by)
+    return by.select("source", "__sno", "source_size", "__rows", F.least(F.col("__w") * F.lit(level), F.col("__cap")).alias("target"))
 
 
 def pivot(size: np.ndarray, frac: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, int | None]:
@@ -101,28 +121,30 @@ def copies(docs: DataFrame, size: Column | None = None, weights: tuple[float, ..
     first, each against the rest of its cell; a cell leaves one fractional row at most, and those of ``cell`` cells
     meet pair by pair in the next level's cells, up to one row a source, which is rounded to the nearer side. So a
     source's taken words differ from its target by half the size of one document at most (mostly a small one),
-    however many rows a source has, and no task holds a source.
+    however many rows a source has, and no task holds a source. Equal rows are dealt to cells each by itself.
 
     Sizes default to words; rows of size 0 (null, empty or blank text) take the nearer whole number of copies and no
-    words. A null source is a source. Ties and repeated rows are told apart by nothing and are interchangeable.
-    Other columns only enter the row keys. Reruns agree: cells, order and draws come from hashes and ``seed``.
+    words. A null source is a source. Ties and repeated rows are interchangeable. Very long texts are counted where they
+    lie. Other columns, of any type and name, only enter the row keys. An empty table gives an empty result. Reruns
+    agree: cells, order and draws come from hashes and ``seed``.
     """
     spark = docs.sparkSession
     ship(spark)
     size = word_count(F.col("text")) if size is None else size
     # ids travel as text: pandas would turn longs with a null into doubles
-    rows = materialise(docs.select(F.col("doc_id").cast("string"), "source", size.cast("long").alias("size"), *row_keys(docs.columns)), "sizes")
+    sized = docs.select(F.col("doc_id").cast("string"), "source", size.cast("long").alias("size"), *row_keys(docs))
+    rows = materialise(numbered(sized, "__again"), "sizes")
     targets = materialise(source_targets(rows, weights, most), "targets")
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     joined = rows.join(targets.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     joined = joined.withColumn("__due", due).withColumn("copies", F.floor(F.col("__due") + F.lit(_WHOLE)))
     joined = joined.withColumn("__p", F.greatest(F.col("__due") - F.col("copies"), F.lit(0.0)))
-    joined = joined.withColumn("__cell", F.pmod(F.xxhash64(F.lit(seed), "__rk1"), F.ceil(F.col("__rows") / F.lit(cell))))
+    joined = joined.withColumn("__cell", F.pmod(F.xxhash64(F.lit(seed), "__rk1", "__again"), F.ceil(F.col("__rows") / F.lit(cell))))
     fields = joined.schema
 
     def run(first: bool, last: bool):
         def one(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(["size", "__rk1", "__rk2"], ascending=[False, True, True]).reset_index(drop=True)
+            pdf = pdf.sort_values(["size", "__rk1", "__rk2", "__again"], ascending=[False, True, True, True]).reset_index(drop=True)
             p, w = pdf["__p"].to_numpy(float).copy(), pdf["size"].to_numpy(float)
             p[w == 0] = np.round(p[w == 0])
             key = [seed, int(pdf["__sno"].iloc[0]), int(pdf["__cell"].iloc[0])]
@@ -157,15 +179,21 @@ def copies(docs: DataFrame, size: Column | None = None, weights: tuple[float, ..
 def mix(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with each row as often as the mix takes it.
 
-    Decisions go back to the texts by row key. Rows equal in every column share their copies out among them.
+    Decisions go back to the texts by row key, so columns may have any type and name. Rows equal in every column are one
+    row that is made as often as they are taken together, by a task for every thousand of them. Null, empty and blank
+    texts as in ``copies``; an empty table gives an empty one.
     """
-    taken = copies(docs, **options).groupBy("__rk1", "__rk2").agg(F.sum("copies").alias("__t"), F.count(F.lit(1)).alias("__n"))
-    keys = row_keys(docs.columns)
-    keyed = docs.select("*", *keys).join(materialise(taken, "copies"), ["__rk1", "__rk2"])
-    each = Window.partitionBy("__rk1", "__rk2").orderBy("__rk1")
-    once = keyed.where("__n = 1").withColumn("__c", F.col("__t"))
-    more = keyed.where("__n > 1").withColumn("__i", F.row_number().over(each))
-    more = more.withColumn("__c", F.expr("__t div __n") + F.when(F.col("__i") <= F.expr("__t % __n"), 1).otherwise(0)).drop("__i")
-    both = once.unionByName(more).where("__c > 0")
-    names = [f"`{c}`" for c in docs.columns]
-    return both.select(*names, F.explode(F.sequence(F.lit(1).cast("long"), F.col("__c"))).alias("__again")).select(*names)
+    taken = copies(docs, **options).groupBy(*KEYS).agg(F.sum("copies").alias("t"), F.count(F.lit(1)).alias("n"))
+    taken = materialise(taken, "copies")
+    one, two, t, n, part, again = unused(docs, *KEYS, "__t", "__n", "__part", "__again")
+    keyed = docs.select("*", *row_keys(docs, [one, two])).join(taken.toDF(one, two, t, n), [one, two]).where(F.col(t) > 0)
+    names = list(map(quoted, docs.columns))
+    times = lambda low, high: F.explode(F.sequence(low, high)).alias(again)
+    first = F.lit(1).cast("long")
+    once = keyed.where(F.col(n) == 1).select(*names, times(first, F.col(t))).select(*names)
+    if taken.where("n > 1").isEmpty():
+        return once
+    more = keyed.where(F.col(n) > 1).dropDuplicates([one, two])
+    more = more.withColumn(part, F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({t} - 1) div 1000L")))).repartition(one, two, part)
+    more = more.select(*names, times(first, F.least(F.lit(1000).cast("long"), F.col(t) - F.col(part) * 1000))).select(*names)
+    return once.unionByName(more)
