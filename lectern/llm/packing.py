@@ -10,12 +10,12 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm.words import vocabulary
 from lectern.runtime import materialise, ship
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -28,8 +28,8 @@ class WordTokenizer:
 
     No pre-token of this file spans white space, so ids are kept by white-space-delimited chunk. A chunk of common
     characters not seen before goes through a byte-pair encoder over the file's own vocabulary, in which a space
-    stands for the word end; any other chunk goes through the library. The chunk table is bounded and starts anew
-    when full.
+    stands for the word end; any other chunk, and one that holds a special token's string, goes through the library. The
+    chunk table is bounded and starts anew when full.
     """
 
     #: White space as the library's regular expressions know it, of which str.split() differs by U+001C to U+001F.
@@ -43,7 +43,6 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             vocab = json.load(f)["model"]["vocab"]
         special = {t.content for t in self.whole.get_added_tokens_decoder().values()}
@@ -54,11 +53,12 @@ class WordTokenizer:
                 end = token.endswith("</w>") and token != "</w>"
                 ranks[bytes(byte_of[c] for c in (token[:-4] if end else token)) + b" " * end] = i
         self.pieces = tiktoken.Encoding("word-bpe", pat_str=r"[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+        self.special = re.compile("|".join(map(re.escape, sorted(special))) or "(?!)")
         self.known: dict[str, bytes] = {}
         self.limit = limit
 
     def chunk(self, c: str) -> bytes:
-        if self._COMMON.fullmatch(c):
+        if self._COMMON.fullmatch(c) and not self.special.search(c):
             words = self._PRE.findall(unicodedata.normalize("NFC", c).lower())
             ids = self.pieces.encode_ordinary(" ".join(words) + " ") if words else []
         else:
@@ -95,7 +95,7 @@ _LOADED: dict[str, WordTokenizer] = {}
 def tokenizer(path: str) -> WordTokenizer:
     """One tokenizer for each Python worker."""
     if path not in _LOADED:
-        _LOADED[path] = WordTokenizer(path)
+        _LOADED[path] = WordTokenizer(vocabulary(path))
     return _LOADED[path]
 
 
@@ -178,7 +178,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, windows: in
     merged into full ones, leaving one; those of ``fan_in`` partitions are merged in a task, then those of as many
     such groups, until one group is left. So all sequences but the last hold ``capacity`` tokens.
 
-    Null and empty texts are the end id alone. Repeated rows and ids are packed as often as they come; null ids stay
+    Null and empty texts are the end id alone. A special token's string in a text is that token, as the library reads
+    it. Repeated rows and ids are packed as often as they come; null ids stay
     null. Very long texts are cut over many sequences. An empty table gives an empty result. Other columns are
     ignored. Sequence ids have gaps and follow the input's partitions.
     """
@@ -203,18 +204,18 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, windows: in
         if left:
             yield _batch([left], made + len(packer.done), True)
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["sequence_id", "offset"])
+    def merge(table: pa.Table) -> pa.Table:
+        # Arrow throughout: pandas would turn ids beside a null into doubles
+        rows = table.select([*_KINDS, "ids"]).sort_by([("sequence_id", "ascending"), ("offset", "ascending")]).to_pylist()
         packer = Packer(capacity, 1)
-        for r in pdf.itertuples(index=False):
-            packer.add(None if pd.isna(r.doc_id) else int(r.doc_id), r.start, r.ids, r.doc_tokens)
+        for r in rows:
+            packer.add(r["doc_id"], r["start"], r["ids"], r["doc_tokens"])
         left = packer.close()
-        free = sorted(set(pdf.sequence_id))
-        out = []
-        for seqs, keep in ((packer.done, False), ([left] if left else [], True)):
-            for s in seqs:
-                out.append(_batch([s], free.pop(0), keep))
-        return pa.Table.from_batches(out).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+        free = sorted({r["sequence_id"] for r in rows})
+        out = [_batch([s], free.pop(0), False) for s in packer.done]
+        if left:
+            out.append(_batch([left], free.pop(0), True))
+        return pa.Table.from_batches(out)
 
     first = materialise(docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, f"{PIECE}, ids binary"), "pieces")
     pieces = [c.split()[0] for c in PIECE.split(", ")]
@@ -224,6 +225,6 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, windows: in
     while groups > 1:
         width, groups = width * fan_in, -(-groups // fan_in)
         group = F.expr(f"sequence_id div {width}L")
-        merged = materialise(left.groupBy(group.alias("g")).applyInPandas(merge, f"{PIECE}, ids binary"), "leftovers")
+        merged = materialise(left.groupBy(group.alias("g")).applyInArrow(merge, f"{PIECE}, ids binary"), "leftovers")
         out, left = out.union(merged.where("ids is null").select(*pieces)), merged.where("ids is not null")
     return out.union(left.select(*pieces))

@@ -7,17 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.llm.words import vocabulary
 from lectern.runtime import shared_dir
 
-#: Where the public vocabulary files lie; a parameter of the operators, never copied into the repository.
+#: The public vocabulary files, by name: each worker looks up where they lie. A path works as well.
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 
 
 def tokenizer_path(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+    """Where a public vocabulary file lies on this machine."""
+    return vocabulary(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +28,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lectern.llm.tokencounts import count_edited, sample_edits
 
     docs = _table(spark, sf_dir, "documents")
-    return count_edited(docs, sample_edits(F.col("text")), tokenizer_path(BYTE_BPE))
+    return count_edited(docs, sample_edits(F.col("text")), BYTE_BPE)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +91,7 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lectern.llm.packing import pack
 
-    return pack(_table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE))
+    return pack(_table(spark, sf_dir, "documents"), WORD_BPE)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

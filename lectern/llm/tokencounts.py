@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm.words import vocabulary
 from lectern.runtime import ship
 
 #: Characters after which the next safe cut ends a segment.
@@ -30,7 +31,7 @@ def encoder(path: str):
         import public_tokenizers
         import tiktoken
 
-        with open(path, "rb") as f:
+        with open(vocabulary(path), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         _LOADED[path] = tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     return _LOADED[path]

@@ -10,9 +10,7 @@ from lectern.llm.queries import WORD_BPE, tokenizer_path
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(tokenizer_path(WORD_BPE))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_path(WORD_BPE))
 
 
 def test_ids_equal_the_librarys(library, odd_docs):
@@ -58,6 +56,16 @@ def test_pack_round_trip(spark, odd_docs, no_docs, library):
     assert pack(no_docs, tokenizer_path(WORD_BPE)).count() == 0
 
 
+def test_large_ids_beside_nulls(spark, library):
+    rows = [(2**60 + 3, "one two"), (None, "three"), (2**60 + 5, None), (2**60 + 9, "<|endoftext|> four"), (None, ""), (-(2**62) - 1, "five")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = pack(docs, WORD_BPE, fan_in=2).collect()
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == sorted(i for i, _ in rows if i is not None)
+    for i, text in rows:
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
+        assert (len(ids), zlib.crc32(ids.tobytes())) in {(r.length, r.ids_crc32) for r in got if r.doc_id == i}
+
+
 def test_packer_fills_and_keeps_few_windows_open():
     rng = np.random.default_rng(3)
     packer, total = Packer(100, 4), 0
