@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.graph import connected_components
-from lectern.llm.words import row_keys
+from lectern.llm.graph import connected_components, in_blocks
+from lectern.llm.words import KEYS, quoted, row_keys, unused
 from lectern.runtime import materialise, ship
 
 #: Segments of two bits; their popcounts (0, 1 or 2) stay packed in place.
 SEGMENTS = 32
-#: Chance that two random segments have equal popcounts: 1/16 + 1/4 + 1/16.
-SAME_SEGMENT = 0.375
+#: Chances that two random segments have equal popcounts (1/16 + 1/4 + 1/16), and popcounts that differ by one.
+SAME_SEGMENT, NEXT_SEGMENT = 0.375, 0.5
+#: Vectors that a random one may meet in its range of a coarse grid.
+MEETINGS = 64
 #: Members of one grid cell that one task compares; larger cells are compared in blocks.
 CELL_LIMIT = 4096
 _CHUNK = 100_000
@@ -75,23 +78,58 @@ def embedding(fp: F.Column) -> F.Column:
     return one.bitwiseOR(F.shiftleft(both, 1))
 
 
-def grid_masks(radius: int, blocks: int) -> list[int]:
-    """Masks over the packed embedding: every way to keep ``blocks - radius`` of the blocks.
+@dataclass(frozen=True)
+class Grid:
+    """Cells of the embedding: each of ``masks`` keeps some of its segments, and a vector lies in the cell of what it keeps.
 
-    Vectors at Manhattan distance ``radius`` or less differ in at most ``radius`` blocks, so they share a cell
-    under at least one mask.
+    Vectors at Manhattan distance ``radius`` or less are, under one mask at least, no further apart than ``reach`` (0 or
+    1): in one cell, or in cells that differ by one in one count.
     """
+
+    masks: tuple[int, ...]
+    reach: int
+
+
+def _cut(blocks: int, dropped: int) -> tuple[int, ...]:
+    """Masks over the packed embedding: every way to leave out ``dropped`` of the blocks."""
     cuts = [round(i * SEGMENTS / blocks) for i in range(blocks + 1)]
     parts = [sum(3 << (2 * s) for s in range(cuts[i], cuts[i + 1])) for i in range(blocks)]
-    return [_signed(sum(c)) for c in combinations(parts, blocks - radius)]
+    return tuple(_signed(sum(c)) for c in combinations(parts, blocks - dropped))
 
 
-def blocks_for(n: int, radius: int) -> int:
-    """The fewest blocks under which a random fingerprint meets few others in a cell, for ``n`` distinct fingerprints."""
-    for blocks in range(radius + 2, radius + 8):
+def grid_for(n: int, radius: int) -> Grid:
+    """The coarsest grid in whose range a random vector meets few others, for ``n`` distinct ones.
+
+    Of a distance of ``radius`` over equal blocks, one block at least holds no more than its share. So one block and then
+    two halves with neighbouring cells come first; beyond, as many blocks as the radius are left out and cells are whole.
+    """
+    for blocks in (1, 2):
+        reach, segments = radius // blocks, SEGMENTS // blocks
+        near = SAME_SEGMENT**segments * (1 + reach * segments * NEXT_SEGMENT / SAME_SEGMENT)
+        if reach <= 1 and n * near <= MEETINGS:
+            return Grid(_cut(blocks, blocks - 1), reach)
+    for blocks in range(radius + 2, radius + 9):
         if n * SAME_SEGMENT ** (SEGMENTS * (blocks - radius) / blocks) <= 2 or comb(blocks + 1, radius) > 200:
-            return blocks
-    return radius + 8
+            break
+    return Grid(_cut(blocks, radius), 0)
+
+
+def grid_cells(e: Column, grid: Grid) -> Column:
+    """The cells in which a vector meets others, ``array<struct(mask, cell)>``: its own, and the neighbours below it.
+
+    Of two cells that differ by one in one count, the vector in the upper cell visits the lower one.
+    """
+    found = []
+    for i, m in enumerate(grid.masks):
+        own = e.bitwiseAND(F.lit(m))
+        found.append(F.struct(F.lit(i).alias("mask"), own.alias("cell")))
+        for s in range(SEGMENTS) if grid.reach else ():
+            if m >> (2 * s) & 1:
+                one, two, both = (F.lit(_signed(x << (2 * s))) for x in (1, 2, 3))
+                count = e.bitwiseAND(both)
+                below = F.when(count == one, own.bitwiseXOR(one)).when(count == two, own.bitwiseXOR(both))
+                found.append(F.when(below.isNotNull(), F.struct(F.lit(i).alias("mask"), below.alias("cell"))))
+    return F.filter(F.array(*found), lambda x: x.isNotNull()) if grid.reach else F.array(*found)
 
 
 def _tree(x: np.ndarray, radius: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -175,33 +213,16 @@ def _cell_edges(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.R
 def links(fps: DataFrame, radius: int = 3, cell_limit: int = CELL_LIMIT) -> DataFrame:
     """Edges ``u, v`` between distinct fingerprints (column ``__fp``) that connect all at Hamming distance ``radius`` or less.
 
-    Within a cell a spanning forest of the exact links comes out, so a large cluster costs as many rows as it has
-    members. A cell of over ``cell_limit`` members is cut into blocks, and every two blocks are compared in a task
-    of their own: no link is lost and no task holds more than two blocks.
+    A range join over a grid of the embedding (see ``grid_for``): vectors in range meet in a cell, their Manhattan
+    distance bounds the Hamming distance from below, and what passes is compared exactly. Within a cell a spanning
+    forest of the exact links comes out, so a large cluster costs as many rows as it has members. A cell of over
+    ``cell_limit`` members is cut into blocks, and every two blocks are compared in a group of their own: no link is
+    lost and no task holds more than two blocks.
     """
-    spark = fps.sparkSession
-    ship(spark)
-    masks = grid_masks(radius, blocks_for(fps.count(), radius))
-    cells = fps.select(
-        F.col("__fp"), F.posexplode(F.array([F.lit(m) for m in masks])).alias("mask", "__bits")
-    ).select("mask", embedding(F.col("__fp")).bitwiseAND(F.col("__bits")).alias("cell"), "__fp")
-    large = materialise(
-        cells.groupBy("mask", "cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell_limit), "cells"
-    )
-    if large.isEmpty():
-        dealt = cells.withColumn("block", F.lit(0).cast("long"))
-    else:
-        with_n = cells.join(large, ["mask", "cell"], "left")
-        k = F.ceil(F.col("n") / cell_limit)
-        mine = F.pmod(F.xxhash64("__fp"), k)
-        pairs = F.transform(
-            F.sequence(F.lit(0).cast("long"), k - 1),
-            lambda d: F.least(mine, d) * 1_000_000 + F.greatest(mine, d) + 1,
-        )
-        dealt = with_n.select(
-            "mask", "cell", "__fp",
-            F.explode(F.when(F.col("n").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("block"),
-        )
+    ship(fps.sparkSession)
+    grid = grid_for(fps.count(), radius)
+    cells = fps.select("__fp", F.explode(grid_cells(embedding(F.col("__fp")), grid)).alias("c"))
+    dealt = in_blocks(cells.select("c.mask", "c.cell", "__fp"), ["mask", "cell"], "__fp", cell_limit)
     return (
         dealt.select("mask", "cell", "block", "__fp")
         .repartition("mask", "cell", "block")
@@ -216,11 +237,12 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, seed: int
     ``fingerprint`` is 16 lowercase hex digits. ``component_id`` is the smallest doc_id reachable over links of
     ``radius`` or fewer differing bits, the row's own included; null doc_ids are passed over, and a component of
     nulls only has a null id. Null, empty and blank texts have fingerprint zero and link like any other. Repeated
-    rows each get a row. An empty table gives an empty result. Columns besides doc_id and text only enter the keys.
+    rows each get a row. Very long texts are hashed in chunks. An empty table gives an empty result. Columns besides
+    doc_id and text, of any type and name, only enter the keys.
 
     Equal fingerprints meet once; a group of any number of copies is one node of the graph.
     """
-    keyed = docs.select(F.col("doc_id"), F.col("text"), *row_keys(docs.columns))
+    keyed = docs.select(F.col("doc_id"), F.col("text"), *row_keys(docs))
     rows = materialise(with_fingerprint(keyed, "text", width, seed), "fingerprints")
     classes = materialise(rows.groupBy("__fp").agg(F.min("doc_id").alias("__first")), "classes")
     roots = connected_components(links(classes.select("__fp"), radius)).withColumnRenamed("node", "__fp")
@@ -233,7 +255,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, seed: int
 
 
 def keep_one(docs: DataFrame, width: int = 3, radius: int = 3, seed: int = 42) -> DataFrame:
-    """``docs`` with one row of each component: see ``keep_first``."""
+    """``docs`` with one row of each component of ``near_duplicates``; see ``keep_first`` for which, and for odd rows."""
     return keep_first(docs, materialise(near_duplicates(docs, width, radius, seed), "components"))
 
 
@@ -241,7 +263,9 @@ def keep_first(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """``docs`` with one row of each ``__root`` of ``rows``: that of the smallest doc_id (null last), ties by row hash.
 
     ``rows`` has a ``doc_id, __rk1, __rk2, __root`` for each row of ``docs`` and is read several times.
-    Only the losers' keys travel to the texts; repeated rows equal in every column are merged by those keys.
+    Only the losers' keys travel to the texts; repeated rows equal in every column are merged by those keys, in which
+    nulls and their places count. Columns may have any type and name. Null, empty, blank and very long texts are kept
+    or dropped as their root says. An empty table gives an empty one.
     """
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__rk1"), F.col("__rk2"))
     best = rows.groupBy("__root").agg(F.min(order).alias("__b"))
@@ -253,9 +277,10 @@ def keep_first(docs: DataFrame, rows: DataFrame) -> DataFrame:
         .select("__rk1", "__rk2")
         .distinct()
     )
-    keyed = docs.select("*", *row_keys(docs.columns))
-    kept = keyed.join(losers, ["__rk1", "__rk2"], "left_anti")
-    again = rows.groupBy("__rk1", "__rk2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    one, two = unused(docs, *KEYS)
+    keyed = docs.select("*", *row_keys(docs, [one, two]))
+    kept = keyed.join(losers.toDF(one, two), [one, two], "left_anti")
+    again = rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if not again.isEmpty():
-        kept = kept.dropDuplicates(["__rk1", "__rk2"])
-    return kept.select(*[f"`{c}`" for c in docs.columns])
+        kept = kept.dropDuplicates([one, two])
+    return kept.select(*map(quoted, docs.columns))
