@@ -43,16 +43,29 @@ def _own_folder(prefix: str) -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where that is unset, a session on this machine alone gets a temporary folder; on a cluster it is an error, as
+    executors would not see the driver's folder.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_SHARED:
         _OWN_SHARED[app] = Path(_own_folder("lectern-shared-")).as_uri()
     return _OWN_SHARED[app]
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, which ``clean`` deletes."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def local_path(uri: str) -> str | None:
     """The path of a ``file:`` URI or bare path, else None."""
     if uri.startswith("file:"):
@@ -67,14 +80,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     last stage twice, and leaves columnar files that later readers can prune.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def clean(spark: SparkSession) -> int:
-    """Delete what ``materialise`` wrote in this application, once no DataFrame over it is needed; returns how many tables."""
+    """Delete what this application wrote under ``new_path``, once no DataFrame over it is needed; returns how many."""
     paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
