@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil, log, log2
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +12,22 @@ from lectern.runtime import materialise
 
 #: Bits of one filter at most; 32 MB, which every task holds once. Longer lists are looked up by a join.
 MOST_BITS = 1 << 28
-#: Bits a key and hashes a key, on the first level and on those below it.
+#: Bits a key and hashes a key, on the first level at least and on those below it.
 FIRST, BELOW = (10, 7), (4, 3)
 
 
+def first_level(keys: int, universe: int) -> tuple[int, int]:
+    """Bits a key and hashes a key of the first level: so many that it takes about as many keys of the universe wrongly
+    as there are listed. So every further level is about as small as the list, however large the universe.
+    """
+    hashes = max(FIRST[1], ceil(log2(max(2.0, universe / max(1, keys)))))
+    return max(FIRST[0], ceil(hashes / log(2))), hashes
+
+
+class TooLong(ValueError):
+    """A level would exceed ``MOST_BITS``."""
+
+
 def host_of(url: Column) -> Column:
     """What follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; empty for null or without ``://``."""
     return F.coalesce(ascii_lower(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)), F.lit(""))
@@ -27,9 +41,11 @@ def path_of(url: Column) -> Column:
 class Level:
     """One Bloom filter: its bits as one row of longs, read as a scalar subquery, so that probing is no join."""
 
-    def __init__(self, keys: DataFrame, number: int, count: int):
-        per_key, self.hashes = FIRST if number == 1 else BELOW
+    def __init__(self, keys: DataFrame, number: int, count: int, measure: tuple[int, int] = BELOW):
+        per_key, self.hashes = measure
         self.number, self.bits = number, 64 * max(1, -(-count * per_key // 64))
+        if self.bits > MOST_BITS:
+            raise TooLong(f"{count} keys exceed one filter")
         spots = keys.select(F.explode(F.array(*self._spots(F.col("key")))).alias("at"))
         words = spots.select((F.col("at").bitwiseAND(F.lit(63))).cast("int").alias("b"), F.shiftright("at", 6).alias("w"))
         words = words.groupBy("w").agg(F.expr("bit_or(shiftleft(1L, b))").alias("x"))
@@ -58,17 +74,17 @@ class Cascade:
     of levels before one turns it away is listed. Only the keys that a level takes wrongly are ever written down.
     """
 
-    def __init__(self, listed: DataFrame, universe: DataFrame):
-        """``listed(key)`` and ``universe(key)``; nulls and repeats are ignored."""
+    def __init__(self, listed: DataFrame, universe: DataFrame, size: int | None = None):
+        """``listed(key)`` and ``universe(key)``; nulls and repeats are ignored. ``size``: no fewer than the universe's keys, by which the first level is measured."""
         yes = materialise(listed.where("key is not null").select("key").distinct(), "listed")
         self.levels: list[Level] = []
         if not (n := yes.count()):
             return
-        if n * FIRST[0] > MOST_BITS:
-            raise ValueError(f"{n} keys exceed one filter")
-        self.levels.append(Level(yes, 1, n))
-        wrong = universe.where(self.levels[0].has(F.col("key"))).select("key").distinct()
-        into, other = materialise(wrong.join(yes, "key", "left_anti"), "wrong"), yes
+        self.levels.append(Level(yes, 1, n, first_level(n, size) if size else FIRST))
+        # what the first level takes wrongly: asked for and not listed, as an aggregate over both
+        wrong = universe.where(self.levels[0].has(F.col("key"))).select("key", F.lit(False).alias("l"))
+        wrong = wrong.union(yes.select("key", F.lit(True))).groupBy("key").agg(F.max("l").alias("l"))
+        into, other = materialise(wrong.where("NOT l").select("key"), "wrong"), yes
         while n := into.count():
             self.levels.append(level := Level(into, len(self.levels) + 1, n))
             into, other = materialise(other.where(level.has(F.col("key"))), "wrong"), into
@@ -102,8 +118,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     ``rules(host, path, action)``: a rule fits its host and all subdomains where the url's path starts with the
     rule's. The longest fitting rule decides, of equal length the one with the longer host; a rule listed as both
     allow and block blocks. No rule: null and ``default``, as the url is on no list. Null urls and those without
-    ``://`` have empty host and path, which no rule fits. Rows are judged by themselves; repeated rows and other
-    columns change nothing; an empty table gives an empty result.
+    ``://`` have empty host and path, which no rule fits. Urls of any length are read whole. Rows are judged by
+    themselves; repeated rows and other columns change nothing; an empty table gives an empty result.
 
     Two cascades hold the rules: all rule keys against every key that the corpus's urls could ask for, and the
     blocking ones among the rules. Each url asks for its own few candidates, without a join. A list too long for one
@@ -125,8 +141,12 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     def ranked(key: Column) -> Column:
         return F.struct(F.length(key).alias("n"), F.instr(key, "/").alias("h"), key.alias("k"))
 
-    if rules.count() * FIRST[0] <= MOST_BITS:
-        listed, blocks = Cascade(keys, every), Cascade(blocking, keys)
+    try:
+        n = rules.count()
+        listed, blocks = Cascade(keys, every, n + pages.count() * len(asked)), Cascade(blocking, keys, n)
+    except TooLong:
+        pass
+    else:
         fits = [F.when(listed.has(k), ranked(k)) for k in asked]
         found = urls.select("*", F.greatest(*fits, *fits[:1])["k"].alias("rule"))
         verdict = F.when(F.col("rule").isNull(), F.lit(default)).when(blocks.has(F.col("rule")), "block").otherwise("allow")

@@ -1,5 +1,7 @@
 import re
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +60,19 @@ def test_cascade_is_exact_with_false_positives(spark, monkeypatch):
 def test_no_list(spark):
     universe = spark.range(3).selectExpr("cast(id AS string) AS key")
     assert universe.where(urls.Cascade(universe.limit(0), universe).has(F.col("key"))).count() == 0
+
+
+def test_first_level_keeps_the_next_small():
+    """However large the universe, it takes about as many keys wrongly as are listed."""
+    for keys, universe in ((4, 10), (4, 10**11), (10**6, 10**11)):
+        bits, hashes = urls.first_level(keys, universe)
+        assert universe * (1 - math.exp(-hashes / bits)) ** hashes <= 1.1 * keys + 1
+
+
+def test_too_long_a_list_is_joined_with_the_same_result(spark, monkeypatch):
+    rows = [(i, f"https://{h}/{p}x?q") for i, (h, p) in enumerate((h, p) for h in ("a.net", "example.net", "www.example.com", "x.org") for p in ("en/", "de/", "fr/", ""))]
+    pages = spark.createDataFrame([*rows, (99, None), (100, "no scheme")], "page_id long, url string")
+    rules = spark.createDataFrame([("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")], "host string, path string, action string")
+    want = sorted(map(tuple, urls.judge(pages, rules).collect()))
+    monkeypatch.setattr(urls, "MOST_BITS", 32)
+    assert sorted(map(tuple, urls.judge(pages, rules).collect())) == want and {r[4] for r in want} == {"allow", "block"}
