@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.words import vocabulary
-from lectern.runtime import shared_dir
 
 #: The public vocabulary files, by name: each worker looks up where they lie. A path works as well.
 WORD_BPE = "word_bpe_49k.json"
@@ -58,7 +57,7 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lectern.llm.warc import round_trip
 
-    return round_trip(spark, _table(spark, sf_dir, "pages"), shared_dir(spark))
+    return round_trip(spark, _table(spark, sf_dir, "pages"))
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

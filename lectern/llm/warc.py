@@ -15,13 +15,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.runtime import materialise, ship
+from lectern.runtime import materialise, new_path, ship
 
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: The synthetic pages have no capture time.
 CAPTURED = "1970-01-01T00:00:00Z"
-RECORD_ID = "<urn:page:%s>"
+#: Extension fields: a page's id, and that of the page whose record a revisit stands for.
+PAGE, REFERS = "X-Page-ID", "X-Refers-To-Page-ID"
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
 
@@ -29,16 +30,22 @@ def _storage(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: bytes, refers_to: int | None, revisit: bool) -> bytes:
-    """One WARC record. A revisit keeps the HTTP header, with the payload's length, and leaves out the payload."""
+def record(place: str, page_id: int | None, url: str | None, payload: bytes, digest: bytes, refers_to: int | None, revisit: bool) -> bytes:
+    """One WARC record. A revisit keeps the HTTP header, with the payload's length, and leaves out the payload.
+
+    Its id follows from its place (file and number), so no two records share one, whatever ids pages have, and a task
+    that runs again writes the same.
+    """
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if revisit else http + payload
-    head = [f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {RECORD_ID % ('' if page_id is None else page_id)}",
+    head = [f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, place)}>",
             f"WARC-Date: {CAPTURED}", f"WARC-Payload-Digest: sha1:{base64.b32encode(digest).decode()}"]
+    if page_id is not None:
+        head.append(f"{PAGE}: {page_id}")
     if url is not None:
         head.append("WARC-Target-URI: " + _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", url))
     if revisit:
-        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {RECORD_ID % refers_to}"]
+        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"{REFERS}: {refers_to}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return VERSION + b"\r\n" + "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -51,19 +58,27 @@ def headers(head: bytes) -> dict[str, str]:
 
 
 def inflate(chunks: Iterator[bytes]) -> Iterator[bytes]:
-    """The plain bytes of a gzip stream of any number of members, a bounded piece at a time."""
-    d = zlib.decompressobj(31)
+    """The plain bytes of a gzip stream of any number of members, a bounded piece at a time; one without its end is an error."""
+    d, begun = zlib.decompressobj(31), False
     for data in chunks:
         while data:
+            if not begun:  # zeros may pad members
+                data = data.lstrip(b"\0")
+                if not data:
+                    break
+                begun = True
             out = d.decompress(data, 1 << 20)
             if out:
                 yield out
             if d.eof:
-                data, d = d.unused_data, zlib.decompressobj(31)
+                data, d, begun = d.unused_data, zlib.decompressobj(31), False
             else:
                 data = d.unconsumed_tail
-    if rest := d.flush():
-        yield rest
+    if begun:
+        if rest := d.flush():
+            yield rest
+        if not d.eof:
+            raise ValueError("a gzip stream is cut off")
 
 
 def split_records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -145,7 +160,7 @@ def write_archives(rows: DataFrame, folder: str, most_bytes: int = 256 << 20) ->
                     f = _File(store, f"{root}/part-{part:05d}-{serial:03d}.warc.gz")
                     z, n, plain = zlib.compressobj(4, zlib.DEFLATED, 31), 0, 0
                 page_id, url, payload, digest, refers_to = r
-                rec = record(page_id, url, payload, bytes.fromhex(digest), refers_to, refers_to is not None)
+                rec = record(f"{f.name.rsplit('/', 1)[1]}/{n}", page_id, url, payload, bytes.fromhex(digest), refers_to, refers_to is not None)
                 f.write(z.compress(rec))
                 n, plain = n + 1, plain + len(rec)
                 if plain >= most_bytes:
@@ -204,9 +219,8 @@ def read_archives(files: DataFrame, folder: str) -> DataFrame:
     """
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
-    def page(urn: str | None) -> int | None:
-        found = re.fullmatch(r"<urn:page:(-?\d+)>", urn or "")
-        return int(found[1]) if found else None
+    def page(of: str | None) -> int | None:
+        return None if of is None else int(of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _storage(folder)
@@ -228,7 +242,7 @@ def read_archives(files: DataFrame, folder: str) -> DataFrame:
                         size = int(re.search(rb"Content-Length: (\d+)", block[:cut])[1])
                         if h["warc-type"] == "response" and (hashlib.sha1(block[cut:]).hexdigest() != digest or len(block) - cut != size):
                             raise ValueError(f"{name}, {h['warc-record-id']}: the payload is damaged")
-                        for c, v in zip(cols, (page(h["warc-record-id"]), size, digest, h["warc-type"], page(h.get("warc-refers-to")))):
+                        for c, v in zip(cols, (page(h.get(PAGE.lower())), size, digest, h["warc-type"], page(h.get(REFERS.lower())))):
                             c.append(v)
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
@@ -237,15 +251,16 @@ def read_archives(files: DataFrame, folder: str) -> DataFrame:
     return files.select("file").repartition(max(1, files.count())).mapInArrow(run, schema)
 
 
-def round_trip(spark: SparkSession, pages: DataFrame, folder: str, least: int = 1000) -> DataFrame:
+def round_trip(spark: SparkSession, pages: DataFrame, folder: str | None = None, least: int = 1000) -> DataFrame:
     """Write a record for each row of ``pages``, normalise the archives, and read them back through their indexes.
 
     Null html is an empty payload; a null url has no target header; control characters in a url are percent-encoded.
     Of equal payloads of ``least`` bytes or more the largest page_id is a response (rows repeating that id all are),
     others and null ids revisit it; where all ids are null, all are responses. Very long pages are held one at a time.
-    An empty table gives an empty result. Other columns are ignored.
+    An empty table gives an empty result. Other columns are ignored. Without a ``folder`` the archives go where
+    ``runtime.clean`` deletes them.
     """
-    at = f"{folder}/warc-{uuid.uuid4().hex}"
+    at = f"{folder}/warc-{uuid.uuid4().hex}" if folder else new_path(spark, "warc")
     raw = write_archives(dedup_targets(pages, least), f"{at}/monolithic")
     files = normalise(raw, f"{at}/monolithic", f"{at}/normalised")
     store, root = _storage(f"{at}/monolithic")

@@ -3,6 +3,8 @@ import hashlib
 import zlib
 from pathlib import Path
 
+import pytest
+
 from lectern.llm import warc
 
 BIG = "<p>é " + "x" * 1500
@@ -57,3 +59,29 @@ def test_inflates_many_members_in_pieces():
     data = gzip.compress(b"a" * 100_000) + gzip.compress(b"b" * 10) + gzip.compress(b"")
     parts = (data[i : i + 7] for i in range(0, len(data), 7))
     assert b"".join(warc.inflate(parts)) == b"a" * 100_000 + b"b" * 10
+
+
+def test_a_stream_without_its_end_is_an_error_and_padding_is_none():
+    rec = warc.record("f/0", 1, "u", b"x" * 5000, hashlib.sha1(b"x").digest(), None, False)
+    z = zlib.compressobj(6, zlib.DEFLATED, 31)
+    data = z.compress(rec) + z.flush(zlib.Z_FULL_FLUSH)
+    whole = data + z.compress(rec) + z.flush()
+    assert len(list(warc.split_records(warc.inflate(iter([whole]))))) == 2
+    # the first record is complete, the stream is not; nor is one that lacks its trailer only
+    for cut in (data, whole[:-8], whole[:-1]):
+        with pytest.raises(ValueError, match="cut off"):
+            list(warc.split_records(warc.inflate(iter([cut]))))
+    padded = whole + b"\0" * 700
+    for size in (1, 512, 10**6):
+        parts = (padded[i : i + size] for i in range(0, len(padded), size))
+        assert b"".join(warc.inflate(parts)) == rec * 2
+
+
+def test_record_ids_are_unique(spark, tmp_path):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").repartition(3)
+    raw = warc.write_archives(warc.dedup_targets(pages), (tmp_path / "raw").as_uri(), most_bytes=10_000)
+    ids = []
+    for r in raw.collect():
+        data = gzip.decompress((tmp_path / "raw" / r.file).read_bytes())
+        ids += [h["warc-record-id"] for h, _ in warc.split_records(iter([data]))]
+    assert len(ids) == len(PAGES) == len(set(ids))
