@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm.neighbours import axes, hadamard, nearest
+from lectern.llm.neighbours import axes, choose, hadamard, nearest, unit
 
 
 def brute(rows, queries, k):
@@ -82,3 +82,59 @@ def test_queries_that_find_too_few_are_compared_with_all(spark):
         got = sorted((r.query_id, r["rank"], r.vec_id) for r in nearest(df, F.col("vec_id") < 2, block=block).collect())
         want = brute(rows_, [0, 1], 5)
         assert got == [(i, n + 1, v) for i in (0, 1) for n, (_, v) in enumerate(want[i])]
+
+
+def test_clustered_vectors_meet_few_rows(spark):
+    """Where neighbours are near, the fitted plan compares a small share of the rows and finds nearly all."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(200, 64))
+    x = centres[rng.integers(0, 200, 4000)] + 0.5 * rng.normal(size=(4000, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    u = unit(x)
+    s = u[::20] @ u.T
+    s[np.arange(200), np.arange(0, 4000, 20)] = -9
+    true = np.argsort(-s, axis=1)[:, :5]
+    plan = choose(u[::20][:64], u[true[:64].ravel()], np.repeat(np.arange(64), 5), u[1::2], 42, 0.95, 4, 2)
+    assert plan.recall >= 0.95 and plan.met < 0.06
+    got = {}
+    for r in nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert len(got) == 200
+    assert sum(len(got[20 * i] & set(t.tolist())) for i, t in enumerate(true)) / 1000 >= 0.9
+
+
+def test_three_hashes_and_large_groups(spark, monkeypatch):
+    """Dealing by more axes, and groups cut into blocks, change nothing but the cost."""
+    monkeypatch.setattr("lectern.llm.neighbours.ROWS_PER_CELL", 0)
+    rng = np.random.default_rng(9)
+    x = np.repeat(rng.normal(size=(30, 8)), 20, axis=0) + 0.05 * rng.normal(size=(600, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute(rows, range(0, 600, 50), 5)
+    for block in (16, 4096):
+        got = {}
+        for r in nearest(df, F.col("vec_id") % 50 == 0, block=block).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+        hits = sum(len({i for _, i in got[q]} & {i for _, i in b}) for q, b in want.items())
+        assert hits >= 0.9 * 60 and all(sorted(r for r, _ in v) == [1, 2, 3, 4, 5] for v in got.values())
+
+
+def test_other_lengths_are_searched_among_themselves(spark):
+    rows = [(i, [1.0, i / 10, 0.0]) for i in range(10)] + [(100 + i, [1.0, i / 10]) for i in range(4)] + [(7, [5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest(df, F.col("vec_id").isin(0, 7, 100)).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert sorted(got[100]) == [(1, 101), (2, 102), (3, 103)]
+    assert [i for _, i in sorted(got[0])] == [1, 2, 3, 4, 5] and [i for _, i in sorted(got[7])][0] in (6, 8)
+
+
+def test_a_common_vector_is_one_entry(spark):
+    """Copies of one vector count by their smallest ids, whichever query asks."""
+    rows = [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(300)] + [(1000 + i, [1.0, 2.0, 3.0, 4.0 + i / 100]) for i in range(1, 9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest(df, F.col("vec_id").isin(0, 3, 250, 1004), block=16).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert {q: [i for _, i in sorted(v)] for q, v in got.items() if q < 1000} == {0: [1, 2, 3, 4, 5], 3: [0, 1, 2, 4, 5], 250: [0, 1, 2, 3, 4]}
+    assert {i for _, i in got[1004]} == {i for _, i in brute(rows, [1004], 5)[1004]}
