@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -103,13 +104,15 @@ def sections(html: str | None, header: str = "h3") -> list[dict]:
 
     A header inside a sibling ends nothing: links below it belong to the outer section and to its own.
     """
-    out = []
+    out, places = [], {}
     for h in parse(html).walk():
         if h.name != header:
             continue
         siblings = h.parent.children
+        if id(siblings) not in places:  # looked up once a parent, however many headers it has
+            places[id(siblings)] = {id(c): i for i, c in enumerate(siblings)}
         texts, links = [], []
-        for s in siblings[siblings.index(h) + 1 :]:
+        for s in islice(siblings, places[id(siblings)][id(h)] + 1, None):
             if isinstance(s, str) or s.name in ("script", "style"):
                 continue
             if s.name == header:
@@ -146,14 +149,17 @@ def sections_of(html: Column, header: str = "h3") -> Column:
     return run(html)
 
 
-def anchors_of(html: Column, within: str | None = None) -> Column:
-    """``array<struct(url, title)>`` in document order; null where there is no ``within`` element."""
+def anchors_of(html: Column, within: str | None = None, once: bool = False) -> Column:
+    """``array<struct(url, title)>`` in document order; null where there is no ``within`` element.
+
+    ``once``: the optimizer never makes a second copy of the call.
+    """
 
     @F.arrow_udf(_LINK_SQL)
     def run(pages: pa.Array) -> pa.Array:
         return pa.array([anchors(p.as_py(), within) for p in pages], pa.list_(_LINK))
 
-    return run(html)
+    return (run.asNondeterministic() if once else run)(html)
 
 
 def starts_with_any(url: Column, prefixes: tuple[str, ...]) -> Column:

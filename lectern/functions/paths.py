@@ -10,13 +10,21 @@ IPYNB, MP4 = "application/x-ipynb+json", "video/mp4"
 
 #: File endings and their types.
 MIME_TYPES = {
-    ".css": "text/css", ".csv": "text/csv", ".doc": "application/msword",
+    ".7z": "application/x-7z-compressed", ".aac": "audio/aac", ".avi": "video/x-msvideo", ".avif": "image/avif", ".bat": "text/plain",
+    ".bib": "text/x-bibtex", ".bmp": "image/bmp", ".c": "text/plain", ".cpp": "text/x-c++src", ".css": "text/css", ".csv": "text/csv",
+    ".doc": "application/msword",
     ".docx": "application/vnd.openxmlformats-officedocument.wordprocessingml.document", ".gif": "image/gif",
-    ".htm": "text/html", ".html": "text/html", ".ipynb": IPYNB, ".jpeg": "image/jpeg", ".jpg": "image/jpeg",
-    ".js": "text/javascript", ".json": "application/json", ".md": MARKDOWN, ".mp3": "audio/mpeg", ".mp4": MP4, ".pdf": PDF,
+    ".eps": "application/postscript", ".epub": "application/epub+zip", ".flac": "audio/flac", ".h": "text/plain", ".heic": "image/heic",
+    ".htm": "text/html", ".html": "text/html", ".ico": "image/vnd.microsoft.icon", ".ipynb": IPYNB, ".java": "text/x-java", ".jpeg": "image/jpeg", ".jpg": "image/jpeg",
+    ".js": "text/javascript", ".json": "application/json", ".m4a": "audio/mp4", ".md": MARKDOWN, ".mjs": "text/javascript",
+    ".mov": "video/quicktime", ".mp3": "audio/mpeg", ".mp4": MP4, ".mpeg": "video/mpeg", ".mpg": "video/mpeg",
+    ".odp": "application/vnd.oasis.opendocument.presentation", ".ods": "application/vnd.oasis.opendocument.spreadsheet",
+    ".odt": "application/vnd.oasis.opendocument.text", ".ogg": "audio/ogg", ".opus": "audio/opus", ".pdf": PDF,
     ".png": "image/png", ".ppt": "application/vnd.ms-powerpoint",
-    ".pptx": "application/vnd.openxmlformats-officedocument.presentationml.presentation", ".py": "text/x-python",
-    ".svg": "image/svg+xml", ".tar": "application/x-tar", ".tex": "application/x-tex", ".tgz": "application/x-tar", ".txt": "text/plain",
+    ".pptx": "application/vnd.openxmlformats-officedocument.presentationml.presentation", ".ps": "application/postscript", ".py": "text/x-python",
+    ".rtf": "application/rtf", ".sh": "application/x-sh", ".srt": "text/plain", ".svg": "image/svg+xml", ".tar": "application/x-tar",
+    ".tex": "application/x-tex", ".tgz": "application/x-tar", ".tif": "image/tiff", ".tiff": "image/tiff", ".tsv": "text/tab-separated-values",
+    ".txt": "text/plain", ".vtt": "text/vtt", ".wav": "audio/x-wav", ".weba": "audio/webm", ".webm": "video/webm", ".webp": "image/webp",
     ".xls": "application/vnd.ms-excel", ".xlsx": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet",
     ".xml": "text/xml", ".zip": ZIP,
 }
@@ -31,6 +39,30 @@ def guess_mime_type(path: Column) -> Column:
     return F.try_element_at(table, F.regexp_extract(name, r"[^.]+(\.[^.]+)$", 1))
 
 
+def mime_type_of(path: str) -> str | None:
+    """``guess_mime_type`` of one path."""
+    name = path.rsplit("/", 1)[-1].lower()
+    for e in COMPRESSED:
+        if name.endswith(e):
+            name = name.removesuffix(e)
+            break
+    base, dot, ending = name.rpartition(".")
+    return MIME_TYPES.get(dot + ending) if base and not base.endswith(".") else None
+
+
+def inside(name: str) -> str:
+    """An archive entry's name as a path that stays below its folder: no root, drive, empty part or ``..``."""
+    name = name.replace("\\", "/")
+    parts = (name[2:] if name[1:2] == ":" else name).split("/")
+    return "/".join(p for p in parts if p not in ("", ".", ".."))
+
+
+def of_junk(path: str) -> bool:
+    """``is_junk`` of one path."""
+    parts = path.split("/")
+    return parts[-1] == ".DS_Store" or not {"__MACOSX", ".ipynb_checkpoints"}.isdisjoint(parts)
+
+
 def file_name(path: Column) -> Column:
     """What follows the last slash."""
     return F.substring_index(path, "/", -1)
@@ -53,11 +85,12 @@ def with_suffix(path: Column, suffix: str) -> Column:
 
 
 def relative_to(path: Column, base: str, to: str = "") -> Column:
-    """The part of ``path`` below ``base``, after ``to``; a path elsewhere is an error."""
+    """The part of ``path`` below ``base``, after ``to``; a path elsewhere, or one with ``..``, is an error."""
     base = base.rstrip("/") + "/"
     inside = F.concat(F.lit(to), F.substring(path, len(base) + 1, 1 << 30))
     outside = F.raise_error(F.concat(F.coalesce(path, F.lit("null")), F.lit(f" is not below {base}")))
-    return F.when(F.startswith(path, F.lit(base)), inside).otherwise(outside.cast("string"))
+    below = F.startswith(path, F.lit(base)) & ~F.array_contains(F.split(path, "/"), "..")
+    return F.when(below, inside).otherwise(outside.cast("string"))
 
 
 def is_junk(path: Column) -> Column:

@@ -10,8 +10,11 @@ from dataclasses import dataclass
 from typing import Protocol
 
 
+PNG = "image/png"
+
+
 class ModelClient(Protocol):
-    """Anything picklable with these calls. A remote client goes here; none is the default."""
+    """Anything picklable with these calls: ``models.remote.RemoteClient``, or one's own. The stand-in is the default."""
 
     name: str
 

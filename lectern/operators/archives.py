@@ -10,72 +10,81 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.paths import ZIP, file_name, guess_mime_type, is_junk, parent
-from lectern.operators.gates import change_where, explode_where, passes
+from lectern.functions.paths import ZIP, inside, mime_type_of, of_junk
 from lectern.runtime import ship
 
 
+def _files(data: pa.Scalar) -> Iterator[tuple[int, zipfile.ZipInfo, zipfile.ZipFile]]:
+    with zipfile.ZipFile(io.BytesIO(data.as_buffer())) as z:
+        for i, e in enumerate(x for x in z.infolist() if not x.is_dir()):
+            yield i, e, z
+
+
 def entries(zips: DataFrame, key: str = "key", content: str = "content") -> DataFrame:
-    """``key, pos, path, content``: every file in every archive, in the archive's order; one is held at a time."""
+    """``key, pos, path, content``: every file in every archive, in the archive's order; one is held at a time.
+
+    Paths never lead out of the archive's folder: roots, drives and ``..`` are left out.
+    """
     ship(zips.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k, data in zip(b.column(0), b.column(1)):
-                if not data.is_valid:
-                    continue
-                with zipfile.ZipFile(io.BytesIO(data.as_buffer())) as z:
-                    for i, e in enumerate(x for x in z.infolist() if not x.is_dir()):
-                        one = [pa.array([k.as_py()], b.column(0).type), pa.array([i], pa.int32()), pa.array([e.filename]), pa.array([z.read(e)], pa.binary())]
-                        yield pa.RecordBatch.from_arrays(one, names=["key", "pos", "path", "content"])
+                for i, e, z in _files(data) if data.is_valid else ():
+                    one = [pa.array([k.as_py()], b.column(0).type), pa.array([i], pa.int32()), pa.array([inside(e.filename)]), pa.array([z.read(e)], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(one, names=["key", "pos", "path", "content"])
 
     schema = f"key {zips.schema[key].dataType.simpleString()}, pos int, path string, content binary"
     return zips.select(key, content).mapInArrow(run, schema)
 
 
-def expand_archives(df: DataFrame, mime_types: list[str] | None = None) -> DataFrame:
+def expand_archives(df: DataFrame, mime_types: list[str] | None = None, own_folder: bool = False) -> DataFrame:
     """Zip rows replaced by a row for each file kept; other rows pass.
 
     Kept are files of ``mime_types`` (None: all) that are no junk. A new row has the archive's metadata, the title
-    ``<archive> > <file>``, its own path, type and content. An archive with nothing kept disappears.
+    ``<archive> > <file>``, its own path, type and content. Its path is below the archive's folder, or with
+    ``own_folder`` below one named as the archive, so that no two archives' files meet; it never leads elsewhere. An
+    archive with nothing kept disappears. One file of an archive is held at a time.
     """
-    wanted = _endings(mime_types)
-
-    @F.arrow_udf("array<struct<pos:int,path:string,content:binary>>")
-    def unpack(contents: pa.Array) -> pa.Array:
-        out = []
-        for data in contents:
-            files = []
-            if data.is_valid:
-                with zipfile.ZipFile(io.BytesIO(data.as_buffer())) as z:
-                    for i, e in enumerate(x for x in z.infolist() if not x.is_dir()):
-                        if wanted is None or e.filename.rsplit(".", 1)[-1].lower() in wanted:
-                            files.append({"pos": i, "path": e.filename, "content": z.read(e)})
-            out.append(files)
-        return pa.array(out, pa.list_(pa.struct([("pos", pa.int32()), ("path", pa.string()), ("content", pa.binary())])))
+    names = df.columns
+    at = {n: names.index(n) for n in ("title", "path", "mime_type", "content", "ord")}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            zips = [t == ZIP for t in b.column(at["mime_type"]).to_pylist()]
+            lo = 0
+            for i, is_zip in enumerate(zips):
+                if is_zip:
+                    if i > lo:
+                        yield b.slice(lo, i - lo)
+                    lo = i + 1
+                    yield from expanded(b.slice(i, 1))
+            if lo < len(zips):
+                yield b.slice(lo)
+
+    def expanded(one: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        data = one.column(at["content"])[0]
+        if not data.is_valid:
+            return
+        title, path, order = (one.column(at[n])[0].as_py() for n in ("title", "path", "ord"))
+        folder = path + "/" if own_folder else path[: path.rfind("/") + 1]
+        for i, e, z in _files(data):
+            name = inside(e.filename)
+            kind = mime_type_of(name)
+            if not name or of_junk(name) or mime_types is not None and kind not in mime_types:
+                continue
+            new = {"title": f"{title} > {name.rsplit('/', 1)[-1]}", "path": folder + name, "mime_type": kind, "content": z.read(e), "ord": [*(order or []), i]}
+            columns = list(one.columns)
+            for n, value in new.items():
+                columns[at[n]] = pa.array([value], one.schema.field(at[n]).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=one.schema)
 
     ship(df.sparkSession)
-    gate = passes(F.col("mime_type") == ZIP)
-    found = df.withColumn("__found", unpack(F.when(gate, F.col("content"))))
-    kept = F.filter("__found", lambda e: ~is_junk(e["path"]) & (guess_mime_type(e["path"]).isin(*mime_types) if mime_types is not None else F.lit(True)))
-    rows = explode_where(found, gate, kept, "__e")
-    folder = parent(F.col("path"))
-    rows = change_where(
-        rows,
-        gate,
-        title=F.concat("title", F.lit(" > "), file_name(F.col("__e.path"))),
-        path=F.concat(F.when(folder != "", F.concat(folder, F.lit("/"))).otherwise(F.lit("")), F.col("__e.path")),
-        mime_type=guess_mime_type(F.col("__e.path")),
-        content=F.col("__e.content"),
-        ord=F.concat(F.coalesce("ord", F.array().cast("array<int>")), F.array("__e.pos")),
-    )
-    return rows.select(*df.columns)
-
-
-def _endings(mime_types: list[str] | None) -> set[str] | None:
-    """The file endings that may have one of the types: other entries need not be inflated at all."""
-    from lectern.functions.paths import COMPRESSED, MIME_TYPES
-
-    if mime_types is None:
-        return None
-    return {e[1:] for e, m in MIME_TYPES.items() if m in mime_types} | {e[1:] for e in COMPRESSED}
+    return df.mapInArrow(run, df.schema)
+
+
+def archived(df: DataFrame, own_folder: bool = False) -> DataFrame:
+    """``path, content`` of every file in the zip rows of ``df``, at the paths that ``expand_archives`` would give them."""
+    rows = df.where((F.col("mime_type") == ZIP) & F.col("content").isNotNull())
+    folder = F.concat("path", F.lit("/")) if own_folder else F.regexp_extract("path", r"(?s)^(.*/)?[^/]*$", 1)
+    return entries(rows.select(folder.alias("key"), "content")).select(F.concat("key", "path").alias("path"), "content")

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.runtime import materialise
+
 KEY = ["sha256", "filename"]
 SCHEMA = "sha256 string, filename string, value string, at long, scope string"
 
@@ -55,3 +57,26 @@ class Cache:
         missing = misses(keyed.select(*KEY, content), self.read(spark, scope)).dropDuplicates(KEY)
         self.write(compute(missing), scope)
         return hits(keyed, self.read(spark, scope))
+
+
+def once(df: DataFrame, gate: Column, content: Column, scope: str, compute: Callable[[DataFrame], DataFrame], cache: Cache | None = None) -> DataFrame:
+    """``df`` with ``__value``: what ``compute`` makes of each distinct content of the rows that pass the gate; null elsewhere.
+
+    ``compute`` gets ``sha256, content`` (bytes) and returns ``sha256, value``, a string. It runs once for a content, and its
+    results are written to shared storage, or to the cache, before anything reads them: no later step and no task that
+    runs again repeats a model's call for a result that is kept.
+    """
+    data = F.when(gate, content).cast("binary")
+    keyed = df.withColumn("__sha", F.sha2(data, 256))
+    some = keyed.where("__sha IS NOT NULL").groupBy(F.col("__sha").alias("sha256")).agg(F.first(data).alias("content"))
+    if cache is None:
+        made = materialise(compute(some).select("sha256", "value"), "made")
+    else:
+        spark, name = df.sparkSession, F.lit("value").alias("filename")
+        missing = some.join(cache.read(spark, scope).select("sha256"), "sha256", "left_anti")
+        cache.write(compute(missing).select("sha256", name, "value"), scope)
+        kept = cache.read(spark, scope).where("filename = 'value'")
+        # of the contents at hand, as another run may write on
+        made = hits(keyed.where("__sha IS NOT NULL").select(F.col("__sha").alias("sha256"), name).distinct(), kept)
+        made = materialise(made.select("sha256", "value"), "made")
+    return keyed.join(made.toDF("__sha", "__value"), "__sha", "left").drop("__sha")

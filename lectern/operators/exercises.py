@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.functions.paths import MARKDOWN, stem
 from lectern.models.client import ModelClient, StandIn
+from lectern.operators.cache import Cache, once
 from lectern.operators.gates import change_where, explode_where, in_pairs, passes
 from lectern.runtime import ship
 
@@ -26,6 +30,16 @@ def split_text(text: Column, client: ModelClient | None = None) -> Column:
     return run(text)
 
 
+def split_reply(text: Column, client: ModelClient) -> Column:
+    """The client's exercises of each text as a JSON reply ``{"exercises": [...]}``, to be kept and parsed."""
+
+    @F.arrow_udf(T.StringType())
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([json.dumps({"exercises": client.split(t.as_py())}, ensure_ascii=False) if t.is_valid else None for t in texts], pa.string())
+
+    return run.asNondeterministic()(text)
+
+
 def parse_reply(reply: Column) -> Column:
     """A model's JSON reply ``{"exercises": [...]}`` as exercises."""
     return F.from_json(reply, f"struct<exercises:{EXERCISES}>")["exercises"]
@@ -64,16 +78,26 @@ def file_of(number: Column, legacy_suffix: bool = False) -> Column:
     return F.concat(stem(safe) if legacy_suffix else safe, F.lit(".md"))
 
 
-def split_exercises(df: DataFrame, pairs: list[tuple[str, str]] | None = None, client: ModelClient | None = None, legacy_suffix: bool = False) -> DataFrame:
+def split_exercises(df: DataFrame, pairs: list[tuple[str, str]] | None = None, client: ModelClient | None = None, legacy_suffix: bool = False, cache: Cache | None = None, own_folder: bool = False) -> DataFrame:
     """Markdown rows of the given (type, subtype) pairs replaced by a row for each exercise; others pass.
 
     A text without exercises disappears. New rows come in the order of their file names, by code point, and are one
-    chunk each; their solution flag is the document's.
+    chunk each; their solution flag is the document's. Their files go to ``exercises/`` beside the document, or with
+    ``own_folder`` into a folder named as the document, so that no two sheets' exercises meet. A client other than the
+    stand-in is called once for each distinct text, and its replies are kept; in the ``cache``, if there is one.
     """
 
+    client = client or StandIn()
     ship(df.sparkSession)
     gate = passes(in_pairs(pairs) & (F.col("mime_type") == MARKDOWN))
-    found = df.withColumn("__found", split_text(F.when(gate, F.col("text")), client))
+    # a sheet that was Markdown from the start has its bytes only
+    text = F.coalesce("text", F.col("content").cast("string"))
+    if type(client) is StandIn and cache is None:
+        found = df.withColumn("__found", split_text(F.when(gate, text), client))
+    else:
+        reply = lambda d: d.withColumn("value", split_reply(F.decode("content", "UTF-8"), client))
+        found = once(df, gate, F.encode(text, "UTF-8"), f"split-1-{client.name}", reply, cache)
+        found = found.withColumn("__found", F.coalesce(parse_reply(F.col("__value")), F.array().cast(EXERCISES)))
     named = F.transform(
         unique_exercises(F.col("__found")),
         lambda e: F.struct(file_of(e["number"], legacy_suffix).alias("file"), e["number"].alias("number"), e["snippet"].alias("snippet")),
@@ -89,10 +113,11 @@ def split_exercises(df: DataFrame, pairs: list[tuple[str, str]] | None = None, c
         out,
         gate,
         title=F.concat("title", F.lit(" > Exercise "), number),
-        path=F.concat(F.regexp_extract("path", r"(?s)^(.*/)?[^/]*$", 1), F.lit("exercises/"), F.col("__e.file")),
+        path=F.concat(F.concat("path", F.lit(".")) if own_folder else F.regexp_extract("path", r"(?s)^(.*/)?[^/]*$", 1), F.lit("exercises/"), F.col("__e.file")),
         sub_number=number,
         one_chunk_per_doc=F.lit(True),
         text=F.col("__e.snippet"),
+        content=F.lit(None),
         ord=F.concat(F.coalesce("ord", F.array().cast("array<int>")), F.array("__e.i")),
     )
     return out.select(*df.columns)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from lectern.functions.paths import IPYNB, MARKDOWN, guess_mime_type, parent, with_suffix
 from lectern.models.client import ModelClient, StandIn
+from lectern.operators.cache import Cache, once
 from lectern.operators.gates import change_where, passes
 from lectern.runtime import ship
 
@@ -96,11 +97,12 @@ def markdown_of(content: Column) -> Column:
     return _markdown(content)
 
 
-def describe_images(df: DataFrame, files: DataFrame, client: ModelClient | None = None) -> DataFrame:
+def describe_images(df: DataFrame, files: DataFrame, client: ModelClient | None = None, cache: Cache | None = None) -> DataFrame:
     """``df(path, text)`` with image references rewritten; those to a file in ``files(path, content)`` get the client's description.
 
-    References are found by native functions and joined to the files; a referenced file is described once for each
-    document. An empty reference names no file.
+    References are found by native functions and joined to the files. An empty reference names no file, and a file of an
+    unknown type is no image. A client other than the stand-in describes each distinct image once, and its words are
+    kept; in the ``cache``, if there is one.
     """
     client = client or StandIn()
     ship(df.sparkSession)
@@ -114,34 +116,50 @@ def describe_images(df: DataFrame, files: DataFrame, client: ModelClient | None
     def describe(contents: pa.Array, types: pa.Array) -> pa.Array:
         return pa.array([client.describe(c.as_py(), t.as_py()) for c, t in zip(contents, types)], pa.string())
 
+    @F.arrow_udf("string")
+    def typed(contents: pa.Array) -> pa.Array:
+        """A type, a line feed and an image's bytes: images are told apart by both."""
+        parts = (c.as_py().partition(b"\n") for c in contents)
+        return pa.array([client.describe(image, kind.decode()) for kind, _, image in parts], pa.string())
+
+    describe_typed = typed.asNondeterministic()
     marked = F.concat(
         F.regexp_extract_all(F.col("text"), F.lit(MD_IMAGE.pattern), 2),
         F.regexp_extract_all(F.col("text"), F.lit("(?i)" + HTML_IMAGE.pattern), 1),
     )
     refs = df.select("path", F.explode(F.array_distinct(marked)).alias("src")).distinct()
     refs = refs.withColumn("at", locate(parent(F.col("path")), F.col("src"))).where("at IS NOT NULL")
-    kind = guess_mime_type(F.col("at"))
-    kind = F.coalesce(kind, F.raise_error(F.concat(F.lit("unknown image type: "), F.col("at"))).cast("string"))
-    seen = files.select(F.col("path").alias("at"), "content").join(refs, "at")
-    alts = seen.select("path", "src", describe("content", kind).alias("alt"))
+    # a file of an unknown type is no image that a model could see: its reference keeps its own text
+    seen = files.select(F.col("path").alias("at"), "content").join(refs, "at").withColumn("kind", guess_mime_type(F.col("at"))).where("kind IS NOT NULL")
+    if type(client) is StandIn and cache is None:
+        alts = seen.select("path", "src", describe("content", "kind").alias("alt"))
+    else:
+        data = F.concat(F.encode("kind", "UTF-8"), F.encode(F.lit("\n"), "UTF-8"), F.col("content"))
+        alts = once(seen, F.lit(True), data, f"describe-1-{client.name}", lambda d: d.withColumn("value", describe_typed("content")), cache)
+        alts = alts.select("path", "src", F.col("__value").alias("alt"))
     alts = alts.groupBy("path").agg(F.map_from_entries(F.collect_list(F.struct("src", "alt"))).alias("__alts"))
     joined = df.join(alts, "path", "left")
     return joined.withColumn("text", images_rewritten(F.col("text"), F.col("__alts"))).select(*df.columns)
 
 
-def notebooks_to_markdown(df: DataFrame, files: DataFrame | None = None, client: ModelClient | None = None) -> DataFrame:
+def notebooks_to_markdown(df: DataFrame, files: DataFrame | None = None, client: ModelClient | None = None, cache: Cache | None = None, keep_ending: bool = False) -> DataFrame:
     """Notebook rows turned into Markdown rows; others pass. The text is a column, written by a sink only.
 
-    Images are described where ``files(path, content)`` has them.
+    Images are described where ``files(path, content)`` has them. Conversions are kept in the ``cache``, if there is one, by
+    the notebook's content. ``keep_ending``: ``a.ipynb`` becomes ``a.ipynb.md``, so that it meets no ``a.pdf``'s.
     """
     ship(df.sparkSession)
     gate = passes(F.col("mime_type") == IPYNB)
-    text = markdown_of(F.when(gate, F.col("content")))
+    if cache is None:
+        rows = df.withColumn("__value", markdown_of(F.when(gate, F.col("content"))))
+    else:
+        rows = once(df, gate, F.col("content"), "notebook-1", lambda d: d.withColumn("value", markdown_of(F.col("content"))), cache)
     if files is not None:
-        rows = df.withColumn("__text", text)
-        known = describe_images(rows.select(F.col("path"), F.when(gate, F.col("__text")).alias("text")).where("text IS NOT NULL").distinct(), files, client)
-        df = rows.drop("__text").join(known.withColumnRenamed("text", "__text"), "path", "left").select(*df.columns, "__text")
-        text = F.col("__text")
-    out = change_where(df, gate, path=with_suffix(F.col("path"), ".md"), mime_type=F.lit(MARKDOWN), processing_method=F.lit(None),
-                       text=text if files is not None else images_rewritten(text), content=F.lit(None))
-    return out.drop("__text")
+        known = describe_images(rows.select(F.col("path"), F.when(gate, F.col("__value")).alias("text")).where("text IS NOT NULL").distinct(), files, client, cache)
+        rows = rows.drop("__value").join(known.withColumnRenamed("text", "__value"), "path", "left").select(*df.columns, "__value")
+        text = F.col("__value")
+    else:
+        text = images_rewritten(F.col("__value"))
+    path = F.concat("path", F.lit(".md")) if keep_ending else with_suffix(F.col("path"), ".md")
+    out = change_where(rows, gate, path=path, mime_type=F.lit(MARKDOWN), processing_method=F.lit(None), text=text, content=F.lit(None))
+    return out.select(*df.columns)

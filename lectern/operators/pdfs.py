@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.paths import MARKDOWN, PDF, with_suffix
-from lectern.models.client import ModelClient, StandIn
+from lectern.models.client import PNG, ModelClient, StandIn
+from lectern.operators.cache import Cache, once
 from lectern.operators.gates import change_where, in_pairs, passes
 from lectern.runtime import materialise, ship
 
 #: Fixed value: largest page image that a model is given, in pixels.
 LARGEST = (2048, 3072)
-#: Turns a PDF's bytes into page images. No PDF library is part of this project.
+#: Turns a PDF's bytes into page images. No PDF library is part of this project; ``library_pages`` uses one if it is there.
 Renderer = Callable[[bytes], Iterable[bytes]]
 
 
@@ -32,7 +33,19 @@ def clamped(width: int, height: int, most: tuple[int, int] = LARGEST) -> tuple[i
 
 
 def png_data_url(png: bytes) -> str:
-    return "data:image/png;base64," + base64.b64encode(png).decode()
+    return f"data:{PNG};base64," + base64.b64encode(png).decode()
+
+
+def library_pages(content: bytes, dpi: int = 72) -> Iterator[bytes]:
+    """Renderer over the optional library ``pymupdf``: each page as a PNG at ``dpi``, scaled down to ``LARGEST``."""
+    import pymupdf
+
+    with pymupdf.open(stream=content, filetype="pdf") as book:
+        for page in book:
+            width, height = page.rect.width * dpi / 72, page.rect.height * dpi / 72
+            fit = clamped(max(1, int(width)), max(1, int(height)))
+            zoom = pymupdf.Matrix(fit[0] / page.rect.width, fit[1] / page.rect.height)
+            yield page.get_pixmap(matrix=zoom, alpha=False).tobytes("png")
 
 
 def pages(df: DataFrame, keys: list[str], render: Renderer = form_feed_pages) -> DataFrame:
@@ -60,11 +73,13 @@ def fenced(pages: DataFrame, keys: list[str], page: str = "page", text: str = "t
     return pages.groupBy(*keys).agg(F.array_join(one, "\n\n").alias("document"))
 
 
-def pdfs_to_markdown(df: DataFrame, pairs: list[tuple[str, str]] | None = None, client: ModelClient | None = None, render: Renderer = form_feed_pages, requests: int = 64) -> DataFrame:
+def pdfs_to_markdown(df: DataFrame, pairs: list[tuple[str, str]] | None = None, client: ModelClient | None = None, render: Renderer = form_feed_pages, requests: int = 64,
+                     cache: Cache | None = None, keep_ending: bool = False) -> DataFrame:
     """PDF rows of the given (type, subtype) pairs turned into Markdown rows; others pass.
 
     Equal contents are transcribed once, in ``requests`` tasks at most, a call for each page and one for stitching.
-    Transcriptions are written to shared storage before anything reads them, so a lost task repeats no other's calls.
+    Transcriptions are written to shared storage before anything reads them, so a lost task repeats no other's calls;
+    whole texts are kept in the ``cache``, if there is one. ``keep_ending``: ``a.pdf`` becomes ``a.pdf.md``.
     """
     client = client or StandIn()
     ship(df.sparkSession)
@@ -77,16 +92,14 @@ def pdfs_to_markdown(df: DataFrame, pairs: list[tuple[str, str]] | None = None,
     def stitch(lists: pa.Array) -> pa.Array:
         return pa.array([client.stitch(x.as_py()) for x in lists], pa.string())
 
+    def whole(some: DataFrame) -> DataFrame:
+        read = pages(some, ["sha256"], render).repartition(requests, "sha256", "page")
+        read = materialise(read.select("sha256", "page", transcribe.asNondeterministic()("image").alias("text")), "transcribed")
+        ordered = F.transform(F.array_sort(F.collect_list(F.struct("page", "text"))), lambda x: x["text"])
+        return read.groupBy("sha256").agg(ordered.alias("pages")).select("sha256", stitch.asNondeterministic()("pages").alias("value"))
+
     gate = passes(in_pairs(pairs) & (F.col("mime_type") == PDF))
-    keyed = df.withColumn("__sha", F.when(gate, F.sha2("content", 256)))
-    once = keyed.where("__sha IS NOT NULL").groupBy("__sha").agg(F.first("content").alias("content"))
-    read = pages(once, ["__sha"], render).repartition(requests, "__sha", "page")
-    read = materialise(read.select("__sha", "page", transcribe.asNondeterministic()("image").alias("text")), "transcribed")
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("page", "text"))), lambda x: x["text"])
-    whole = read.groupBy("__sha").agg(ordered.alias("pages")).select("__sha", stitch.asNondeterministic()("pages").alias("__text"))
-    rows = keyed.join(materialise(whole, "stitched"), "__sha", "left")
-    out = change_where(
-        rows, gate, path=with_suffix(F.col("path"), ".md"), mime_type=F.lit(MARKDOWN), processing_method=F.lit(None),
-        text=F.col("__text"), content=F.lit(None),
-    )
+    rows = once(df, gate, F.col("content"), f"pdf-1-{client.name}-{getattr(render, '__name__', type(render).__name__)}", whole, cache)
+    path = F.concat("path", F.lit(".md")) if keep_ending else with_suffix(F.col("path"), ".md")
+    out = change_where(rows, gate, path=path, mime_type=F.lit(MARKDOWN), processing_method=F.lit(None), text=F.col("__value"), content=F.lit(None))
     return out.select(*df.columns)

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from functools import partial
 
-from lectern.functions.paths import IPYNB, PDF
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lectern.functions.paths import IPYNB, PDF, guess_mime_type
 from lectern.functions.rules import CourseRules
 from lectern.models.client import ModelClient
-from lectern.operators.archives import expand_archives
+from lectern.models.remote import BASE_URL, RemoteClient
+from lectern.operators.archives import archived, expand_archives
+from lectern.operators.cache import Cache
 from lectern.operators.exercises import split_exercises
 from lectern.operators.metadata import infer_metadata
 from lectern.operators.notebooks import notebooks_to_markdown
@@ -15,16 +20,38 @@ from lectern.operators.pdfs import Renderer, form_feed_pages, pdfs_to_markdown
 from lectern.plans.pipeline import Pipeline, register
 from lectern.sinks.content_metadata import ContentMetadataSink
 from lectern.sources.base import CourseDump
+from lectern.sources.config import read_env
 from lectern.sources.contents import with_content
+from lectern.sources.files import read_images
 
 #: What is transcribed and split.
 EXERCISE_SHEETS = (("exam", "previous_year_exam"), ("practice", "homework"))
 
 
+#: The setting that names the cache's folder.
+CACHE_DIR = "CACHE_DIR"
+
+
+def described_notebooks(df: DataFrame, dump: str, client: ModelClient | None, cache: Cache | None) -> DataFrame:
+    """Archives expanded and their notebooks converted, with the images that lie in the dump or in the archives described."""
+    files = read_images(df.sparkSession, dump).unionByName(archived(df, own_folder=True).where(guess_mime_type(F.col("path")).startswith("image/")))
+    rows = expand_archives(df, [PDF, IPYNB], own_folder=True)
+    return notebooks_to_markdown(rows, files, client, cache, keep_ending=True)
+
+
 @register("course")
 def course(dump: str, output: str, info: dict, lms_prefix: str, rules: CourseRules | None = None, client: ModelClient | None = None,
-           render: Renderer = form_feed_pages, prefixes: tuple[str, ...] = ("./File",)) -> Pipeline:
-    """Metadata comes first: files from archives inherit their archive's, as the stages' order means."""
+           render: Renderer = form_feed_pages, prefixes: tuple[str, ...] = ("./File",), cache: str | None = None, settings: str | None = None) -> Pipeline:
+    """Metadata comes first: files from archives inherit their archive's, as the stages' order means.
+
+    Every archive and every sheet has a folder of its own, and converted files keep their endings, so no two documents
+    share a path. ``settings``: a ``.env`` file, whose ``CACHE_DIR`` names the cache where ``cache`` does not, and whose
+    model settings make the client where none is given; without them the stand-in is used.
+    """
+    known = read_env(settings) if settings else {}
+    kept = Cache(cache or known[CACHE_DIR]) if cache or known.get(CACHE_DIR) else None
+    if client is None and known.get(BASE_URL):
+        client = RemoteClient.from_settings(known)
     pairs = list(EXERCISE_SHEETS)
     return Pipeline(
         name="course",
@@ -32,10 +59,9 @@ def course(dump: str, output: str, info: dict, lms_prefix: str, rules: CourseRul
         stages=(
             partial(infer_metadata, rules=rules or CourseRules()),
             with_content,
-            partial(expand_archives, mime_types=[PDF, IPYNB]),
-            partial(notebooks_to_markdown, client=client),
-            partial(pdfs_to_markdown, pairs=pairs, client=client, render=render),
-            partial(split_exercises, pairs=pairs, client=client),
+            partial(described_notebooks, dump=dump, client=client, cache=kept),
+            partial(pdfs_to_markdown, pairs=pairs, client=client, render=render, cache=kept, keep_ending=True),
+            partial(split_exercises, pairs=pairs, client=client, cache=kept, own_folder=True),
         ),
         sinks=(ContentMetadataSink(output, info, base=output),),
         info=info,

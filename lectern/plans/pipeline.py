@@ -34,16 +34,15 @@ class Pipeline:
         """All stages in order: one lazy plan, which the optimizer sees whole."""
         return counted(reduce(lambda d, stage: check_schema(stage(d)), self.stages, df), "transformed")
 
-    def load(self, df: DataFrame) -> None:
-        """Compute once, then hand the same rows to every sink."""
-        rows = materialise(df, "resources") if len(self.sinks) != 1 else df
+    def load(self, df: DataFrame) -> DataFrame:
+        """Compute once, then hand the same rows to every sink; returns them as written."""
+        rows = materialise(df, "resources")
         for sink in self.sinks:
             sink.load(rows)
+        return rows
 
     def run(self, spark: SparkSession) -> DataFrame:
-        df = self.transform(self.extract(spark))
-        self.load(df)
-        return df
+        return self.load(self.transform(self.extract(spark)))
 
 
 _REGISTRY: dict[str, Callable[..., Pipeline]] = {}

@@ -25,11 +25,11 @@ from lectern.operators import exercises as X
 from lectern.operators.archives import expand_archives
 from lectern.operators.gates import concatenate
 from lectern.operators.metadata import infer_metadata
-from lectern.operators.notebooks import images_rewritten, notebooks_to_markdown
+from lectern.operators.notebooks import describe_images, images_rewritten, notebooks_to_markdown
 from lectern.operators.pdfs import fenced, pdfs_to_markdown
-from lectern.runtime import ship
+from lectern.runtime import new_path, ship
 from lectern.schema import as_resources, metadata
-from lectern.sinks.content_metadata import content_paths, documents_by_source
+from lectern.sinks.content_metadata import ContentMetadataSink, content_paths, documents_by_source
 from lectern.sources.course_dump import last_links, resolve, section_links
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,12 +89,15 @@ def last_link(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT page_id, replace(replace(replace(replace(trim(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)),
-           '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS section_title FROM pages
-    WHERE regexp_matches(html, '<h1>')
+           '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS section_title,
+           replace(replace(replace(replace(array_to_string(list_filter(list_transform(string_split_regex(
+               regexp_extract(html, '(?s)</h1>(.*?)</article>', 1), '<[^>]*>'), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13))), lambda x: x <> ''), chr(10)),
+           '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS section_text
+    FROM pages WHERE regexp_matches(html, '<h1>')
 """)
 def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _table(spark, sf_dir, "pages").select("page_id", F.explode(H.sections_of(F.col("html"), "h1")).alias("s"))
-    return found.select("page_id", "s.section_title")
+    return found.select("page_id", "s.section_title", "s.section_text")
 
 
 @query(f"""
@@ -313,11 +316,12 @@ def _document_resources(spark: SparkSession, sf_dir: str, **more: Column) -> Dat
 
 
 @query("""
-    SELECT source, CAST(count(*) AS BIGINT) AS n_docs, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids FROM documents GROUP BY source
+    SELECT source, doc_id // 1000 AS part, CAST(count(*) AS BIGINT) AS n_docs, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids
+    FROM documents GROUP BY 1, 2
 """)
 def docs_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by = documents_by_source(_document_resources(spark, sf_dir, text=F.lit(None)))
-    return by.select("source", "n_docs", F.array_join(F.transform("documents", lambda d: d["id"].cast("string")), ",").alias("ids"))
+    by = documents_by_source(_document_resources(spark, sf_dir), F.expr("id div 1000"))
+    return by.select("source", "part", "n_docs", F.array_join(F.transform("documents", lambda d: d["id"].cast("string")), ",").alias("ids"))
 
 
 @query("""
@@ -428,22 +432,61 @@ def notebook_md(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT doc_id, concat('a ![', CASE WHEN doc_id % 2 = 0 THEN concat('alt ', doc_id) ELSE '' END, '](i', doc_id, '.png) b ![old](x.png)',
-           CASE WHEN doc_id % 3 = 0 THEN ' <img alt="no source">' ELSE '' END) AS text
+    SELECT doc_id, concat(substr(text, 1, length(text) // 2), '![', CASE WHEN doc_id % 2 = 0 THEN concat('alt ', doc_id) ELSE '' END, '](i', doc_id, '.png) b ![old](x.png)',
+           CASE WHEN doc_id % 3 = 0 THEN ' <img alt="no source">' ELSE '' END, substr(text, length(text) // 2 + 1)) AS text
     FROM documents
 """)
 def img_alt(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = _documents(spark, sf_dir, """
-        SELECT doc_id, concat('a <IMG ', CASE WHEN doc_id % 2 = 0 THEN concat('alt="alt ', doc_id, '" ') ELSE '' END, 'src="i', doc_id,
-               '.png" width="3"> b ![old](x.png)', CASE WHEN doc_id % 3 = 0 THEN ' <img alt="no source">' ELSE '' END) AS text
+        SELECT doc_id, concat(substr(text, 1, length(text) div 2), '<IMG ', CASE WHEN doc_id % 2 = 0 THEN concat('alt="alt ', doc_id, '" ') ELSE '' END, 'src="i', doc_id,
+               '.png" width="3"> b ![old](x.png)', CASE WHEN doc_id % 3 = 0 THEN ' <img alt="no source">' ELSE '' END, substr(text, length(text) div 2 + 1)) AS text
         FROM documents
     """)
     return tagged.select("doc_id", images_rewritten(F.col("text")).alias("text"))
 
 
-_SHEETS_SQL = """
+@query("""
+    SELECT doc_id, concat(text, ' ![', CASE WHEN doc_id % 3 = 0 THEN concat('png image of ', strlen(text), ' bytes') ELSE 'own' END, '](../i/', doc_id, '.png)') AS text
+    FROM documents
+""")
+def described_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document refers to an image; every third one's is there, holding the text's bytes."""
+    docs = _table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    name = F.concat(F.lit("/out/i/"), F.col("doc_id"), F.lit(".png"))
+    files = docs.where("doc_id % 3 = 0").select(name.alias("path"), F.encode("text", "UTF-8").alias("content"))
+    marked = F.concat("text", F.lit(" ![own](../i/"), F.col("doc_id"), F.lit(".png)"))
+    rows = docs.select(F.concat(F.lit("/out/d/"), F.col("doc_id"), F.lit(".md")).alias("path"), marked.alias("text"))
+    found = describe_images(rows, files)
+    return found.select(F.regexp_extract("path", r"(\d+)\.md$", 1).cast("long").alias("doc_id"), "text")
+
+
+@query("""
+    SELECT source, doc_id AS id, concat('Document ', doc_id) AS title, concat('content/d', doc_id) AS path, sha256(text) AS sha256 FROM documents
+""")
+def written_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sink's files read back: each metadata document, with the hash of its content file."""
+    out = new_path(spark, "course")
+    ContentMetadataSink(out, {"course_title": "T"}, base="/out").load(_document_resources(spark, sf_dir))
+    one = "struct<title:string,path:string,id:bigint>"
+    read = spark.read.schema(f"course_info struct<course_title:string>, documents array<{one}>").option("multiLine", "true").json(f"{out}/metadata")
+    source = F.regexp_extract("_metadata.file_name", r"^(.*)\.json$", 1)
+    docs = read.select(source.alias("source"), F.explode("documents").alias("d")).select("source", "d.*")
+    files = spark.read.format("binaryFile").load(f"{out}/content")
+    files = files.select(F.concat(F.lit("content/"), F.col("_metadata.file_name")).alias("path"), F.sha2("content", 256).alias("sha256"))
+    return docs.join(files, "path").select("source", "id", "title", "path", "sha256")
+
+
+#: A turn's whole text; ASCII white space at its end would be cut with the snippet.
+_CLEAN_SQL = r"concat(regexp_replace(text, '[\x09-\x0D\x1C-\x20]+$', ''), '.')"
+
+
+def _clean(text: Column) -> Column:
+    return F.concat(F.regexp_replace(text, r"[\x09-\x0D\x1C-\x20]+\z", ""), F.lit("."))
+
+
+_SHEETS_SQL = f"""
     SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN 'Solution' ELSE 'Exercise' END AS word, turn // 2 AS n, role = 'assistant' AS solved,
-           concat('## ', CASE WHEN role = 'assistant' THEN 'Solution' ELSE 'Exercise' END, ' ', turn // 2, chr(10), 'x', length(text)) AS snippet
+           concat('## ', CASE WHEN role = 'assistant' THEN 'Solution' ELSE 'Exercise' END, ' ', turn // 2, chr(10), {_CLEAN_SQL}) AS snippet
     FROM conversations
 """
 
@@ -451,7 +494,7 @@ _SHEETS_SQL = """
 def _sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation as a Markdown sheet with a preface."""
     one = lambda t: F.concat(F.lit("## "), F.when(t["role"] == "assistant", "Solution").otherwise("Exercise"), F.lit(" "),
-                             F.floor(t["turn"] / 2).cast("string"), F.lit("\nx"), F.length(t["text"]).cast("string"))
+                             F.floor(t["turn"] / 2).cast("string"), F.lit("\n"), _clean(t["text"]))
     text = F.concat(F.lit("preface\n\n"), F.array_join(F.transform("turns", one), "\n\n"))
     return _turns(spark, sf_dir).select("conv_id", text.alias("text"))
 
@@ -532,14 +575,14 @@ def pdf_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
     WITH l AS (SELECT page_id, url, title, pos FROM ({_LINKS_SQL}) WHERE starts_with(url, '/'))
-    SELECT CASE WHEN page_id % 2 = 0 THEN 'even' ELSE 'odd' END AS source, CAST(count(*) AS BIGINT) AS n_docs,
+    SELECT CASE WHEN page_id % 2 = 0 THEN 'even' ELSE 'odd' END AS source, CAST(page_id // 100 AS INTEGER) AS part, CAST(count(*) AS BIGINT) AS n_docs,
            string_agg(title, '|' ORDER BY page_id, pos) AS titles
-    FROM l GROUP BY 1
+    FROM l GROUP BY 1, 2
 """)
 def course_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = _links(_table(spark, sf_dir, "pages")).where(H.starts_with_any(F.col("url"), ("/",)))
     rows = as_resources(links, source=F.when(F.col("page_id") % 2 == 0, "even").otherwise("odd"), path=F.col("url"),
                         mime_type=P.guess_mime_type(F.col("url")), ord=F.array(F.col("page_id").cast("int"), F.col("pos")))
-    by = documents_by_source(infer_metadata(rows, replace(RULES, strict=False)))
-    return by.select("source", "n_docs", F.array_join(F.transform("documents", lambda d: d["title"]), "|").alias("titles"))
+    by = documents_by_source(infer_metadata(rows, replace(RULES, strict=False)), F.floor(F.col("ord")[0] / 100).cast("int"))
+    return by.select("source", "part", "n_docs", F.array_join(F.transform("documents", lambda d: d["title"]), "|").alias("titles"))
 

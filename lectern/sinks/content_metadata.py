@@ -10,7 +10,7 @@ from pathlib import PurePosixPath
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.paths import relative_to
@@ -18,11 +18,15 @@ from lectern.runtime import ship
 from lectern.schema import METADATA_FIELDS
 
 
-def documents_by_source(df: DataFrame) -> DataFrame:
-    """``source, n_docs, documents``: metadata documents in order, duplicates kept. One row a source: for small sources."""
+def documents_by_source(df: DataFrame, part: Column) -> DataFrame:
+    """``source, part, n_docs, documents``: metadata documents in order, duplicates kept, a row for each ``part`` of a source.
+
+    ``part`` rises with ``ord`` and holds a bounded number of rows, so that no task gathers a source; parts in order
+    are the source.
+    """
     doc = F.struct(*[F.col(n).alias(n.rstrip("_")) for n in METADATA_FIELDS])
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("ord", "title", "path", doc.alias("doc")))), lambda x: x["doc"])
-    return df.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), ordered.alias("documents"))
+    return df.groupBy("source", part.alias("part")).agg(F.count(F.lit(1)).alias("n_docs"), ordered.alias("documents"))
 
 
 def content_paths(df: DataFrame, output: str) -> DataFrame:
@@ -37,8 +41,10 @@ def _plain(value: object) -> object:
 class ContentMetadataSink:
     """Writes ``content/...`` and ``metadata/<source>.json`` below ``output``; every sink sees the same rows.
 
-    A row's text or content is written; a row with neither has its file copied. A source's document is streamed by
-    one task in order, an entry at a time, as its form is one file.
+    A row's text or content is written; a row with neither has its file copied. Different contents under one path are an
+    error, before anything is written; equal ones are one file. A source's document is streamed by one task in order, an
+    entry at a time, as its form is one file: named as the source up to its last dot, or, where two sources' names
+    would meet, as the whole source.
     """
 
     def __init__(self, output: str, course_info: dict, base: str | None = None):
@@ -52,6 +58,10 @@ class ContentMetadataSink:
     def _content(self, df: DataFrame) -> None:
         output = self.output
         rows = df.select("path", relative_to(F.col("path"), self.base, "content/").alias("to"), F.coalesce(F.encode("text", "UTF-8"), F.col("content")).alias("data"))
+        # a file that is copied counts by its path
+        found = rows.select("to", F.coalesce(F.sha2("data", 256), F.lit("")).alias("is")).groupBy("to").agg(F.min("is").alias("a"), F.max("is").alias("b"))
+        if clash := [r.to for r in found.where("a <> b").select("to").sort("to").limit(5).collect()]:
+            raise ValueError(f"different contents under one path: {', '.join(clash)}")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             store, root = _open(output)
@@ -72,6 +82,8 @@ class ContentMetadataSink:
 
     def _metadata(self, df: DataFrame) -> None:
         output, info, names = self.output, self.course_info, METADATA_FIELDS
+        # a name for each file that is written
+        files = file_names([r.source for r in df.select("source").distinct().collect()])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             store, root = _open(output)
@@ -82,14 +94,24 @@ class ContentMetadataSink:
                     yield from zip(*(c.to_pylist() for c in b.columns))
 
             for source, docs in _runs(rows()):
-                name = PurePosixPath(source).with_suffix(".json").name
-                _replace(store, f"{root}/metadata/{name}", _document(info, names, docs))
+                _replace(store, f"{root}/metadata/{files[source]}", _document(info, names, docs))
             yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64())], names=["n"])
 
         ordered = df.repartition("source").sortWithinPartitions("source", "ord", "title", "path")
         ordered.select("source", *names).mapInArrow(run, "n long").agg(F.sum("n")).collect()
 
 
+def file_names(sources: list[str]) -> dict[str, str]:
+    """The metadata file of each source, no two the same."""
+    short = {s: PurePosixPath(s).with_suffix(".json").name for s in sources}
+    if len(set(short.values())) == len(short):
+        return short
+    whole = {s: s.replace("/", "_") + ".json" for s in sources}
+    if len(set(whole.values())) < len(whole):
+        raise ValueError(f"sources whose files would meet: {', '.join(sorted(sources))}")
+    return whole
+
+
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if ":" in uri.split("/", 1)[0] else f"file://{uri}")
 

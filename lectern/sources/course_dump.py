@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import html as H
 from lectern.functions.paths import guess_mime_type
+from lectern.sources.files import below
 from lectern.runtime import ship
 from lectern.schema import LMS, as_resources
 
@@ -48,7 +49,8 @@ def last_links(pages: DataFrame, keys: list[str], lms_prefix: str, content_prefi
     A page without the ``within`` element is an error, or has neither.
     """
     ship(pages.sparkSession)
-    found = H.anchors_of(F.col("html"), within)
+    # not deterministic to the optimizer: a filter on what is found would else be pushed below and parse each page twice
+    found = H.anchors_of(F.col("html"), within, once=True)
     if strict:
         missing = F.raise_error(F.lit(f"no <{within}> in a page")).cast("array<struct<url:string,title:string>>")
         found = F.coalesce(found, missing)
@@ -85,9 +87,10 @@ def read_dump(spark: SparkSession, dump: str, lms_prefix: str, prefixes: tuple[s
     """The resources of a dump folder with an ``index.html`` and ``<folder>/<file>.html`` pages."""
     base = dump.rstrip("/")
     index = spark.read.text(f"{base}/index.html", wholetext=True).select(F.col("value").alias("html"))
-    name = F.col("_metadata.file_path")
     pages = spark.read.option("pathGlobFilter", "*.html").option("recursiveFileLookup", "true").text(base, wholetext=True)
-    parts = F.split(F.url_decode(name), "/")
-    pages = pages.select(F.element_at(parts, -2).alias("folder"), F.element_at(parts, -1).alias("file"), F.col("value").alias("html"))
+    # a resource page lies in a folder of the dump's own, not deeper
+    parts = F.split(below(F.col("_metadata.file_path"), spark, base), "/")
+    pages = pages.select(parts.alias("p"), F.col("value").alias("html")).where(F.size("p") == 2)
+    pages = pages.select(F.col("p")[0].alias("folder"), F.col("p")[1].alias("file"), "html")
     rows = resolve(section_links(index, prefixes, header), pages, base, lms_prefix, strict)
     return as_resources(rows, source=F.lit("moodle"), kind=F.lit(LMS))

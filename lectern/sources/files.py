@@ -5,7 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.functions.paths import file_name, guess_mime_type, is_junk
+from lectern.functions.paths import MIME_TYPES, file_name, guess_mime_type, is_junk
+
+
+def below(uri: Column, spark: SparkSession, root: str) -> Column:
+    """The part of a file's URI below ``root``, decoded; null where it lies elsewhere."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    base = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString().rstrip("/") + "/"
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    # a plus sign stands for itself in a path
+    name, base = plain(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))), plain(F.lit(base))
+    return F.when(F.startswith(name, base), F.substring(name, F.length(base) + 1, F.length(name)))
+
+
+#: File names of images, for a scan.
+IMAGES = "*.{" + ",".join(sorted(e[1:] for e, kind in MIME_TYPES.items() if kind.startswith("image/"))) + "}"
+
+
+def read_images(spark: SparkSession, root: str) -> DataFrame:
+    """``path, content`` of the images below ``root``, with paths as ``root`` is written."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", IMAGES).load(root)
+    at = F.concat(F.lit(root.rstrip("/") + "/"), below(F.col("_metadata.file_path"), spark, root))
+    return files.select(at.alias("path"), "content")
 
 
 def read_binary(spark: SparkSession, root: str, longest: int | None = None) -> DataFrame:
