@@ -12,16 +12,16 @@ def in_blocks(members: DataFrame, by: list[str], member: str, limit: int) -> Dat
     """``members`` with ``block``: groups of over ``limit`` rows are cut into blocks, and each row appears for every pair
     of blocks that its own is in; the others are block 0. Two rows of a group always share a ``block`` number.
     """
-    large = members.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+    large = members.groupBy(*by).agg(F.count(F.lit(1)).alias("__size")).where(F.col("__size") > limit)
     large = materialise(large, "large")
     if large.isEmpty():
         return members.withColumn("block", F.lit(0).cast("long"))
-    k = F.ceil(F.col("n") / limit)
+    k = F.ceil(F.col("__size") / limit)
     mine = F.pmod(F.xxhash64(member), k)
     pairs = F.transform(
         F.sequence(F.lit(0).cast("long"), k - 1), lambda d: F.least(mine, d) * 1_000_000 + F.greatest(mine, d) + 1
     )
-    block = F.explode(F.when(F.col("n").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("block")
+    block = F.explode(F.when(F.col("__size").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("block")
     return members.join(large, by, "left").select(*members.columns, block)
 
 
