@@ -10,7 +10,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.graph import connected_components, in_blocks
@@ -114,22 +114,24 @@ def grid_for(n: int, radius: int) -> Grid:
     return Grid(_cut(blocks, radius), 0)
 
 
-def grid_cells(e: Column, grid: Grid) -> Column:
-    """The cells in which a vector meets others, ``array<struct(mask, cell)>``: its own, and the neighbours below it.
+def grid_cells(batches: Iterator[pa.RecordBatch], grid: Grid) -> Iterator[pa.RecordBatch]:
+    """The cells ``mask, cell`` in which each vector ``(__fp, embedding)`` meets others: its own, and the neighbours below it.
 
     Of two cells that differ by one in one count, the vector in the upper cell visits the lower one.
     """
-    found = []
-    for i, m in enumerate(grid.masks):
-        own = e.bitwiseAND(F.lit(m))
-        found.append(F.struct(F.lit(i).alias("mask"), own.alias("cell")))
-        for s in range(SEGMENTS) if grid.reach else ():
-            if m >> (2 * s) & 1:
-                one, two, both = (F.lit(_signed(x << (2 * s))) for x in (1, 2, 3))
-                count = e.bitwiseAND(both)
-                below = F.when(count == one, own.bitwiseXOR(one)).when(count == two, own.bitwiseXOR(both))
-                found.append(F.when(below.isNotNull(), F.struct(F.lit(i).alias("mask"), below.alias("cell"))))
-    return F.filter(F.array(*found), lambda x: x.isNotNull()) if grid.reach else F.array(*found)
+    for b in batches:
+        fp, e = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns)
+        e = e.view(np.uint64)
+        for i, m in enumerate(grid.masks):
+            own = e & np.uint64(m & 0xFFFFFFFFFFFFFFFF)
+            found, at = [own], [np.arange(len(e))]
+            for s in range(SEGMENTS) if grid.reach else ():
+                if m >> (2 * s) & 1:
+                    some = np.flatnonzero(e >> np.uint64(2 * s) & np.uint64(3))
+                    found.append(own[some] - np.uint64(1 << (2 * s)))
+                    at.append(some)
+            cell, who = np.concatenate(found).view(np.int64), fp[np.concatenate(at)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cell), i, np.int32)), pa.array(cell), pa.array(who)], names=["mask", "cell", "__fp"])
 
 
 def _tree(x: np.ndarray, radius: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -221,8 +223,8 @@ def links(fps: DataFrame, radius: int = 3, cell_limit: int = CELL_LIMIT) -> Data
     """
     ship(fps.sparkSession)
     grid = grid_for(fps.count(), radius)
-    cells = fps.select("__fp", F.explode(grid_cells(embedding(F.col("__fp")), grid)).alias("c"))
-    dealt = in_blocks(cells.select("c.mask", "c.cell", "__fp"), ["mask", "cell"], "__fp", cell_limit)
+    cells = fps.select("__fp", embedding(F.col("__fp"))).mapInArrow(lambda it: grid_cells(it, grid), "mask int, cell long, __fp long")
+    dealt = in_blocks(cells, ["mask", "cell"], "__fp", cell_limit)
     return (
         dealt.select("mask", "cell", "block", "__fp")
         .repartition("mask", "cell", "block")

@@ -195,8 +195,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max
     """Fit a chain on at most ``max_rows`` labelled documents, chosen by a hash of doc_id over all labelled documents.
 
     The vocabulary is the ``max_features`` features found in most of those documents, in ``min_docs`` at least;
-    labels play no part in that choice. Features are found on the executors; the driver gets their numbers only. Labels with a
-    null take no part; of several labels or texts of one id the greatest counts. No labels: all probabilities are 0.5.
+    labels play no part in that choice. A word of over ``LONGEST_WORD`` letters counts by its beginnings only. Features are found on the executors; the driver gets their numbers only. Labels with a
+    null take no part; of several labels or texts of one id the greatest counts. No labels: all probabilities are 0.5,
+    and nothing is judged toxic.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -232,7 +233,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
-    """``docs`` with a probability ``p_<category>`` for each category and ``is_<last category>`` (that probability >= threshold).
+    """``docs`` with a probability ``p_<category>`` for each category and ``is_<last category>`` (that probability > threshold).
 
     Whole texts are read. A null, empty or wordless text has the chain's base probabilities. Each row is judged by
     itself, so ties and repeated rows agree. Columns of ``docs`` with those names are replaced. An empty table gives
@@ -247,7 +248,7 @@ def score(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
         for b in batches:
             p = [chain.probabilities(t.as_py()) for t in b.column(0)]
             cols = [pa.array([r[i] for r in p], pa.float64()) for i in range(len(new))]
-            toxic = pa.array([r[-1] >= threshold for r in p], pa.bool_())
+            toxic = pa.array([r[-1] > threshold for r in p], pa.bool_())
             yield pa.RecordBatch.from_arrays([*b.columns[1:], *cols, toxic], names=[*keep, *new, flag])
 
     schema = docs.select(*[f"`{c}`" for c in keep]).schema
@@ -263,19 +264,27 @@ def label_categories() -> dict[str, Column]:
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, p_low_quality, p_toxic, is_toxic`` for every row of ``docs``."""
+    """``doc_id, p_low_quality, p_toxic, is_toxic`` for every row of ``docs``.
+
+    The chain is fitted on the labelled rows (see ``train``) and reads whole texts. A null, empty or wordless text has
+    the base probabilities; null and repeated ids, ties and repeated rows are each judged by their text; other columns,
+    whatever their names, are ignored; an empty table gives an empty result.
+    """
     chain = train(docs, labels, label_categories())
     return score(docs.select("doc_id", "text"), chain).select("doc_id", "p_low_quality", "p_toxic", "is_toxic")
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose toxicity stays under ``threshold``, with the same columns; see ``score`` for odd rows."""
+    """The rows of ``docs`` whose toxicity is not above ``threshold``, with the same columns.
+
+    Odd rows as in ``score``; extra columns of any type and name are kept.
+    """
     chain = train(docs, labels, label_categories())
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array([chain.probabilities(t.as_py())[-1] < threshold for t in b.column(at)], pa.bool_()))
+            yield b.filter(pa.array([chain.probabilities(t.as_py())[-1] <= threshold for t in b.column(at)], pa.bool_()))
 
     ship(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

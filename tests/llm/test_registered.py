@@ -1,0 +1,190 @@
+"""Every registered query and the pipeline over the smallest tables: against SQL where there is some, else by brute force."""
+
+import re
+import zlib
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from lectern.llm import sharding, toxicity
+from lectern.llm.queries import ORACLE_SQL, QUERIES, WORD_BPE, tokenizer_path
+from lectern.runtime import clean, shared_dir
+
+DATA = Path("/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+TABLES = ("documents", "pages", "embeddings", "labels")
+
+
+def read(name):
+    return duckdb.sql(f"SELECT * FROM read_parquet('{DATA}/{name}.parquet')").df()
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_sql_gives_the_same_rows(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DATA}/{t}.parquet')")
+    got = QUERIES[name](spark, str(DATA))
+    want = con.sql(ORACLE_SQL[name])
+    assert sorted(got.columns) == sorted(want.columns)
+    cols = sorted(got.columns)
+    rows = lambda r: sorted(((tuple(None if v != v else v for v in x)) for x in r), key=str)
+    assert rows(tuple(r[c] for c in cols) for r in got.collect()) == rows(con.sql(f"SELECT {', '.join(cols)} FROM want").fetchall())
+
+
+def test_mixing_and_sharding_rows(spark):
+    docs = read("documents")
+    sizes = {i: len(words(t)) for i, t in zip(docs.doc_id, docs.text)}
+    got = QUERIES["op3_mixing"](spark, str(DATA)).toPandas()
+    assert sorted(got.doc_id) == sorted(docs.doc_id) and all(sizes[i] == n for i, n in zip(got.doc_id, got["size"]))
+    assert ((got.taken >= 0) & (got.taken <= 3 * got["size"])).all()
+    for _, g in got.groupby("source"):
+        assert g.source_size.iloc[0] == g["size"].sum() and abs(g.taken.sum() - g.target.iloc[0]) <= g["size"].max() / 2 + 1e-6
+    placed = QUERIES["op7_sharding"](spark, str(DATA)).toPandas()
+    texts = dict(zip(docs.doc_id, docs.text))
+    assert all(len((texts[i] or "").encode()) + 8 == n and zlib.crc32((texts[i] or "").encode()) == c for i, n, c in zip(placed.doc_id, placed["size"], placed.text_crc32))
+    assert placed.law.eq("rows").all() and placed.grown_shard.isna().all()
+
+
+def test_sharding_equals_sorted_fractional_ranks(spark):
+    """Brute force: rank each source's rows by hash, sort all by fractional rank, cut evenly."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    keyed = sharding.assign(docs, 7, rows_per_bucket=16)
+    h = F.xxhash64(F.lit(42), "__rk1", "__rk2", F.lit(0).cast("long"))
+    source = F.struct(F.col("source").isNull().alias("a"), F.coalesce("source", F.lit("")).alias("b"))
+    start = F.pmod(F.xxhash64(F.lit(42), source), F.lit(1 << 20)) / float(1 << 20)
+    rows = keyed.select("doc_id", "source", "shard", "slot", h.alias("h"), start.alias("start"), "__rk1", "__rk2").collect()
+    assert len({(r["__rk1"], r["__rk2"]) for r in rows}) == len(rows)
+    by = {}
+    for r in rows:
+        by.setdefault(r.source, []).append(r)
+    placed = []
+    for rs in by.values():
+        for i, r in enumerate(sorted(rs, key=lambda r: r.h)):
+            placed.append(((i + r.start) / len(rs), r.h, r))
+    placed.sort(key=lambda x: x[:2])
+    n = len(placed)
+    for at, (_, _, r) in enumerate(placed):
+        shard = at * 7 // n
+        assert (r.shard, r.slot) == (shard, at - -(-shard * n // 7))
+
+
+def test_remaining_queries_return_every_row(spark):
+    docs, vectors = read("documents"), read("embeddings")
+    for name in ("op1_token_counts", "op2_toxicity", "op6_simhash_near_dedup", "op9_fingerprints"):
+        assert sorted(r.doc_id for r in QUERIES[name](spark, str(DATA)).select("doc_id").collect()) == sorted(docs.doc_id), name
+    x = {i: np.array(v, float) for i, v in zip(vectors.vec_id, vectors.embedding)}
+    got, hits = {}, 0
+    for r in QUERIES["op8_neighbours"](spark, str(DATA)).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    cos = lambda a, b: float((a * b).sum() / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum())))
+    assert sorted(got) == [i for i in sorted(x) if i % 50 == 0]
+    for q, found in got.items():
+        assert [r for r, _, _ in sorted(found)] == [1, 2, 3, 4, 5]
+        assert all(s == pytest.approx(cos(x[q], x[i]), abs=1e-12) for _, i, s in found)
+        true = sorted((-cos(x[q], v), i) for i, v in x.items() if i != q)[:5]
+        hits += len({i for _, i, _ in found} & {i for _, i in true})
+    assert hits >= 0.9 * 5 * len(got)
+
+
+def check_pieces(rows, texts):
+    """Each id of each document lies in one piece; ``texts``: document id to text, each packed as often as it starts."""
+    library = Tokenizer.from_file(tokenizer_path(WORD_BPE))
+    used, starts = {}, {}
+    for r in rows:
+        ids = np.array(library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids + [2], "<u4")
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+        used.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        starts.setdefault(r.doc_id, []).append((r.start, r.length))
+    for spans in used.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    return {d: sum(s == 0 for s, _ in v) for d, v in starts.items()}, {d: sum(n for _, n in v) for d, v in starts.items()}
+
+
+def test_packing_rows(spark):
+    docs = read("documents")
+    texts = dict(zip(docs.doc_id, docs.text))
+    times, _ = check_pieces(QUERIES["op10_packing"](spark, str(DATA)).collect(), texts)
+    assert times == dict.fromkeys(texts, 1)
+
+
+def similar(a, b):
+    sets = []
+    for t in (a, b):
+        w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in words(t)]
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    a, b = sets
+    return a == b or 10 * len(a & b) >= 8 * len(a | b)
+
+
+def test_pipeline_stage_by_stage(spark):
+    """Each stage against its definition over the stage's own input, and ``run`` against the stages."""
+    clean(spark)
+    folder = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(folder.iterdir())
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["toxicity", "near_dedup", "mixing", "packing"]
+    kept = stages["toxicity"](spark, docs, str(DATA))
+    judged = {r.doc_id: r.is_toxic for r in toxicity.judge(docs, labels).collect()}
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(i for i, t in judged.items() if not t)
+    clean_docs = sorted((r.doc_id, r.text) for r in kept.collect())
+    parent = list(range(len(clean_docs)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(clean_docs)):
+        for j in range(i):
+            if similar(clean_docs[i][1], clean_docs[j][1]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    single = stages["near_dedup"](spark, kept, str(DATA))
+    assert single.columns == docs.columns
+    assert sorted(r.doc_id for r in single.collect()) == sorted({clean_docs[find(i)][0] for i in range(len(clean_docs))})
+    mixed = stages["mixing"](spark, single, str(DATA))
+    assert mixed.columns == docs.columns
+    times = {}
+    for r in mixed.collect():
+        times[r.doc_id] = times.get(r.doc_id, 0) + 1
+    texts = {r.doc_id: r.text for r in mixed.collect()}
+    got, _ = check_pieces(stages["packing"](spark, mixed, str(DATA)).collect(), texts)
+    assert got == times and set(times.values()) <= {1, 2, 3}
+    # rereading Parquet between the stages changes nothing but the order
+    ran, _ = check_pieces(corpus_pipeline.run(spark, str(DATA)).collect(), texts)
+    assert ran == times
+    assert clean(spark) > 4 and set(folder.iterdir()) <= before
+
+
+def test_pipeline_over_odd_rows(spark, odd_docs, tmp_path):
+    """Nulls, empty and long texts, repeats, extra columns of any type and name, and an empty table."""
+    extra = odd_docs.withColumn("props", F.create_map(F.lit("k"), F.lit("v"))).withColumn("__rk1", F.lit(1)).withColumn("__again", F.lit(2))
+    extra = extra.withColumn("p_toxic", F.lit(0.5)).withColumn("is_toxic", F.lit(True))
+    labels = spark.createDataFrame([(0, 1, 0), (6, 0, 1), (None, 1, 1), (5, None, 0)], "doc_id long, quality int, toxic int")
+    for i, docs in enumerate((extra, extra.limit(0))):
+        folder = tmp_path / str(i)
+        docs.write.parquet(str(folder / "documents.parquet"))
+        labels.write.parquet(str(folder / "labels.parquet"))
+        out = docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, out, str(folder))
+            assert out.columns == docs.columns, name
+        rows = corpus_pipeline.run(spark, str(folder))
+        assert {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"} <= set(rows.columns)
+        assert bool(rows.count()) == (i == 0)

@@ -77,3 +77,64 @@ def test_odd_rows(spark, corpus, odd_docs, no_docs):
     assert chain.probabilities("x") == pytest.approx([0.5, 0.5])
     same = got.where(F.col("doc_id") == 0).select("p_toxic").distinct()
     assert same.count() == 1
+
+
+def dense_fit(x, y, kept):
+    """Ridge logistic regression on some columns of a dense matrix, by gradient steps until they vanish."""
+    x = np.column_stack((x[:, kept], np.ones(len(y))))
+    u, ridge = np.zeros(x.shape[1]), np.append(np.full(len(kept), 1e-3), 0.0)
+    step = 1.0 / (0.25 * np.linalg.eigvalsh(x.T @ x / len(y))[-1] + 1e-3)
+    v, t = u.copy(), 1.0
+    for _ in range(60_000):
+        grad = x.T @ (1 / (1 + np.exp(-x @ v)) - y) / len(y) + ridge * v
+        if np.abs(grad).max() < 1e-10:
+            break
+        u2 = v - step * grad
+        t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        if grad @ (u2 - u) > 0:
+            t2, u2_old = 1.0, u2
+            v = u2_old
+        else:
+            v = u2 + (t - 1) / t2 * (u2 - u)
+        u, t = u2, t2
+    return u
+
+
+def test_chain_equals_a_dense_refit():
+    """The chain's weights against dense fits on the features that it selected, its second model on probabilities of
+    folds that were not fitted on, and its judgement against the sums written out."""
+    rng = np.random.default_rng(6)
+    n, names = 450, [f"f{i}" for i in range(30)]
+    x = (rng.random((n, 30)) < 0.2).astype(float)
+    z = 2.5 * x[:, 0] + 2 * x[:, 1] - 1.5
+    first = (rng.random(n) < 1 / (1 + np.exp(-z))).astype(int)
+    second = (rng.random(n) < 1 / (1 + np.exp(-(2 * x[:, 2] + 1.5 * first - 1.5)))).astype(int)
+    rows = [np.flatnonzero(r).tolist() for r in x]
+    chain = fit_chain(rows, names, np.column_stack((first, second)), ["a", "b"])
+
+    def refit(dense, y, weights):
+        kept = np.flatnonzero(weights)
+        assert len(kept)
+        u = dense_fit(dense, y, kept)
+        assert np.allclose(u[:-1], weights[kept], atol=1e-5)
+        return kept, u
+
+    whole = np.array([chain.words[0].get(w, 0.0) for w in names])
+    kept, u = refit(x, first, whole)
+    assert u[-1] == pytest.approx(chain.intercepts[0], abs=1e-5)
+    unseen = np.zeros(n)
+    for f in range(3):
+        held = np.arange(n) % 3 == f
+        part = [rows[i] for i in np.flatnonzero(~held)]
+        start = np.concatenate(([0], np.cumsum([len(r) for r in part]))).astype(np.int64)
+        w, b = fit_linear(Rows(start, np.array([i for r in part for i in r]), 30, np.zeros((len(part), 0))), first[~held].astype(float))
+        kept, u = refit(x[~held], first[~held], w)
+        unseen[held] = x[held][:, kept] @ u[:-1] + u[-1]
+    weights = np.append([chain.words[1].get(w, 0.0) for w in names], chain.earlier[1])
+    _, u = refit(np.column_stack((x, unseen)), second, weights)
+    assert u[-1] == pytest.approx(chain.intercepts[1], abs=1e-5)
+    for text in ("", "fa", " ".join(["fa", "fb", "fc"])):
+        chain_of = type(chain)(["a", "b"], [{"fa": 2.0, "fb!": -1.0}, {"fc": 1.0}], [[], [0.5]], [-1.0, 0.25])
+        a = -1.0 + 2.0 * ("fa" in text) - 1.0 * ("fb" in text)
+        b = 0.25 + 1.0 * ("fc" in text) + 0.5 * a
+        assert chain_of.probabilities(text) == pytest.approx([1 / (1 + np.exp(-a)), 1 / (1 + np.exp(-b))])
