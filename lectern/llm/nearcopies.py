@@ -1,4 +1,8 @@
-"""Near copies by shingle similarity: MinHash bands give the candidates, exact shingle sets decide."""
+"""Near copies by shingle similarity: SimHash links and MinHash bands give the candidates, exact shingle sets decide.
+
+SimHash alone cannot: at a similarity of 0.8 half of all pairs differ in more than 7 of 64 bits, a radius at which a grid
+holds most of the corpus in range of every document. So its links of ``RADIUS`` bits come first, and bands find the rest.
+"""
 
 from __future__ import annotations
 
@@ -12,15 +16,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.graph import connected_components
+from lectern.llm.graph import connected_components, in_blocks
 from lectern.llm.simhash import keep_first, shingle_hashes
-from lectern.llm.words import row_keys
+from lectern.llm.simhash import links as simhash_links
+from lectern.llm.words import KEYS, row_keys
 from lectern.runtime import materialise, ship
 
 #: Texts that agree in all ``DEPTH`` minima of one of ``BANDS`` bands are candidates: at similarity 0.8 all but 3 in a million pairs.
 BANDS, DEPTH = 32, 5
 #: Minima of 160 that may differ (in four bits each) in a pair worth an exact check: at similarity 0.8 the mean is 30, the deviation 5.
 DIFFER = 56
+#: Bits in which the fingerprints of first candidates may differ.
+RADIUS = 3
+#: Members of one band that one task compares; larger bands are compared in blocks.
+BAND_LIMIT = 512
 _RNG = np.random.default_rng(42)
 _TIMES = _RNG.integers(0, 1 << 63, BANDS * DEPTH).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _PLUS = _RNG.integers(0, 1 << 63, BANDS * DEPTH).astype(np.uint64)
@@ -46,6 +55,15 @@ def band_keys(shingles: np.ndarray) -> tuple[list[int], list[int]]:
     return np.array(keys, np.uint64).view(np.int64).tolist(), np.bitwise_or.reduce(bits, axis=1).view(np.int64).tolist()
 
 
+def simhash_of(shingles: np.ndarray) -> int:
+    """SimHash of the set, as a signed number: a bit is 1 if it is set in over half of the hashes."""
+    set_bits = np.zeros(64, np.int64)
+    for i in range(0, len(shingles), 100_000):
+        part = np.ascontiguousarray(shingles[i : i + 100_000], "<u8").view(np.uint8).reshape(-1, 8)
+        set_bits += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+    return int.from_bytes(np.packbits(set_bits * 2 > len(shingles), bitorder="little").tobytes(), "little", signed=True)
+
+
 def _with(rows: DataFrame, types: str, of: Callable[[np.ndarray], tuple], width: int) -> DataFrame:
     """``rows`` with ``text`` replaced by the columns ``types``, which ``of`` makes from its shingle set."""
     keep = [c for c in rows.columns if c != "text"]
@@ -68,15 +86,126 @@ def _node(text: Column) -> Column:
     return F.when(F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)), F.xxhash64(text)).otherwise(F.lit(0).cast("long"))
 
 
-def _differ(a: str, b: str) -> Column:
-    """How many of the minima differ in their last four bits."""
-    total = F.lit(0)
-    for i in range(BANDS * DEPTH // 16):
-        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
-        total = total + F.bit_count(x)
-    return total
+_FOURS = np.uint64(0x1111111111111111)
+
+
+def _may_be_similar(n: np.ndarray, root: np.ndarray, low: np.ndarray, least: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of members, of different roots, whose sizes and minima allow the similarity."""
+    small, large = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
+    may = np.triu((root[:, None] != root[None, :]) & (small * least.denominator >= large * least.numerator), 1)
+    if may.any():
+        differ = np.zeros(may.shape, np.uint8)
+        for x in low.T:
+            d = x[:, None] ^ x[None, :]
+            d |= d >> np.uint64(1)
+            d |= d >> np.uint64(2)
+            differ += np.bitwise_count(d & _FOURS)
+        may &= differ <= DIFFER
+    return np.nonzero(may)
+
+
+def _shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the pairs ``i, j``: one by one, or for many pairs as products of 0/1 matrices."""
+    if len(i) <= 256:
+        return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i.tolist(), j.tolist())], np.int64)
+    used, at = np.unique(np.concatenate((i, j)), return_inverse=True)
+    row = np.repeat(np.arange(len(used)), [len(sets[k]) for k in used.tolist()])
+    _, column, times = np.unique(np.concatenate([sets[k] for k in used.tolist()]), return_inverse=True, return_counts=True)
+    often = times > 1
+    number = np.cumsum(often) - 1
+    row, column = row[often[column]], number[column[often[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both, width = np.zeros((len(used), len(used)), np.float32), 4096
+    for lo in range(0, int(often.sum()), width):
+        a, b = np.searchsorted(column, (lo, lo + width))
+        part = np.zeros((len(used), width), np.float32)
+        part[row[a:b], column[a:b] - lo] = 1
+        both += part @ part.T
+    return both[at[: len(i)], at[len(i) :]].astype(np.int64)
+
+
+def _forest(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[int]:
+    """Places of the pairs that join what no pair before them has joined, roots being joined already."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    for at, (a, b) in enumerate(zip(root[i].tolist(), root[j].tolist())):
+        if (a := find(a)) != (b := find(b)):
+            parent[a] = b
+            yield at
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of equal ``key, block`` of a partition sorted by them."""
+    kept: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if kept is None else pa.concat_tables([kept, table]).combine_chunks()
+        by = np.stack([table.column(c).to_numpy() for c in ("key", "block")], axis=1)
+        starts = np.flatnonzero(np.concatenate(([True], np.any(by[1:] != by[:-1], axis=1)))).tolist()
+        for lo, hi in zip(starts, starts[1:]):
+            yield table.slice(lo, hi - lo)
+        kept = table.slice(starts[-1])
+    if kept is not None:
+        yield kept
+
+
+def _lists(t: pa.Table, name: str) -> np.ndarray:
+    """A column of lists of one length as a matrix."""
+    c = t.column(name).combine_chunks()
+    c = c.chunk(0) if isinstance(c, pa.ChunkedArray) else c
+    return c.flatten().to_numpy(zero_copy_only=False).reshape(len(c), -1)
+
+
+def _suspects(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator[pa.RecordBatch]:
+    """``key, node`` of the members that may be similar to another one of their band and another root."""
+    key, node = [], []
+    for t in _runs(batches):
+        if t.num_rows > 1:
+            pairs = _may_be_similar(t.column("n").to_numpy(), t.column("root").to_numpy(), _lists(t, "low").view(np.uint64), least)
+            found = np.unique(np.concatenate(pairs))
+            key += [t.column("key")[0].as_py()] * len(found)
+            node += t.column("node").to_numpy()[found].tolist()
+        if len(key) > 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(node, pa.int64())], names=["key", "node"])
+            key, node = [], []
+    yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(node, pa.int64())], names=["key", "node"])
+
+
+def _exact_links(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator[pa.RecordBatch]:
+    """Links ``u, v`` that join the roots of a band's similar members; a pair is compared in the first band it shares."""
+    num, den = least.numerator, least.denominator
+    for t in _runs(batches):
+        n, root = t.column("n").to_numpy(), t.column("root").to_numpy()
+        i, j = _may_be_similar(n, root, _lists(t, "low").view(np.uint64), least) if len(n) > 1 else ((), ())
+        if not len(i):
+            continue
+        keys, own = _lists(t, "keys"), t.column("key")[0].as_py()
+        band = int(np.flatnonzero(keys[0] == own)[0])
+        first = np.concatenate([(keys[i[a : a + 65536]] == keys[j[a : a + 65536]]).argmax(axis=1) for a in range(0, len(i), 65536)])
+        i, j = i[first == band], j[first == band]
+        if not len(i):
+            continue
+        sets = [np.array(x, np.int64) for x in t.column("set").to_pylist()]
+        similar = _shared(sets, i, j) * (num + den) >= (n[i] + n[j]) * num
+        i, j = i[similar], j[similar]
+        kept = list(_forest(root, i, j))
+        node = t.column("node").to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(node[i[kept]]), pa.array(node[j[kept]])], names=["u", "v"])
+
+
+def _in_order(members: DataFrame) -> DataFrame:
+    """Members dealt so that each band, or pair of its blocks, is a run of one sorted partition."""
+    dealt = in_blocks(members, ["key"], "node", BAND_LIMIT)
+    return dealt.repartition("key", "block").sortWithinPartitions("key", "block")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
@@ -91,42 +220,53 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: str = "0.8") -> Dat
     """``doc_id, __rk1, __rk2, __root`` for each row of ``docs``: rows of one root are linked by near copies.
 
     Two texts are linked if the Jaccard similarity of their sets of ``width``-word shingles is ``similarity`` or more;
-    texts without words are copies of each other. Candidates share a band. Each is first compared with the smallest
-    node in the band, which links most of a large group at the cost of a row a member; then every two candidates
-    that are not yet linked are compared by their sizes and minima, and exactly if these allow the similarity. Equal texts are one node.
+    null, empty and blank texts are copies of each other. Very long texts are read whole. Equal texts are one node, so
+    repeated rows cost one. Other columns, of any type and name, only enter the keys. An empty table gives an empty result.
+
+    Candidates come from two sides: fingerprints linked by ``simhash.links``, and MinHash bands, in which each member
+    is compared with the smallest one. That joins most of a large group at the cost of a row a member. Then members
+    that share a band but have different roots are compared within it, in blocks: by sizes and minima, and exactly if
+    these allow the similarity. Of those links a band gives no more than it has members.
     """
     least = Fraction(similarity)
-    keyed = docs.select("doc_id", "text", _node(F.col("text")).alias("node"), *row_keys(docs.columns))
-    rows = materialise(_with(keyed, "n long, keys array<long>, low array<long>", lambda s: (len(s), *band_keys(s)), width), "bands")
+    keyed = docs.select("doc_id", "text", _node(F.col("text")).alias("node"), *row_keys(docs))
+    made = lambda s: (len(s), simhash_of(s), *band_keys(s))
+    rows = materialise(_with(keyed, "n long, fp long, keys array<long>, low array<long>", made, width), "bands")
     members = rows.select("node", "n", F.explode("keys").alias("key"))
     buckets = members.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top")
     buckets = materialise(buckets.select("key", "hub"), "buckets")
     within = materialise(members.join(buckets, "key").select("key", "hub", "node", "n").distinct(), "members")
-    wanted = materialise(within.select("node").distinct(), "wanted")
+
+    prints = materialise(rows.where("n > 0").groupBy("fp").agg(F.min("node").alias("least")), "prints")
+    edges = materialise(simhash_links(prints.select(F.col("fp").alias("__fp")), RADIUS).distinct(), "edges")
+    edges = edges.join(prints.toDF("u", "a"), "u").join(prints.toDF("v", "b"), "v").select("a", "b")
+    equal = rows.where("n > 0").join(prints, "fp").select("least", "node")
+    pairs = within.select("hub", "node").union(edges).union(equal).toDF("u", "v").where("u <> v")
+    pairs = materialise(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
+
+    wanted = materialise(within.select("node").union(pairs.select("u")).union(pairs.select("v")).distinct(), "wanted")
     texts = docs.select(_node(F.col("text")).alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"])
     sets = materialise(_with(texts, "set array<long>", lambda s: (s.view(np.int64),), width), "sets")
-
-    first = materialise(within.where("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
-    links = materialise(_similar(first, sets, least), "links")
+    links = materialise(_similar(pairs, sets, least), "links")
     roots = connected_components(links)
 
     rooted = within.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
     rooted = materialise(rooted, "rooted")
-    apart = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most")
-    apart = rooted.join(apart.select("key", "least"), "key")
-    apart = materialise(apart.join(rows.select("node", "low").distinct(), "node"), "apart")
-    # of two nodes apart one at least is not of the band's smallest root
-    a = apart.where("root <> least").select("key", *[F.col(c).alias(f"x{c}") for c in ("node", "n", "root", "low")])
-    fits = F.least("n", "xn") * least.denominator >= F.greatest("n", "xn") * least.numerator
-    rest = a.join(apart, "key").where((F.col("root") != F.col("xroot")) & fits & (_differ("low", "xlow") <= DIFFER))
-    rest = rest.select(F.least("xnode", "node").alias("u"), F.greatest("xnode", "node").alias("v")).distinct()
-    more = materialise(_similar(materialise(rest.join(first, ["u", "v"], "left_anti"), "pairs"), sets, least), "links")
+    apart = rooted.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one <> other")
+    apart = rooted.join(apart.select("key"), "key").join(rows.select("node", "low", "keys").distinct(), "node")
+    apart = materialise(apart.select("key", "node", "n", "root", "low", "keys"), "apart")
+    suspects = _in_order(apart.drop("keys")).mapInArrow(lambda it: _suspects(it, least), "key long, node long").distinct()
+    rest = apart.join(materialise(suspects, "suspects"), ["key", "node"]).join(sets, "node")
+    more = materialise(_in_order(rest).mapInArrow(lambda it: _exact_links(it, least), "u long, v long"), "links")
     if not more.isEmpty():
         roots = connected_components(links.union(more))
     known = materialise(roots, "roots")
-    return rows.join(known, "node", "left").select("doc_id", "__rk1", "__rk2", F.coalesce("root", "node").alias("__root"))
+    return rows.join(known, "node", "left").select("doc_id", *KEYS, F.coalesce("root", "node").alias("__root"))
 
 
 def keep_one(docs: DataFrame, width: int = 5, similarity: str = "0.8") -> DataFrame:
-    """``docs`` with one row of each group of near copies: that of the smallest doc_id (null last), ties by row hash."""
+    """``docs`` with one row of each group of ``near_copies``: that of the smallest doc_id (null last), ties by row hash.
+
+    Odd rows as in ``near_copies`` and ``simhash.keep_first``.
+    """
     return keep_first(docs, materialise(near_copies(docs, width, similarity), "components"))

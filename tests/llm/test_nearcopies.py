@@ -1,4 +1,7 @@
+from fractions import Fraction
+
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from lectern.llm import nearcopies
@@ -28,7 +31,9 @@ def texts():
     return out
 
 
-def test_stage_keeps_one_of_each_group_of_similar_texts(spark):
+@pytest.mark.parametrize("limit", [512, 8])
+def test_stage_keeps_one_of_each_group_of_similar_texts(spark, monkeypatch, limit):
+    monkeypatch.setattr(nearcopies, "BAND_LIMIT", limit)
     every = texts()
     parent = list(range(len(every)))
 
@@ -54,3 +59,30 @@ def test_odd_rows(odd_docs, no_docs):
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(ids, key=lambda x: (x is None, x or 0)) == [0, 2, 5, 6, 7, 8, 9, None]
     assert nearcopies.keep_one(no_docs).count() == 0
+
+
+def test_shared_and_forest():
+    """Intersections are the same pair by pair and as matrix products; a forest joins what the pairs join."""
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 400, int(rng.integers(1, 200)))) for _ in range(60)]
+    i, j = np.triu_indices(60, 1)
+    want = [len(set(sets[a]) & set(sets[b])) for a, b in zip(i, j)]
+    assert len(i) > 256 and nearcopies._shared(sets, i, j).tolist() == want
+    assert nearcopies._shared(sets, i[:100], j[:100]).tolist() == want[:100]
+    kept = list(nearcopies._forest(np.arange(60), i, j))
+    assert len(kept) == 59
+
+
+def test_bound_keeps_similar_pairs():
+    rng = np.random.default_rng(4)
+    sets, low = [], []
+    base = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+    for _ in range(60):  # each shares 8 of 9 parts or more with the first
+        own = base.copy()
+        own[rng.choice(300, 33, replace=False)] = rng.integers(0, 1 << 63, 33).astype(np.uint64)
+        sets.append(np.unique(own))
+        low.append(np.array(nearcopies.band_keys(sets[-1])[1], np.int64).view(np.uint64))
+    first = [k for k, s in enumerate(sets) if len(np.intersect1d(base, s)) / len(np.union1d(base, s)) >= 0.8]
+    low = np.array([np.array(nearcopies.band_keys(np.unique(base))[1], np.int64).view(np.uint64), *low])
+    i, j = nearcopies._may_be_similar(np.array([300] * 61), np.arange(61), low, Fraction("0.8"))
+    assert {k + 1 for k in first} <= set(j[i == 0].tolist()) and len(first) > 40
