@@ -7,12 +7,13 @@ holds most of the corpus in range of every document. So its links of ``RADIUS``
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,8 @@ DIFFER = 56
 RADIUS = 3
 #: Members of one band that one task compares; larger bands are compared in blocks.
 BAND_LIMIT = 512
+#: Rows that come to Python at once where they hold texts or shingle sets; the session's own number is for narrow ones.
+WIDE_ROWS = 500
 _RNG = np.random.default_rng(42)
 _TIMES = _RNG.integers(0, 1 << 63, BANDS * DEPTH).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _PLUS = _RNG.integers(0, 1 << 63, BANDS * DEPTH).astype(np.uint64)
@@ -64,6 +67,18 @@ def simhash_of(shingles: np.ndarray) -> int:
     return int.from_bytes(np.packbits(set_bits * 2 > len(shingles), bitorder="little").tobytes(), "little", signed=True)
 
 
+@contextmanager
+def _wide_rows(spark: SparkSession) -> Iterator[None]:
+    """What is written inside passes rows to Python in batches of ``WIDE_ROWS``, so that a worker holds few texts or sets."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(name)
+    spark.conf.set(name, str(min(WIDE_ROWS, int(own)) if int(own) > 0 else WIDE_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
 def _with(rows: DataFrame, types: str, of: Callable[[np.ndarray], tuple], width: int) -> DataFrame:
     """``rows`` with ``text`` replaced by the columns ``types``, which ``of`` makes from its shingle set."""
     keep = [c for c in rows.columns if c != "text"]
@@ -231,7 +246,9 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: str = "0.8") -> Dat
     least = Fraction(similarity)
     keyed = docs.select("doc_id", "text", _node(F.col("text")).alias("node"), *row_keys(docs))
     made = lambda s: (len(s), simhash_of(s), *band_keys(s))
-    rows = materialise(_with(keyed, "n long, fp long, keys array<long>, low array<long>", made, width), "bands")
+    spark = docs.sparkSession
+    with _wide_rows(spark):
+        rows = materialise(_with(keyed, "n long, fp long, keys array<long>, low array<long>", made, width), "bands")
     members = rows.select("node", "n", F.explode("keys").alias("key"))
     buckets = members.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top")
     buckets = materialise(buckets.select("key", "hub"), "buckets")
@@ -246,7 +263,8 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: str = "0.8") -> Dat
 
     wanted = materialise(within.select("node").union(pairs.select("u")).union(pairs.select("v")).distinct(), "wanted")
     texts = docs.select(_node(F.col("text")).alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    sets = materialise(_with(texts, "set array<long>", lambda s: (s.view(np.int64),), width), "sets")
+    with _wide_rows(spark):
+        sets = materialise(_with(texts, "set array<long>", lambda s: (s.view(np.int64),), width), "sets")
     links = materialise(_similar(pairs, sets, least), "links")
     roots = connected_components(links)
 
@@ -257,7 +275,8 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: str = "0.8") -> Dat
     apart = materialise(apart.select("key", "node", "n", "root", "low", "keys"), "apart")
     suspects = _in_order(apart.drop("keys")).mapInArrow(lambda it: _suspects(it, least), "key long, node long").distinct()
     rest = apart.join(materialise(suspects, "suspects"), ["key", "node"]).join(sets, "node")
-    more = materialise(_in_order(rest).mapInArrow(lambda it: _exact_links(it, least), "u long, v long"), "links")
+    with _wide_rows(spark):
+        more = materialise(_in_order(rest).mapInArrow(lambda it: _exact_links(it, least), "u long, v long"), "links")
     if not more.isEmpty():
         roots = connected_components(links.union(more))
     known = materialise(roots, "roots")
