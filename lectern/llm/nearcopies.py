@@ -180,13 +180,23 @@ def _lists(t: pa.Table, name: str) -> np.ndarray:
     return c.flatten().to_numpy(zero_copy_only=False).reshape(len(c), -1)
 
 
+def _candidates(t: pa.Table, least: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a run's members that may be similar and share no band before this one."""
+    i, j = _may_be_similar(t.column("n").to_numpy(), t.column("root").to_numpy(), _lists(t, "low").view(np.uint64), least)
+    if not len(i):
+        return i, j
+    keys, own = _lists(t, "keys"), t.column("key")[0].as_py()
+    band = int(np.flatnonzero(keys[0] == own)[0])
+    first = np.concatenate([(keys[i[a : a + 65536]] == keys[j[a : a + 65536]]).argmax(axis=1) for a in range(0, len(i), 65536)])
+    return i[first == band], j[first == band]
+
+
 def _suspects(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator[pa.RecordBatch]:
-    """``key, node`` of the members that may be similar to another one of their band and another root."""
+    """``key, node`` of the members of a band that are to be compared there: see ``_candidates``."""
     key, node = [], []
     for t in _runs(batches):
         if t.num_rows > 1:
-            pairs = _may_be_similar(t.column("n").to_numpy(), t.column("root").to_numpy(), _lists(t, "low").view(np.uint64), least)
-            found = np.unique(np.concatenate(pairs))
+            found = np.unique(np.concatenate(_candidates(t, least)))
             key += [t.column("key")[0].as_py()] * len(found)
             node += t.column("node").to_numpy()[found].tolist()
         if len(key) > 10_000:
@@ -196,25 +206,18 @@ def _suspects(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator[pa
 
 
 def _exact_links(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator[pa.RecordBatch]:
-    """Links ``u, v`` that join the roots of a band's similar members; a pair is compared in the first band it shares."""
+    """Links ``u, v`` between the roots of a band's similar members; a pair is compared in the first band it shares."""
     num, den = least.numerator, least.denominator
     for t in _runs(batches):
         n, root = t.column("n").to_numpy(), t.column("root").to_numpy()
-        i, j = _may_be_similar(n, root, _lists(t, "low").view(np.uint64), least) if len(n) > 1 else ((), ())
-        if not len(i):
-            continue
-        keys, own = _lists(t, "keys"), t.column("key")[0].as_py()
-        band = int(np.flatnonzero(keys[0] == own)[0])
-        first = np.concatenate([(keys[i[a : a + 65536]] == keys[j[a : a + 65536]]).argmax(axis=1) for a in range(0, len(i), 65536)])
-        i, j = i[first == band], j[first == band]
+        i, j = _candidates(t, least) if len(n) > 1 else ((), ())
         if not len(i):
             continue
         sets = [np.array(x, np.int64) for x in t.column("set").to_pylist()]
         similar = _shared(sets, i, j) * (num + den) >= (n[i] + n[j]) * num
         i, j = i[similar], j[similar]
         kept = list(_forest(root, i, j))
-        node = t.column("node").to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(node[i[kept]]), pa.array(node[j[kept]])], names=["u", "v"])
+        yield pa.RecordBatch.from_arrays([pa.array(root[i[kept]]), pa.array(root[j[kept]])], names=["u", "v"])
 
 
 def _in_order(members: DataFrame) -> DataFrame:
@@ -240,8 +243,8 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: str = "0.8") -> Dat
 
     Candidates come from two sides: fingerprints linked by ``simhash.links``, and MinHash bands, in which each member
     is compared with the smallest one. That joins most of a large group at the cost of a row a member. Then members
-    that share a band but have different roots are compared within it, in blocks: by sizes and minima, and exactly if
-    these allow the similarity. Of those links a band gives no more than it has members.
+    that share a band but have different roots are compared in the first one they share, in blocks: by sizes and minima,
+    and exactly if these allow the similarity. Of those links, which join roots, a band gives no more than it has members.
     """
     least = Fraction(similarity)
     keyed = docs.select("doc_id", "text", _node(F.col("text")).alias("node"), *row_keys(docs))
@@ -262,6 +265,7 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: str = "0.8") -> Dat
     pairs = materialise(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
 
     wanted = materialise(within.select("node").union(pairs.select("u")).union(pairs.select("v")).distinct(), "wanted")
+    sketches = rows.join(wanted, "node", "left_semi").select("node", "low", "keys").dropDuplicates(["node"])
     texts = docs.select(_node(F.col("text")).alias("node"), "text").join(wanted, "node", "left_semi").dropDuplicates(["node"])
     with _wide_rows(spark):
         sets = materialise(_with(texts, "set array<long>", lambda s: (s.view(np.int64),), width), "sets")
@@ -271,14 +275,16 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: str = "0.8") -> Dat
     rooted = within.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
     rooted = materialise(rooted, "rooted")
     apart = rooted.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one <> other")
-    apart = rooted.join(apart.select("key"), "key").join(rows.select("node", "low", "keys").distinct(), "node")
+    apart = rooted.join(apart.select("key"), "key").join(sketches, "node")
     apart = materialise(apart.select("key", "node", "n", "root", "low", "keys"), "apart")
-    suspects = _in_order(apart.drop("keys")).mapInArrow(lambda it: _suspects(it, least), "key long, node long").distinct()
+    suspects = _in_order(apart).mapInArrow(lambda it: _suspects(it, least), "key long, node long").distinct()
     rest = apart.join(materialise(suspects, "suspects"), ["key", "node"]).join(sets, "node")
     with _wide_rows(spark):
         more = materialise(_in_order(rest).mapInArrow(lambda it: _exact_links(it, least), "u long, v long"), "links")
     if not more.isEmpty():
-        roots = connected_components(links.union(more))
+        tops = materialise(connected_components(more), "tops")
+        joined = roots.join(tops.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+        roots = joined.union(tops.join(roots, "node", "left_anti").select("node", "root"))
     known = materialise(roots, "roots")
     return rows.join(known, "node", "left").select("doc_id", *KEYS, F.coalesce("root", "node").alias("__root"))
 
