@@ -53,6 +53,22 @@ def test_stage_keeps_one_of_each_group_of_similar_texts(spark, monkeypatch, limi
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == want
 
 
+def test_links_found_within_bands_join_roots(spark, monkeypatch):
+    """Chains of windows that slide over long texts: ends share nothing, so hubs alone leave a chain in pieces."""
+    rng = np.random.default_rng(6)
+    docs = []
+    for chain in range(12):
+        words = [f"c{chain}x{rng.integers(9999)}" for _ in range(400)]
+        docs += [(len(docs) + k, " ".join(words[9 * k : 9 * k + 110])) for k in range(30)]
+    assert similarity(docs[0][1], docs[1][1]) >= 0.8 > similarity(docs[0][1], docs[2][1])
+    calls, own = [], nearcopies.connected_components
+    monkeypatch.setattr(nearcopies, "connected_components", lambda e: calls.append(e.count()) or own(e))
+    got = nearcopies.near_copies(spark.createDataFrame(docs, "doc_id long, text string")).toPandas()
+    assert len(calls) == 2 and calls[1] > 0, "the second search found links"
+    assert len(got) == len(docs) and got["__root"].nunique() == 12
+    assert (got.groupby(got.doc_id // 30)["__root"].nunique() == 1).all()
+
+
 def test_odd_rows(odd_docs, no_docs):
     kept = nearcopies.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
