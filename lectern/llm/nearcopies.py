@@ -192,17 +192,12 @@ def _candidates(t: pa.Table, least: Fraction) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _suspects(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator[pa.RecordBatch]:
-    """``key, node`` of the members of a band that are to be compared there: see ``_candidates``."""
-    key, node = [], []
+    """The members of a band that are to be compared there, without their block: see ``_candidates``."""
     for t in _runs(batches):
         if t.num_rows > 1:
             found = np.unique(np.concatenate(_candidates(t, least)))
-            key += [t.column("key")[0].as_py()] * len(found)
-            node += t.column("node").to_numpy()[found].tolist()
-        if len(key) > 10_000:
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(node, pa.int64())], names=["key", "node"])
-            key, node = [], []
-    yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(node, pa.int64())], names=["key", "node"])
+            if len(found):
+                yield from t.take(pa.array(found)).drop_columns(["block"]).to_batches()
 
 
 def _exact_links(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator[pa.RecordBatch]:
@@ -220,12 +215,16 @@ def _exact_links(batches: Iterator[pa.RecordBatch], least: Fraction) -> Iterator
         yield pa.RecordBatch.from_arrays([pa.array(root[i[kept]]), pa.array(root[j[kept]])], names=["u", "v"])
 
 
-def _in_order(members: DataFrame) -> DataFrame:
-    """Members dealt so that each band, or pair of its blocks, is a run of one sorted partition."""
-    dealt = in_blocks(members, ["key"], "node", BAND_LIMIT)
+def _sorted(dealt: DataFrame) -> DataFrame:
+    """Members that have a block, so that each band, or pair of its blocks, is a run of one sorted partition."""
     return dealt.repartition("key", "block").sortWithinPartitions("key", "block")
 
 
+def _in_order(members: DataFrame) -> DataFrame:
+    """Members dealt to blocks and sorted."""
+    return _sorted(in_blocks(members, ["key"], "node", BAND_LIMIT))
+
+
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
     """The pairs ``u, v`` whose shingle sets have at least that Jaccard similarity, by whole numbers only."""
     both = F.size(F.array_intersect("a", "b"))
@@ -277,10 +276,12 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: str = "0.8") -> Dat
     apart = rooted.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one <> other")
     apart = rooted.join(apart.select("key"), "key").join(sketches, "node")
     apart = materialise(apart.select("key", "node", "n", "root", "low", "keys"), "apart")
-    suspects = _in_order(apart).mapInArrow(lambda it: _suspects(it, least), "key long, node long").distinct()
-    rest = apart.join(materialise(suspects, "suspects"), ["key", "node"]).join(sets, "node")
+    suspects = _in_order(apart).mapInArrow(lambda it: _suspects(it, least), apart.schema)
+    # a member may be met in several pairs of blocks; written, so that bands are counted without their sets
+    suspects = materialise(suspects.dropDuplicates(["key", "node"]), "suspects")
+    rest = in_blocks(suspects, ["key"], "node", BAND_LIMIT).join(sets, "node")
     with _wide_rows(spark):
-        more = materialise(_in_order(rest).mapInArrow(lambda it: _exact_links(it, least), "u long, v long"), "links")
+        more = materialise(_sorted(rest).mapInArrow(lambda it: _exact_links(it, least), "u long, v long"), "links")
     if not more.isEmpty():
         tops = materialise(connected_components(more), "tops")
         joined = roots.join(tops.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
