@@ -199,6 +199,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, windows: in
                     yield _batch(packer.done, made, False)
                     made += len(packer.done)
                     packer.done = []
+        tok.known.clear()  # an idle worker, which later stages share, holds none
         left = packer.close()
         yield _batch(packer.done, made, False)
         if left:
