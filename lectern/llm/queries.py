@@ -12,6 +12,7 @@ from lectern.llm.words import vocabulary
 #: The public vocabulary files, by name: each worker looks up where they lie. A path works as well.
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.tiktoken"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -93,11 +94,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lectern.llm.pieces import digests
+
+    return digests(_table(spark, sf_dir, "documents"), PIECE_BPE)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lectern.llm.alignment import align
+
+    return align(_table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_toxicity, op3_mixing, op4_url_filters, op5_warc,
         op6_simhash_near_dedup, op7_sharding, op8_neighbours, op9_fingerprints, op10_packing,
+        op11_sentencepiece, op12_alignment,
     )
 }
 
