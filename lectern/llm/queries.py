@@ -106,12 +106,18 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(_table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
 
 
+def op13_schema_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lectern.llm.migration import migrate_clients
+
+    return migrate_clients(spark, _table(spark, sf_dir, "clients"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_toxicity, op3_mixing, op4_url_filters, op5_warc,
         op6_simhash_near_dedup, op7_sharding, op8_neighbours, op9_fingerprints, op10_packing,
-        op11_sentencepiece, op12_alignment,
+        op11_sentencepiece, op12_alignment, op13_schema_rewrite,
     )
 }
 

@@ -1,5 +1,6 @@
 """Every registered query and the pipeline over the smallest tables: against SQL where there is some, else by brute force."""
 
+import hashlib
 import re
 import zlib
 from pathlib import Path
@@ -12,12 +13,13 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lectern.llm import sharding, toxicity
-from lectern.llm.queries import ORACLE_SQL, QUERIES, WORD_BPE, tokenizer_path
+from lectern.llm.queries import ORACLE_SQL, PIECE_BPE, QUERIES, WORD_BPE, tokenizer_path
 from lectern.runtime import clean, shared_dir
+from tests.llm import test_alignment, test_migration
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
-TABLES = ("documents", "pages", "embeddings", "labels")
+TABLES = ("documents", "pages", "embeddings", "labels", "clients")
 
 
 def read(name):
@@ -121,6 +123,23 @@ def test_packing_rows(spark):
     assert times == dict.fromkeys(texts, 1)
 
 
+def test_sentencepiece_alignment_and_rewrite_rows(spark):
+    """Whole tables against the libraries and the definition."""
+    docs = read("documents")
+    library = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=tokenizer_path(PIECE_BPE))
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = []
+    for i, t in zip(docs.doc_id, docs.text):
+        ids = library.encode(t or "")
+        want.append((i, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids))))
+    assert sorted(map(tuple, QUERIES["op11_sentencepiece"](spark, str(DATA)).collect())) == sorted(want)
+    aligned = QUERIES["op12_alignment"](spark, str(DATA))
+    assert test_alignment.rows(aligned) == test_alignment.brute_force(list(zip(docs.doc_id.tolist(), docs.text.tolist())))
+    got = QUERIES["op13_schema_rewrite"](spark, str(DATA)).collect()
+    rows = duckdb.sql(f"SELECT * FROM read_parquet('{DATA}/clients.parquet')").fetchall()
+    assert sorted((*r[:8], r.rewritten) for r in got) == test_migration.brute_force(rows)
+
+
 def similar(a, b):
     sets = []
     for t in (a, b):
@@ -176,6 +195,7 @@ def test_pipeline_over_odd_rows(spark, odd_docs, tmp_path):
     """Nulls, empty and long texts, repeats, extra columns of any type and name, and an empty table."""
     extra = odd_docs.withColumn("props", F.create_map(F.lit("k"), F.lit("v"))).withColumn("__rk1", F.lit(1)).withColumn("__again", F.lit(2))
     extra = extra.withColumn("p_toxic", F.lit(0.5)).withColumn("is_toxic", F.lit(True))
+    extra = extra.withColumns({"a.b": F.lit(1), "w`x": F.lit("y"), "span": F.expr("INTERVAL '1' DAY")})
     labels = spark.createDataFrame([(0, 1, 0), (6, 0, 1), (None, 1, 1), (5, None, 0)], "doc_id long, quality int, toxic int")
     for i, docs in enumerate((extra, extra.limit(0))):
         folder = tmp_path / str(i)
