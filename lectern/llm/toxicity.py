@@ -13,10 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern.llm.words import quoted, unused
 from lectern.runtime import materialise, ship
 
-#: Words longer than this are no features; it bounds the vocabulary's bytes.
-LONGEST_WORD = 40
 #: Lengths of the word beginnings that are features beside whole words, for languages that inflect and compound.
 PREFIXES = (3, 4, 5, 6)
 #: A feature that makes up this share of a text's words also counts as frequent there.
@@ -41,7 +40,7 @@ def features(counts: Counter[str], whole: Container[str] | None = None, starts:
     """
     total, least, found = counts.total(), 1, Counter()
     for w, n in counts.items():
-        if len(w) <= LONGEST_WORD if whole is None else w in whole:
+        if whole is None or w in whole:
             found[w] += n
         for k in PREFIXES if starts is None else starts:
             if len(w) > k and (starts is None or w[:k] in starts[k]):
@@ -137,6 +136,29 @@ def fit_linear(x: Rows, y: np.ndarray, rounds: int = 120) -> tuple[np.ndarray, f
     return w, float(u[-1])
 
 
+def screened(docs_with: dict[int, int], y: np.ndarray, folds: int) -> int:
+    """In how many documents a feature must be so that a fit can select it at all: rarer ones have weight 0 in each.
+
+    ``docs_with``: how many features are in so many documents. A feature in k of n documents has a slope of under k / n, and is
+    not selected where that is below its penalty: k < n c / (1 + c), with c the square of the penalty over the spread.
+    The bound holds for each category, on all rows and on each fold's, and for the number of features that it leaves.
+    """
+    n, odds = len(y), []
+    for k in range(y.shape[1]):
+        for f in range(-1, folds):
+            some = y[np.arange(n) % folds != f, k]
+            if len(some) and some.min() != some.max():
+                rate = (some.sum() + 0.5) / (len(some) + 1.0)
+                odds.append((rate * (1 - rate), len(some)))
+    least = 1
+    while odds and docs_with:
+        wide = max(2, sum(m for k, m in docs_with.items() if k > least))
+        if any(least >= size * (c := 2 * np.log(wide) / size * spread) / (1 + c) for spread, size in odds):
+            break
+        least += 1
+    return least
+
+
 def _logit(p: np.ndarray) -> np.ndarray:
     p = np.clip(p, 1e-6, 1 - 1e-6)
     return np.log(p / (1 - p))
@@ -168,10 +190,17 @@ class Chain:
 
 
 def fit_chain(rows: list[list[int]], vocabulary: list[str], labels: np.ndarray, categories: list[str], folds: int = 3) -> Chain:
-    """Fit the chain. Later models learn from earlier categories' out-of-fold probabilities, never from fitted ones."""
-    n = len(rows)
+    """Fit the chain on rows of feature numbers; see ``fit_flat``."""
     start = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64)
-    index = np.array([i for r in rows for i in r], dtype=np.int64)
+    return fit_flat(start, np.array([i for r in rows for i in r], dtype=np.int64), vocabulary, labels, categories, folds)
+
+
+def fit_flat(start: np.ndarray, index: np.ndarray, vocabulary: list[str], labels: np.ndarray, categories: list[str], folds: int = 3) -> Chain:
+    """Fit the chain on documents whose features are ``index[start[i]:start[i + 1]]``.
+
+    Later models learn from earlier categories' out-of-fold probabilities, never from fitted ones.
+    """
+    n = len(start) - 1
     fold = np.arange(n) % folds
     extra = np.zeros((n, 0))
     words, earlier, intercepts = [], [], []
@@ -191,13 +220,13 @@ def fit_chain(rows: list[list[int]], vocabulary: list[str], labels: np.ndarray,
     return Chain(list(categories), words, earlier, intercepts)
 
 
-def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_rows: int = 4000, max_features: int = 16384, min_docs: int = 5) -> Chain:
+def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_rows: int = 4000, folds: int = 3) -> Chain:
     """Fit a chain on at most ``max_rows`` labelled documents, chosen by a hash of doc_id over all labelled documents.
 
-    The vocabulary is the ``max_features`` features found in most of those documents, in ``min_docs`` at least;
-    labels play no part in that choice. A word of over ``LONGEST_WORD`` letters counts by its beginnings only. Features are found on the executors; the driver gets their numbers only. Labels with a
-    null take no part; of several labels or texts of one id the greatest counts. No labels: all probabilities are 0.5,
-    and nothing is judged toxic.
+    All features of those documents take part, whatever their length and number; those too rare for any fit to select
+    them (see ``screened``) are left out beforehand, which changes no weight. Features are found and counted on the executors;
+    the driver gets those that are left, and their numbers by document. Labels with a null take no part; of several
+    labels or texts of one id the greatest counts. No labels: all probabilities are 0.5, and nothing is judged toxic.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -216,8 +245,11 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
     schema = docs.select("doc_id").schema.add("words", T.ArrayType(T.StringType()))
     bags = materialise(texts.mapInArrow(named, schema).groupBy("doc_id").agg(F.max("words").alias("words")), "bags")
-    common = bags.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs)
-    vocabulary = sorted(r.w for r in common.orderBy(F.desc("n"), "w").limit(max_features).collect())
+    found = chosen.join(bags.select("doc_id"), "doc_id").orderBy("doc_id").drop("doc_id").toArrow().to_pydict()
+    y = np.array([found[f"__y{i}"] for i in range(len(names))], dtype=float).T.reshape(-1, len(names))
+    counted = materialise(bags.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")), "features")
+    docs_with = {r.n: r.m for r in counted.groupBy("n").agg(F.count(F.lit(1)).alias("m")).collect()}  # at most max_rows rows
+    vocabulary = sorted(counted.where(F.col("n") >= screened(docs_with, y, folds)).select("w").toArrow().column("w").to_pylist())
     place = {w: i for i, w in enumerate(vocabulary)}
 
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,36 +258,35 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "at"])
 
     schema = docs.select("doc_id").schema.add("at", T.ArrayType(T.IntegerType()))
-    rows = bags.mapInArrow(numbers, schema).join(chosen, "doc_id").collect()
-    rows.sort(key=lambda r: r.doc_id)
-    y = np.array([[r[f"__y{i}"] for i in range(len(names))] for r in rows], dtype=float).reshape(len(rows), len(names))
-    return fit_chain([list(r["at"]) for r in rows], vocabulary, y, names)
+    at = bags.mapInArrow(numbers, schema).orderBy("doc_id").select("at").toArrow().column("at").combine_chunks()
+    start = np.concatenate(([0], np.cumsum(at.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)))) if len(at) else np.zeros(1, np.int64)
+    return fit_flat(start, at.flatten().to_numpy(zero_copy_only=False).astype(np.int64) if len(at) else np.zeros(0, np.int64), vocabulary, y, names, folds)
+
+
+def judged(text: Column, chain: Chain) -> Column:
+    """The chain's probabilities of a text, in the order of its categories."""
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([chain.probabilities(t.as_py()) for t in texts], pa.list_(pa.float64()))
+
+    return run(text)
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
     """``docs`` with a probability ``p_<category>`` for each category and ``is_<last category>`` (that probability > threshold).
 
     Whole texts are read. A null, empty or wordless text has the chain's base probabilities. Each row is judged by
-    itself, so ties and repeated rows agree. Columns of ``docs`` with those names are replaced. An empty table gives
-    an empty result.
+    itself, so ties and repeated rows agree. Columns of ``docs`` with those names are replaced; others, of any type and name,
+    stay: only the text goes to Python. An empty table gives an empty result.
     """
     ship(docs.sparkSession)
     new = [f"p_{c}" for c in chain.categories]
     flag = f"is_{chain.categories[-1]}"
-    keep = [c for c in docs.columns if c not in {*new, flag}]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            p = [chain.probabilities(t.as_py()) for t in b.column(0)]
-            cols = [pa.array([r[i] for r in p], pa.float64()) for i in range(len(new))]
-            toxic = pa.array([r[-1] > threshold for r in p], pa.bool_())
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], *cols, toxic], names=[*keep, *new, flag])
-
-    schema = docs.select(*[f"`{c}`" for c in keep]).schema
-    for c in new:
-        schema = schema.add(c, "double")
-    schema = schema.add(flag, "boolean")
-    return docs.select(F.col("text").alias("__text"), *[f"`{c}`" for c in keep]).mapInArrow(run, schema)
+    keep = [quoted(c) for c in docs.columns if c not in {*new, flag}]
+    (p,) = unused(docs, "__p")
+    rows = docs.withColumn(p, judged(F.col("text"), chain))
+    return rows.select(*keep, *[F.col(p)[i].alias(c) for i, c in enumerate(new)], (F.col(p)[len(new) - 1] > threshold).alias(flag))
 
 
 def label_categories() -> dict[str, Column]:
@@ -279,12 +310,6 @@ def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFr
 
     Odd rows as in ``score``; extra columns of any type and name are kept.
     """
-    chain = train(docs, labels, label_categories())
-    at = docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array([chain.probabilities(t.as_py())[-1] <= threshold for t in b.column(at)], pa.bool_()))
-
     ship(docs.sparkSession)
-    return docs.mapInArrow(run, docs.schema)
+    chain = train(docs, labels, label_categories())
+    return docs.where(judged(F.col("text"), chain)[len(chain.categories) - 1] <= threshold)

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm.toxicity import Rows, features, fit_chain, fit_linear, judge, label_categories, reject, train, word_counts
+from lectern.llm.toxicity import Rows, features, fit_chain, fit_linear, judge, label_categories, reject, score, screened, train, word_counts
 
 BAD = ["scum", "moron", "clown"]
 
@@ -63,7 +63,7 @@ def test_features():
     assert features(counts) >= {"a", "a!", "clown", "clown!", "^clo", "^clow", "^clo!"}
     long = word_counts("clown " + "word " * 500)
     assert features(long, {"clown", "word"}, {3: {"clo"}}) == {"clown", "word", "word!", "^clo"}
-    assert features(word_counts("z" * 100)) >= {"^zzz"} and "z" * 100 not in features(word_counts("z" * 100))
+    assert features(word_counts("z" * 100)) >= {"^zzz", "z" * 100}  # words of any length
 
 
 def test_odd_rows(spark, corpus, odd_docs, no_docs):
@@ -138,3 +138,36 @@ def test_chain_equals_a_dense_refit():
         a = -1.0 + 2.0 * ("fa" in text) - 1.0 * ("fb" in text)
         b = 0.25 + 1.0 * ("fc" in text) + 0.5 * a
         assert chain_of.probabilities(text) == pytest.approx([1 / (1 + np.exp(-a)), 1 / (1 + np.exp(-b))])
+
+
+def test_screened_features_have_no_weight():
+    """What the screen leaves out has weight 0 in fits of all features; what it keeps may have any."""
+    rng = np.random.default_rng(9)
+    n = 400
+    y = np.column_stack((rng.random(n) < 0.4, rng.random(n) < 0.15)).astype(float)
+    rows = [[0] * int(rng.random() < 0.1 + 0.8 * y[i, 1]) for i in range(n)]
+    at = 1
+    for k in (1, 1, 1, 2, 2, 3, 4, 5, 8, 12) * 60:  # rare features, found mostly in toxic documents
+        likely = np.where(y[:, 1] > 0, 1.0, 0.02)
+        for i in rng.choice(n, k, replace=False, p=likely / likely.sum()):
+            rows[i].append(at)
+        at += 1
+    seen = np.bincount([j for r in rows for j in r], minlength=at)
+    least = screened({int(k): int(m) for k, m in zip(*np.unique(seen[seen > 0], return_counts=True))}, y, 3)
+    assert least > 1
+    chain = fit_chain(rows, [f"f{j:04d}" for j in range(at)], y, ["a", "b"])
+    for words in chain.words:
+        assert all(seen[int(w[1:])] >= least for w in words)
+    assert chain.words[1].get("f0000", 0) > 1
+    assert screened({}, np.zeros((0, 2)), 3) == 1 and screened({1: 5}, np.zeros((4, 2)), 3) == 1
+
+
+def test_columns_of_any_type_and_name(spark, corpus):
+    docs, labels = corpus
+    odd = docs.withColumns({"a.b": F.lit(1), "w`x": F.lit("y"), "span": F.expr("INTERVAL '1' MONTH"), "__p": F.lit(3)}).withColumn("is_toxic", F.lit("z"))
+    left = reject(odd, labels)
+    assert left.columns == odd.columns and left.schema["span"].dataType == odd.schema["span"].dataType
+    assert 0 < left.count() < docs.count()
+    scored = score(odd, train(docs, labels, label_categories()))
+    assert scored.columns == [*odd.columns[:-1], "p_low_quality", "p_toxic", "is_toxic"] and scored.schema["is_toxic"].dataType.simpleString() == "boolean"
+    assert scored.where("not is_toxic").count() == left.count()
