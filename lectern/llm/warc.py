@@ -113,7 +113,7 @@ def _chunks(f, size: int = 1 << 20) -> Iterator[bytes]:
 
 
 class _File:
-    """A file that appears under its name only when it is whole: a task that runs again replaces it by the same bytes."""
+    """A file that appears under its name only when it is whole."""
 
     def __init__(self, store: fs.FileSystem, name: str):
         self.store, self.name = store, name
@@ -148,19 +148,21 @@ def dedup_targets(pages: DataFrame, least: int = 1000) -> DataFrame:
 def write_archives(rows: DataFrame, folder: str, most_bytes: int = 256 << 20) -> DataFrame:
     """Write ``rows(page_id, url, payload, digest, refers_to)`` as archives that are one gzip stream each; one row a file.
 
-    A partition goes on to another file past ``most_bytes`` of plain records.
+    A partition goes on to another file past ``most_bytes`` of plain records. It is sorted first, and every attempt of a
+    task names its own files, so those listed are one attempt's, whole, whatever another left behind.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _storage(folder)
-        part, serial, f, made, n, plain = TaskContext.get().partitionId(), 0, None, [], 0, 0
+        part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
+        serial, f, made, n, plain = 0, None, [], 0, 0
         for b in batches:
             for r in zip(*(c.to_pylist() for c in b.columns)):
                 if f is None:
-                    f = _File(store, f"{root}/part-{part:05d}-{serial:03d}.warc.gz")
+                    f = _File(store, f"{root}/part-{part:05d}-{serial:03d}-{attempt}.warc.gz")
                     z, n, plain = zlib.compressobj(4, zlib.DEFLATED, 31), 0, 0
                 page_id, url, payload, digest, refers_to = r
-                rec = record(f"{f.name.rsplit('/', 1)[1]}/{n}", page_id, url, payload, bytes.fromhex(digest), refers_to, refers_to is not None)
+                rec = record(f"{part}/{serial}/{n}", page_id, url, payload, bytes.fromhex(digest), refers_to, refers_to is not None)
                 f.write(z.compress(rec))
                 n, plain = n + 1, plain + len(rec)
                 if plain >= most_bytes:
@@ -177,20 +179,22 @@ def write_archives(rows: DataFrame, folder: str, most_bytes: int = 256 << 20) ->
     store, root = _storage(folder)
     store.create_dir(root, recursive=True)
     ship(rows.sparkSession)
-    return materialise(rows.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(run, "file string, records long"), "archives")
+    ordered = rows.select("page_id", "url", "payload", "digest", "refers_to").sortWithinPartitions("page_id", "digest", "url")
+    return materialise(ordered.mapInArrow(run, "file string, records long"), "archives")
 
 
 def normalise(files: DataFrame, source: str, target: str) -> DataFrame:
-    """Rewrite the archives ``files(file)`` of ``source`` into ``target``, every record a gzip member of its own.
+    """Rewrite the archives ``files(file, records)`` of ``source`` into ``target``, every record a gzip member of its own.
 
     Each file is inflated once, as a stream. Beside it comes ``<file>.idx``: a line for each record with its offset,
-    its member's length, its type and its id. One row a file: ``file, records``.
+    its member's length, its type and its id. One row a file: ``file, records``. Another number of
+    records than the list says is an error.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (store, root), (out_store, out_root) = _storage(source), _storage(target)
         for b in batches:
-            for name in b.column(0).to_pylist():
+            for name, records in zip(*(c.to_pylist() for c in b.columns)):
                 out, index = _File(out_store, f"{out_root}/{name}"), _File(out_store, f"{out_root}/{name}.idx")
                 at = n = 0
                 with store.open_input_stream(f"{root}/{name}", compression=None) as f:
@@ -200,6 +204,8 @@ def normalise(files: DataFrame, source: str, target: str) -> DataFrame:
                         out.write(member)
                         index.write(f"{at} {len(member)} {h['warc-type']} {h['warc-record-id']}\n".encode())
                         at, n = at + len(member), n + 1
+                if n != records:
+                    raise ValueError(f"{name}: {n} of {records} records")
                 out.close()
                 index.close()
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], names=["file", "records"])
@@ -207,7 +213,7 @@ def normalise(files: DataFrame, source: str, target: str) -> DataFrame:
     store, root = _storage(target)
     store.create_dir(root, recursive=True)
     ship(files.sparkSession)
-    spread = files.select("file").repartition(max(1, files.count()))
+    spread = files.select("file", "records").repartition(max(1, files.count()))
     return materialise(spread.mapInArrow(run, "file string, records long"), "normalised")
 
 

@@ -4,6 +4,7 @@ import zlib
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from lectern.llm import warc
 
@@ -85,3 +86,28 @@ def test_record_ids_are_unique(spark, tmp_path):
         data = gzip.decompress((tmp_path / "raw" / r.file).read_bytes())
         ids += [h["warc-record-id"] for h, _ in warc.split_records(iter([data]))]
     assert len(ids) == len(PAGES) == len(set(ids))
+
+
+def test_attempts_do_not_meet(spark, tmp_path):
+    """Two attempts write one partition in different orders: the list of either reads right rows, from its own files."""
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    folder = (tmp_path / "raw").as_uri()
+    targets = warc.dedup_targets(pages)
+    lists = [warc.write_archives(targets.orderBy(by).coalesce(1), folder, most_bytes=5000) for by in (F.asc("page_id"), F.desc("digest"))]
+    names = [{r.file for r in one.collect()} for one in lists]
+    assert names[0].isdisjoint(names[1]) and all(len(n) > 1 for n in names)
+    for i, one in enumerate(lists):
+        out = (tmp_path / str(i)).as_uri()
+        rows = warc.read_archives(warc.normalise(one, folder, out), out)
+        assert sorted(map(tuple, rows.collect()), key=str) == brute(PAGES)
+
+
+def test_a_missing_record_is_an_error(spark, tmp_path):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    folder = (tmp_path / "raw").as_uri()
+    raw = warc.write_archives(warc.dedup_targets(pages).coalesce(1), folder)
+    (r,) = raw.collect()
+    data = gzip.decompress((tmp_path / "raw" / r.file).read_bytes())
+    (tmp_path / "raw" / r.file).write_bytes(gzip.compress(data[: data.rindex(b"WARC/1.1")]))
+    with pytest.raises(Exception, match="records"):
+        warc.normalise(raw, folder, (tmp_path / "out").as_uri())
