@@ -95,7 +95,11 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Cosine of each row of ``q`` with that of ``x`` in double precision; equal pairs get equal values wherever they stand."""
+    """Cosine of each row of ``q`` with that of ``x`` in double precision; equal pairs get equal values wherever they stand.
+
+    Rows are scaled by a power of two first, which changes no digit, so that squares neither overflow nor vanish.
+    """
+    q, x = (np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1]) for v in (q, x))
     return (x * q).sum(axis=1) / (np.sqrt((q * q).sum(axis=1)) * np.sqrt((x * x).sum(axis=1)))
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm.neighbours import axes, choose, hadamard, nearest, unit
+from lectern.llm.neighbours import axes, choose, cosines, hadamard, nearest, unit
 
 
 def brute(rows, queries, k):
@@ -138,3 +138,17 @@ def test_a_common_vector_is_one_entry(spark):
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
     assert {q: [i for _, i in sorted(v)] for q, v in got.items() if q < 1000} == {0: [1, 2, 3, 4, 5], 3: [0, 1, 2, 4, 5], 250: [0, 1, 2, 3, 4]}
     assert {i for _, i in got[1004]} == {i for _, i in brute(rows, [1004], 5)[1004]}
+
+
+def test_scores_of_very_large_and_small_vectors(spark):
+    """Vectors times 1e200 or 1e-200 have the scores of the same vectors."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(40, 6))
+    schema = "vec_id long, embedding array<double>"
+    found = []
+    for scale in (np.ones(40), np.resize([2.0**660, 2.0**-660, 1.0], 40)):
+        df = spark.createDataFrame([(i, (v * s).tolist()) for i, (v, s) in enumerate(zip(x, scale))], schema)
+        found.append(sorted(map(tuple, nearest(df, F.col("vec_id") % 10 == 0).collect())))
+    assert found[0] == found[1] and len(found[0]) == 20 and all(r[3] is not None for r in found[0])
+    q, v = np.full((1, 3), 1e200), np.full((1, 3), 1e-200)
+    assert cosines(q, v)[0] == pytest.approx(1.0)
