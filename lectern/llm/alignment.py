@@ -12,14 +12,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.pieces import segments
+from lectern.llm.pieces import by_size, segments
 from lectern.llm.pieces import tokenizer as pieces
 from lectern.llm.words import vocabulary
 from lectern.runtime import materialise, ship
 
 #: Room for batch numbers within one partition.
 _PART = 1 << 32
-_NOTHING = hashlib.sha256().hexdigest()
 
 
 class Ranked:
@@ -47,22 +46,33 @@ class Aligner:
         #: An id's text before another of its side, before the other side, and before the next group.
         self.written = [f"{i}{end}" for end in ",|;" for i in range(self.most)]
 
-    def stretches(self, text: str) -> list[tuple[np.ndarray, np.ndarray]] | None:
-        """A and B ids of a text with a space before it, in stretches that end together; none where their bytes are not the text's."""
-        out = []
-        parts = list(segments(text))
-        for part, mine in zip(parts, self.b.encode_all(parts)):
-            data = f" {part}".encode()
-            theirs = self.a.encode(f" {part}")
-            for ids, of in ((theirs, self.a.bytes_of), (mine, self.b.bytes_of)):
-                if b"".join(map(of.__getitem__, ids)) != data:
-                    return None
-            out.append((np.array(theirs, np.int64), np.array(mine, np.int64)))
+    def stretches(self, texts: list[str | None]) -> list[list[tuple[np.ndarray, np.ndarray]] | None]:
+        """A and B ids of texts with a space before them, in stretches that end together; none where their bytes are not the text's.
+
+        B reads all texts together, so that chunks new to its table are merged in one go.
+        """
+        parts = [list(segments(t)) if t else [] for t in texts]
+        mine = iter(self.b.encode_all([p for some in parts for p in some]))
+        out: list[list[tuple[np.ndarray, np.ndarray]] | None] = []
+        for some in parts:
+            found, ids = [], [next(mine) for _ in some]
+            for part, b in zip(some, ids):
+                data = f" {part}".encode()
+                a = self.a.encode(f" {part}")
+                if b"".join(map(self.a.bytes_of.__getitem__, a)) != data or b"".join(map(self.b.bytes_of.__getitem__, b)) != data:
+                    break
+                found.append((np.array(a, np.int64), np.array(b, np.int64)))
+            out.append(found if found and len(found) == len(some) else None)
         return out
 
     def align(self, text: str | None) -> tuple[int, int, np.ndarray, str]:
-        """Numbers of A and B tokens, the linked pairs (B id in the upper half), and the hash of the groups."""
-        found = self.stretches(text) if text else None
+        return self.align_all([text])[0]
+
+    def align_all(self, texts: list[str | None]) -> list[tuple[int, int, np.ndarray, str]]:
+        """For each text the numbers of A and B tokens, the linked pairs (B id in the upper half), and the hash of the groups."""
+        return list(map(self._aligned, self.stretches(texts)))
+
+    def _aligned(self, found: list[tuple[np.ndarray, np.ndarray]] | None) -> tuple[int, int, np.ndarray, str]:
         if found is None:
             return 0, 0, np.zeros(0, np.int64), ""
         digest, links, n_a, n_b = hashlib.sha256(), [], 0, 0
@@ -148,14 +158,15 @@ def postings(docs: DataFrame, a: str, b: str, buckets: int, batch_bytes: int = 4
                 yield rows({"batch": [serial], "bucket": [k], "postings": [pack_postings(pair[at], doc[at], times[at])]})
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py()
-                n_a, n_b, links, groups = align.align(text)
-                held.append((doc, n_a, n_b, links, groups))
-                size += len(text or "")
-                if size >= batch_bytes or len(held) >= batch_docs:
-                    yield from flush()
-                    held, size, serial = [], 0, serial + 1
+            rows_in = ((d, t.as_py() or "") for d, t in zip(batch.column(0).to_pylist(), batch.column(1)))
+            for part in by_size(rows_in, 1 << 20):
+                made = align.align_all([t for _, t in part])
+                for (doc, text), (n_a, n_b, links, groups) in zip(part, made):
+                    held.append((doc, n_a, n_b, links, groups))
+                    size += len(text)
+                    if size >= batch_bytes or len(held) >= batch_docs:
+                        yield from flush()
+                        held, size, serial = [], 0, serial + 1
         if held:
             yield from flush()
         align.b.known.clear()  # an idle worker, which later stages share, holds none
