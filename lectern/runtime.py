@@ -10,6 +10,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 _PACKAGE = Path(__file__).resolve().parent
@@ -73,6 +74,11 @@ def local_path(uri: str) -> str | None:
     return uri if uri.startswith(os.sep) else None
 
 
+def open_store(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a URI or bare path, and the path there; for use in tasks as well."""
+    return fs.FileSystem.from_uri(uri if ":" in uri.split("/", 1)[0] else f"file://{uri}")
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

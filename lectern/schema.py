@@ -38,8 +38,8 @@ METADATA_FIELDS = [
     "one_chunk_per_page", "one_chunk_per_doc", "original_link", "pipeline_link",
 ]
 
-#: Kinds of resource.
-LMS, MOOC = "moodle", "mooc"
+#: Kinds of resource. An error stands for what could not be read: it has no type and no content, its reason is ``section_text``.
+LMS, MOOC, ERROR = "moodle", "mooc", "error"
 
 
 def as_resources(df: DataFrame, **columns: Column) -> DataFrame:

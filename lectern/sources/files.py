@@ -18,8 +18,8 @@ def below(uri: Column, spark: SparkSession, root: str) -> Column:
     return F.when(F.startswith(name, base), F.substring(name, F.length(base) + 1, F.length(name)))
 
 
-#: File names of images, for a scan.
-IMAGES = "*.{" + ",".join(sorted(e[1:] for e, kind in MIME_TYPES.items() if kind.startswith("image/"))) + "}"
+#: File names of images, whatever their ending's case, for a scan that opens no other file.
+IMAGES = "*.{" + ",".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in e[1:]) for e, kind in sorted(MIME_TYPES.items()) if kind.startswith("image/")) + "}"
 
 
 def read_images(spark: SparkSession, root: str) -> DataFrame:
