@@ -93,6 +93,22 @@ def relative_to(path: Column, base: str, to: str = "") -> Column:
     return F.when(below, inside).otherwise(outside.cast("string"))
 
 
+def resolved(folder: Column, name: Column) -> Column:
+    """Where a relative name leads from a folder, without ``.`` and ``..``; a name with a root or scheme of its own stands for itself."""
+    root = r"^([A-Za-z][A-Za-z0-9+.\-]*:/*|/+)"
+    whole = F.when(name.rlike(root), name).when(folder == "", name).otherwise(F.concat(F.regexp_replace(folder, "/+$", ""), F.lit("/"), name))
+    lead = F.regexp_extract(whole, root, 1)
+    parts = F.split(F.substring(whole, F.length(lead) + 1, F.length(whole)), "/")
+
+    def step(done: Column, part: Column) -> Column:
+        up = (F.size(done) > 0) & (F.element_at(done, -1) != "..")
+        back = F.when(F.size(done) > 0, F.when(up, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(F.concat(done, F.array(part))))
+        # nothing lies above a root
+        return F.when(part.isin("", "."), done).when(part == "..", F.coalesce(back, F.when(lead != "", done).otherwise(F.array(part)))).otherwise(F.concat(done, F.array(part)))
+
+    return F.concat(lead, F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/"))
+
+
 def is_junk(path: Column) -> Column:
     """Files that archivers and editors leave behind."""
     parts = F.split(path, "/")

@@ -9,6 +9,8 @@ import re
 from dataclasses import dataclass
 from typing import Protocol
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 PNG = "image/png"
 
@@ -53,3 +55,7 @@ class StandIn:
 
     def describe(self, image: bytes, mime_type: str) -> str:
         return f"{mime_type.rsplit('/', 1)[-1]} image of {len(image)} bytes"
+
+    def described(self, image: Column, mime_type: Column) -> Column:
+        """``describe`` as a column."""
+        return F.concat(F.substring_index(mime_type, "/", -1), F.lit(" image of "), F.octet_length(image), F.lit(" bytes"))

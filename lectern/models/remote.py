@@ -45,6 +45,8 @@ class RemoteClient:
     timeout: float = 120.0
     tries: int = 4
     pause: float = 1.0
+    #: Calls at once in a task.
+    parallel: int = 8
 
     @classmethod
     def from_settings(cls, settings: dict[str, str], **options) -> RemoteClient:

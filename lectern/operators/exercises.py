@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.functions.paths import MARKDOWN, stem
+from lectern.models.calls import calling, parallel_of
 from lectern.models.client import ModelClient, StandIn
 from lectern.operators.cache import Cache, once
 from lectern.operators.gates import change_where, explode_where, in_pairs, passes
@@ -30,16 +31,6 @@ def split_text(text: Column, client: ModelClient | None = None) -> Column:
     return run(text)
 
 
-def split_reply(text: Column, client: ModelClient) -> Column:
-    """The client's exercises of each text as a JSON reply ``{"exercises": [...]}``, to be kept and parsed."""
-
-    @F.arrow_udf(T.StringType())
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([json.dumps({"exercises": client.split(t.as_py())}, ensure_ascii=False) if t.is_valid else None for t in texts], pa.string())
-
-    return run.asNondeterministic()(text)
-
-
 def parse_reply(reply: Column) -> Column:
     """A model's JSON reply ``{"exercises": [...]}`` as exercises."""
     return F.from_json(reply, f"struct<exercises:{EXERCISES}>")["exercises"]
@@ -84,7 +75,7 @@ def split_exercises(df: DataFrame, pairs: list[tuple[str, str]] | None = None, c
     A text without exercises disappears. New rows come in the order of their file names, by code point, and are one
     chunk each; their solution flag is the document's. Their files go to ``exercises/`` beside the document, or with
     ``own_folder`` into a folder named as the document, so that no two sheets' exercises meet. A client other than the
-    stand-in is called once for each distinct text, and its replies are kept; in the ``cache``, if there is one.
+    stand-in is called once for each distinct text, and its replies are kept; in the ``cache``, if there is one. A sheet that it refuses passes whole.
     """
 
     client = client or StandIn()
@@ -95,9 +86,11 @@ def split_exercises(df: DataFrame, pairs: list[tuple[str, str]] | None = None, c
     if type(client) is StandIn and cache is None:
         found = df.withColumn("__found", split_text(F.when(gate, text), client))
     else:
-        reply = lambda d: d.withColumn("value", split_reply(F.decode("content", "UTF-8"), client))
+        ask = calling(lambda b: json.dumps({"exercises": client.split(b.decode())}, ensure_ascii=False), parallel_of(client))
+        reply = lambda d: d.select("sha256", ask("content").alias("r")).select("sha256", "r.value", "r.error")
         found = once(df, gate, F.encode(text, "UTF-8"), f"split-1-{client.name}", reply, cache)
         found = found.withColumn("__found", F.coalesce(parse_reply(F.col("__value")), F.array().cast(EXERCISES)))
+        gate = gate & (F.col("__value").isNotNull() | text.isNull())  # a refused sheet stays whole
     named = F.transform(
         unique_exercises(F.col("__found")),
         lambda e: F.struct(file_of(e["number"], legacy_suffix).alias("file"), e["number"].alias("number"), e["snippet"].alias("snippet")),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -10,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.paths import MARKDOWN, PDF, with_suffix
+from lectern.models.calls import calling, parallel_of
 from lectern.models.client import PNG, ModelClient, StandIn
-from lectern.operators.cache import Cache, once
+from lectern.operators.cache import Cache, hits, once
 from lectern.operators.gates import change_where, in_pairs, passes
 from lectern.runtime import materialise, ship
 
@@ -48,19 +50,32 @@ def library_pages(content: bytes, dpi: int = 72) -> Iterator[bytes]:
             yield page.get_pixmap(matrix=zoom, alpha=False).tobytes("png")
 
 
-def pages(df: DataFrame, keys: list[str], render: Renderer = form_feed_pages) -> DataFrame:
-    """``keys, page, image`` for every page, one held at a time; a document without pages is an error."""
+def pages(df: DataFrame, keys: list[str], render: Renderer = form_feed_pages, gathered: int = 16 << 20) -> DataFrame:
+    """``keys, page, image`` for every page; a document without pages is an error. Pages are handed on in batches of about ``gathered`` bytes."""
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            at, number, images, size = [], [], [], 0
+
+            def done() -> pa.RecordBatch:
+                own = [b.column(j).take(pa.array(at, pa.int64())) for j in range(len(keys))]
+                return pa.RecordBatch.from_arrays([*own, pa.array(number, pa.int32()), pa.array(images, pa.binary())], names=[*keys, "page", "image"])
+
             for i in range(b.num_rows):
                 n = 0
                 for n, image in enumerate(render(b.column(len(keys))[i].as_py() or b""), 1):
-                    row = [pa.array([b.column(j)[i].as_py()], b.column(j).type) for j in range(len(keys))]
-                    yield pa.RecordBatch.from_arrays([*row, pa.array([n - 1], pa.int32()), pa.array([image], pa.binary())], names=[*keys, "page", "image"])
+                    at.append(i)
+                    number.append(n - 1)
+                    images.append(image)
+                    size += len(image)
+                    if size >= gathered:
+                        yield done()
+                        at, number, images, size = [], [], [], 0
                 if not n:
                     raise ValueError("a PDF without pages")
+            if at:
+                yield done()
 
     schema = df.select(*keys).schema.add("page", "integer").add("image", "binary")
     return df.select(*keys, "content").mapInArrow(run, schema)
@@ -77,29 +92,44 @@ def pdfs_to_markdown(df: DataFrame, pairs: list[tuple[str, str]] | None = None,
                      cache: Cache | None = None, keep_ending: bool = False) -> DataFrame:
     """PDF rows of the given (type, subtype) pairs turned into Markdown rows; others pass.
 
-    Equal contents are transcribed once, in ``requests`` tasks at most, a call for each page and one for stitching.
-    Transcriptions are written to shared storage before anything reads them, so a lost task repeats no other's calls;
-    whole texts are kept in the ``cache``, if there is one. ``keep_ending``: ``a.pdf`` becomes ``a.pdf.md``.
+    Equal contents are transcribed once, a call for each distinct page and one for stitching, in ``requests`` tasks at most, each with as
+    many calls at once as the client stands; pages keep their order. Replies are written to shared storage before anything
+    reads them, so a lost task repeats no other's calls. With a ``cache`` they are kept page by page, in batches, and whole texts as well: a run that was
+    stopped goes on where it was. A page that the model refuses is marked in the text, and tried again by the next run; if stitching is
+    refused, pages are joined by blank lines. ``keep_ending``: ``a.pdf`` becomes ``a.pdf.md``.
     """
     client = client or StandIn()
     ship(df.sparkSession)
-
-    @F.arrow_udf("string")
-    def transcribe(images: pa.Array) -> pa.Array:
-        return pa.array([client.transcribe(i.as_py()) for i in images], pa.string())
-
-    @F.arrow_udf("string")
-    def stitch(lists: pa.Array) -> pa.Array:
-        return pa.array([client.stitch(x.as_py()) for x in lists], pa.string())
-
-    def whole(some: DataFrame) -> DataFrame:
-        read = pages(some, ["sha256"], render).repartition(requests, "sha256", "page")
-        read = materialise(read.select("sha256", "page", transcribe.asNondeterministic()("image").alias("text")), "transcribed")
-        ordered = F.transform(F.array_sort(F.collect_list(F.struct("page", "text"))), lambda x: x["text"])
-        return read.groupBy("sha256").agg(ordered.alias("pages")).select("sha256", stitch.asNondeterministic()("pages").alias("value"))
+    scope = f"pdf-1-{client.name}-{getattr(render, '__name__', type(render).__name__)}"
+
+    def replies(call: Callable[[bytes], str]) -> Callable[[DataFrame], DataFrame]:
+        ask = calling(call, parallel_of(client))
+        return lambda d: d.repartition(requests, "sha256").select("sha256", ask("content").alias("r")).select("sha256", "r.value", "r.error")
+
+    def whole(books: DataFrame) -> DataFrame:
+        """``sha256, value, complete``"""
+        read = materialise(pages(books, ["sha256"], render), "pages")
+        read = once(read, F.lit(True), F.col("image"), f"page-1-{client.name}", replies(client.transcribe), cache)
+        marked = F.coalesce("__value", F.concat(F.lit("<!-- page "), F.col("page") + 1, F.lit(" could not be transcribed -->")))
+        ordered = F.transform(F.array_sort(F.collect_list(F.struct("page", marked.alias("text")))), lambda x: x["text"])
+        texts = read.groupBy("sha256").agg(ordered.alias("pages"), F.min(F.col("__value").isNotNull()).alias("complete"))
+        texts = once(texts, F.lit(True), F.encode(F.to_json("pages"), "UTF-8"), f"stitch-1-{client.name}", replies(lambda b: client.stitch(json.loads(b))), cache)
+        complete = F.col("complete") & F.col("__value").isNotNull()
+        return texts.select("sha256", F.coalesce("__value", F.array_join("pages", "\n\n")).alias("value"), complete.alias("complete"))
 
     gate = passes(in_pairs(pairs) & (F.col("mime_type") == PDF))
-    rows = once(df, gate, F.col("content"), f"pdf-1-{client.name}-{getattr(render, '__name__', type(render).__name__)}", whole, cache)
+    keyed = df.withColumn("__sha", F.sha2(F.when(gate, F.col("content")), 256))
+    books = keyed.where("__sha IS NOT NULL").groupBy(F.col("__sha").alias("sha256")).agg(F.first("content").alias("content"))
+    if cache is None:
+        made = materialise(whole(books).select("sha256", "value"), "made")
+    else:
+        keys = materialise(keyed.where("__sha IS NOT NULL").select(F.col("__sha").alias("sha256")).distinct(), "keys")
+        known = materialise(hits(keys.withColumn("filename", F.lit("value")), cache.lookup(keys, scope)).select("sha256", "value"), "known")
+        new = materialise(whole(books.join(known.select("sha256"), "sha256", "left_anti")), "new")
+        if not new.isEmpty():
+            cache.write(new.where("complete").select("sha256", F.lit("value").alias("filename"), "value"), scope)
+        made = known.union(new.select("sha256", "value"))
+    rows = keyed.join(made.toDF("__sha", "__value"), "__sha", "left")
     path = F.concat("path", F.lit(".md")) if keep_ending else with_suffix(F.col("path"), ".md")
     out = change_where(rows, gate, path=path, mime_type=F.lit(MARKDOWN), processing_method=F.lit(None), text=F.col("__value"), content=F.lit(None))
     return out.select(*df.columns)

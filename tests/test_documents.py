@@ -10,7 +10,7 @@ from lectern.models.client import StandIn
 from lectern.operators.archives import entries, expand_archives
 from lectern.operators.cache import Cache
 from lectern.operators.exercises import dedup_exercises, parse_reply, split_exercises, unique_exercises
-from lectern.operators.notebooks import describe_images, notebook_markdown, notebooks_to_markdown, rewrite_images
+from lectern.operators.notebooks import describe_images, images_rewritten, markdown_of, notebooks_to_markdown
 from lectern.operators.pdfs import clamped, fenced, pdfs_to_markdown, png_data_url
 from lectern.schema import as_resources, check_schema
 
@@ -51,22 +51,69 @@ NOTEBOOK = {
 }
 
 
-def test_notebook_markdown():
-    assert notebook_markdown(json.dumps(NOTEBOOK)) == "# T\n![a](i.png)\n\n```julia\n1+1\n```\n\n    2\n\n    a\n    b\n\nr\n\n```julia\n\n```\n"
+def one(spark, value, kind, column):
+    return spark.createDataFrame([(value,)], f"v {kind}").select(column.alias("r")).first().r
+
+
+def test_notebook_markdown(spark):
+    read = lambda book: one(spark, json.dumps(book).encode() if isinstance(book, dict) else book, "binary", markdown_of(F.col("v")))
+    assert read(NOTEBOOK) == "# T\n![a](i.png)\n\n```julia\n1+1\n```\n\n    2\n\n    a\n    b\n\nr\n\n```julia\n\n```\n"
     old = {"nbformat": 3, "worksheets": [{"cells": [{"cell_type": "heading", "level": 2, "source": "H"}, {"cell_type": "code", "input": "x", "outputs": [{"output_type": "pyout", "text": ["y"]}]}]}]}
-    assert notebook_markdown(json.dumps(old)) == "## H\n\n```python\nx\n```\n\n    y\n"
+    assert read(old) == "## H\n\n```python\nx\n```\n\n    y\n"
+    # a source that looks like a list is a string, an error's lines are its traceback, a kernel names the language
+    odd = {"nbformat": 4, "metadata": {"kernelspec": {"language": "R"}, "language_info": {"name": "x"}}, "cells": [
+        {"cell_type": "markdown", "source": '["a", "b"]'}, {"cell_type": "markdown", "source": []}, {"cell_type": "heading", "source": "h"},
+        {"cell_type": "code", "source": ["é\\n", "漢"], "outputs": [
+            {"output_type": "error", "traceback": ["t1", "t2"]}, {"output_type": "display_data", "data": {"text/markdown": "*m*", "text/plain": "p"}}, {"output_type": "stream"}]},
+    ]}
+    assert read(odd) == '["a", "b"]\n\n\n\n# h\n\n```R\né\\n漢\n```\n\n    t1\n    t2\n\n    *m*\n'
+    assert read({"cells": []}) == "\n" and read(None) is None and read(b"\xef\xbb\xbf" + json.dumps({"cells": [{"cell_type": "raw", "source": "r"}]}).encode()) == "r\n"
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read(b"no notebook")
 
 
 def test_images(spark):
     text = '![a](x.png) <IMG alt="b" src="y.png"> <img src="z.png"/> <img alt="q"> ![]()'
-    assert rewrite_images(text, {}) == '![a](x.png) ![b](y.png) ![](z.png) <img alt="q"> ![]()'
-    assert rewrite_images(text, {"x.png": "X", "z.png": "Z"}).startswith("![X](x.png) ![b](y.png) ![Z](z.png)")
+    rewritten = lambda t, alts=None: one(spark, t, "string", images_rewritten(F.col("v"), None if alts is None else F.create_map(*[F.lit(x) for kv in alts.items() for x in kv])))
+    assert rewritten(text) == '![a](x.png) ![b](y.png) ![](z.png) <img alt="q"> ![]()'
+    assert rewritten(text, {"x.png": "X", "z.png": "Z"}).startswith("![X](x.png) ![b](y.png) ![Z](z.png)")
+    assert rewritten("$1 \\ ![a](x.png) end\n", {"x.png": "$2 \\1"}) == "$1 \\ ![$2 \\1](x.png) end\n" and rewritten("") == "" and rewritten("none") == "none"
+    for odd in ("![a\u2028b](i.png)", "![a\rb](i.png)", "![a\x85b](i.png)"):  # no line feed, so one reference
+        assert rewritten(odd, {"i.png": "I"}) == "![I](i.png)"
+    assert rewritten("![a\nb](i.png)", {"i.png": "I"}) == "![a\nb](i.png)"
+    assert rewritten('<img\u00a0src="i.png">') == "![](i.png)" and rewritten('![<img src="a.png">](b.png)', {"a.png": "A"}) == "![![A](a.png)](b.png)"
     docs = spark.createDataFrame([("/d/n/a.md", text.replace("x.png", "../i/x.png")), ("/d/b.md", "plain")], "path string, text string")
     files = spark.createDataFrame([("/d/i/x.png", b"123"), ("/d/n/y.png", b"4"), ("/d/other.png", b"5")], "path string, content binary")
     got = {r.path: r.text for r in describe_images(docs, files).collect()}
     assert got["/d/n/a.md"].startswith("![png image of 3 bytes](../i/x.png) ![png image of 1 bytes](y.png) ![](z.png)") and got["/d/b.md"] == "plain"
 
 
+def test_where_references_lead(spark):
+    cases = {("/d/n", "../i/x.png"): "/d/i/x.png", ("/d", "./a/./b.png"): "/d/a/b.png", ("/d", "../../x"): "/x", ("", "a/../b"): "b", ("", "../b"): "../b",
+             ("d", "../../b"): "../b", ("/d", "/e/f.png"): "/e/f.png", ("file:///out/d", "../i.png"): "file:///out/i.png", ("/d", "https://h/x.png"): "https://h/x.png"}
+    df = spark.createDataFrame(list(cases), "f string, s string")
+    assert {(r.f, r.s): r.at for r in df.select("f", "s", P.resolved(F.col("f"), F.col("s")).alias("at")).collect()} == cases
+
+
+def test_rows_of_one_path_keep_their_texts(spark):
+    """Two notebooks of one path, a repeated one, and rows without a path."""
+    book = lambda t: json.dumps({"cells": [{"cell_type": "markdown", "source": f"{t} ![own](i.png)"}]}).encode()
+    rows = resources(spark, [("a", "/d/n.ipynb", P.IPYNB, book("one")), ("b", "/d/n.ipynb", P.IPYNB, book("two")), ("c", "/d/n.ipynb", P.IPYNB, book("two")), ("m", "/d/m.md", P.MARKDOWN, None, "m")])
+    files = spark.createDataFrame([("/d/i.png", b"12"), ("/d/i.png", b"123")], "path string, content binary")
+    got = notebooks_to_markdown(rows, files).orderBy("ord").collect()
+    assert [r.text for r in got] == ["one ![png image of 2 bytes](i.png)\n", *["two ![png image of 2 bytes](i.png)\n"] * 2, "m"]
+    free = spark.createDataFrame([(None, "x ![o](/d/i.png)"), (None, "y"), ("/d/p", None)], "path string, text string")
+    assert sorted(map(tuple, describe_images(free, files).collect()), key=str) == sorted([(None, "x ![png image of 2 bytes](/d/i.png)"), (None, "y"), ("/d/p", None)], key=str)
+
+
+def test_no_python_in_image_and_notebook_plans(spark):
+    files = spark.createDataFrame([("/d/i.png", b"12")], "path string, content binary")
+    rows = resources(spark, [("n", "/d/a.ipynb", P.IPYNB, json.dumps(NOTEBOOK).encode())])
+    for df in (notebooks_to_markdown(rows, files), notebooks_to_markdown(rows)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_notebook_stage(spark):
     rows = resources(spark, [("n", "/d/a.b.ipynb", P.IPYNB, json.dumps(NOTEBOOK).encode()), ("m", "/d/m.md", P.MARKDOWN, None, "<img src=\"k\">"), ("x", "/d/x", None)])
     got = check_schema(notebooks_to_markdown(rows)).orderBy("ord").collect()
