@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-import datetime as dt
-import json
-from collections.abc import Iterator
 from pathlib import PurePosixPath
 
-import pyarrow as pa
-from pyarrow import fs
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.paths import relative_to
-from lectern.runtime import ship
-from lectern.schema import METADATA_FIELDS
+from lectern.runtime import materialise
+from lectern.schema import ERROR, METADATA_FIELDS
+from lectern.sinks.course_files import CONTENT, FAILURE, METADATA, write_files
 
 
 def documents_by_source(df: DataFrame, part: Column) -> DataFrame:
@@ -34,71 +29,51 @@ def content_paths(df: DataFrame, output: str) -> DataFrame:
     return df.withColumn("path", relative_to(F.col("path"), output, "content/"))
 
 
-def _plain(value: object) -> object:
-    return value.isoformat() if isinstance(value, dt.date) else value
-
-
 class ContentMetadataSink:
-    """Writes ``content/...`` and ``metadata/<source>.json`` below ``output``; every sink sees the same rows.
-
-    A row's text or content is written; a row with neither has its file copied. Different contents under one path are an
-    error, before anything is written; equal ones are one file. A source's document is streamed by one task in order, an
-    entry at a time, as its form is one file: named as the source up to its last dot, or, where two sources' names
-    would meet, as the whole source.
+    """Writes ``content/...`` and ``metadata/<source>.json`` below ``output``, with a ``manifest``; every sink sees the same rows.
+
+    A row's text or content is written; a row with neither has its file copied. Content and metadata appear together when all is
+    written, and files of an earlier run that are stale go with it (see ``course_files``). Rows of the kind ``error`` are no documents: the
+    manifest names them. Different contents under one path are an error, before anything is written, or with
+    ``clash="last"`` the last in order counts; equal ones are one file. A source's document is streamed by one task in
+    order, an entry at a time, as its form is one file: named as the source up to its last dot, or, where two sources'
+    names would meet, as the whole source.
     """
 
-    def __init__(self, output: str, course_info: dict, base: str | None = None):
-        self.output, self.course_info, self.base = output.rstrip("/"), course_info, (base or output).rstrip("/")
+    def __init__(self, output: str, course_info: dict, base: str | None = None, clash: str = "error"):
+        if clash not in ("error", "last"):
+            raise ValueError(f"clash is error or last, not {clash}")
+        self.output, self.course_info, self.base, self.clash = output.rstrip("/"), course_info, (base or output).rstrip("/"), clash
 
     def load(self, df: DataFrame) -> None:
-        ship(df.sparkSession)
-        self._content(df)
-        self._metadata(content_paths(df, self.base))
+        failed = F.coalesce(F.col("kind") == ERROR, F.lit(False))
+        good = df.where(~failed)
+        note = df.where(failed).select(F.lit(FAILURE).alias("what"), "path", *_empty("source", "data"), F.coalesce("section_text", F.lit("")).alias("doc"))
+        write_files(self._content(good).union(self._metadata(content_paths(good, self.base))).union(note), self.output, self.course_info)
 
-    def _content(self, df: DataFrame) -> None:
-        output = self.output
-        rows = df.select("path", relative_to(F.col("path"), self.base, "content/").alias("to"), F.coalesce(F.encode("text", "UTF-8"), F.col("content")).alias("data"))
+    def _content(self, df: DataFrame) -> DataFrame:
+        to, data = relative_to(F.col("path"), self.base, "content/").alias("to"), F.coalesce(F.encode("text", "UTF-8"), F.col("content")).alias("data")
         # a file that is copied counts by its path
-        found = rows.select("to", F.coalesce(F.sha2("data", 256), F.lit("")).alias("is")).groupBy("to").agg(F.min("is").alias("a"), F.max("is").alias("b"))
-        if clash := [r.to for r in found.where("a <> b").select("to").sort("to").limit(5).collect()]:
+        rows = df.select("path", "ord", to, data).withColumn("is", F.coalesce(F.sha2("data", 256), F.lit("")))
+        found = rows.select("to", "is", F.struct("ord", "is").alias("at")).groupBy("to").agg(F.min("is").alias("a"), F.max("is").alias("b"), F.max("at")["is"].alias("last"))
+        clashes = found.where("a <> b")
+        if self.clash == "last":
+            clashes = materialise(clashes.select("to", "last"), "clashes")
+            rows = rows.join(clashes, "to", "left").where("last IS NULL OR last = is")
+        elif clash := [r.to for r in clashes.select("to").sort("to").limit(5).collect()]:
             raise ValueError(f"different contents under one path: {', '.join(clash)}")
+        return rows.select(F.lit(CONTENT).alias("what"), F.col("to").alias("path"), F.col("path").alias("source"), "data", *_empty("doc"))
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            store, root = _open(output)
-            n = 0
-            for b in batches:
-                for path, to, data in zip(*(c.to_pylist() for c in b.columns)):
-                    target = f"{root}/{to}"
-                    store.create_dir(target.rsplit("/", 1)[0], recursive=True)
-                    if data is None:
-                        source, at = _open(path)
-                        fs.copy_files(at, target, source_filesystem=source, destination_filesystem=store)
-                    else:
-                        _replace(store, target, [data])
-                    n += 1
-            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
-
-        rows.mapInArrow(run, "n long").agg(F.sum("n")).collect()
-
-    def _metadata(self, df: DataFrame) -> None:
-        output, info, names = self.output, self.course_info, METADATA_FIELDS
-        # a name for each file that is written
-        files = file_names([r.source for r in df.select("source").distinct().collect()])
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            store, root = _open(output)
-            store.create_dir(f"{root}/metadata", recursive=True)
-
-            def rows() -> Iterator[tuple]:
-                for b in batches:
-                    yield from zip(*(c.to_pylist() for c in b.columns))
-
-            for source, docs in _runs(rows()):
-                _replace(store, f"{root}/metadata/{files[source]}", _document(info, names, docs))
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64())], names=["n"])
-
+    def _metadata(self, df: DataFrame) -> DataFrame:
+        files = file_names([r.source for r in df.select("source").distinct().collect()])  # a name for each file that is written
+        name = F.create_map(*[F.lit(x) for kv in files.items() for x in kv])[F.col("source")] if files else F.lit(None)
+        doc = F.to_json(F.struct(*[F.col(n).alias(n.rstrip("_")) for n in METADATA_FIELDS]), {"ignoreNullFields": "false"})
         ordered = df.repartition("source").sortWithinPartitions("source", "ord", "title", "path")
-        ordered.select("source", *names).mapInArrow(run, "n long").agg(F.sum("n")).collect()
+        return ordered.select(F.lit(METADATA).alias("what"), F.concat(F.lit("metadata/"), name).alias("path"), *_empty("source", "data"), doc.alias("doc"))
+
+
+def _empty(*names: str) -> list[Column]:
+    return [F.lit(None).cast("binary" if n == "data" else "string").alias(n) for n in names]
 
 
 def file_names(sources: list[str]) -> dict[str, str]:
@@ -110,36 +85,3 @@ def file_names(sources: list[str]) -> dict[str, str]:
     if len(set(whole.values())) < len(whole):
         raise ValueError(f"sources whose files would meet: {', '.join(sorted(sources))}")
     return whole
-
-
-def _open(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if ":" in uri.split("/", 1)[0] else f"file://{uri}")
-
-
-def _replace(store: fs.FileSystem, target: str, parts: Iterator[bytes] | list[bytes]) -> None:
-    """Write a file that appears whole under its name, or not at all."""
-    part = f"{target}.{TaskContext.get().taskAttemptId()}.part"
-    with store.open_output_stream(part) as f:
-        for p in parts:
-            f.write(p)
-    store.move(part, target)
-
-
-def _runs(rows: Iterator[tuple]) -> Iterator[tuple[str, Iterator[tuple]]]:
-    """Runs of rows of one source; each must be read before the next."""
-    from itertools import groupby
-
-    for source, run in groupby(rows, key=lambda r: r[0]):
-        yield source, (r[1:] for r in run)
-
-
-def _document(info: dict, names: list[str], docs: Iterator[tuple]) -> Iterator[bytes]:
-    """The text of ``{"course_info": ..., "documents": [...]}``, indented by two, an entry at a time."""
-    inner = lambda x, by: json.dumps(x, ensure_ascii=False, indent=2).replace("\n", "\n" + " " * by)
-    yield ('{\n  "course_info": ' + inner(info, 2) + ',\n  "documents": [').encode()
-    first = True
-    for d in docs:
-        one = {n.rstrip("_"): _plain(v) for n, v in zip(names, d)}
-        yield (("\n    " if first else ",\n    ") + inner(one, 4)).encode()
-        first = False
-    yield b"]\n}" if first else b"\n  ]\n}"
