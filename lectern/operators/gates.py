@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lectern.schema import copy_with
+from lectern.schema import ERROR, copy_with
 
 
 def in_pairs(pairs: Iterable[tuple[str, str]] | None) -> Column:
@@ -50,6 +50,11 @@ def concatenate(*parts: DataFrame) -> DataFrame:
     return out
 
 
-def counted(df: DataFrame, stage: str) -> DataFrame:
-    """``df`` with its row count observed under a name, without a job of its own."""
-    return df.observe(stage, F.count(F.lit(1)).alias("rows"))
+def totals() -> list[Column]:
+    """How many rows there are, and how many of them stand for errors."""
+    return [F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("kind") == ERROR, 1)).alias("errors")]
+
+
+def counted(df: DataFrame, stage: str | Observation) -> DataFrame:
+    """``df`` with its ``totals`` observed under a name as rows pass, without a job of its own."""
+    return df.observe(stage, *totals())

@@ -7,17 +7,18 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.paths import IPYNB, PDF, guess_mime_type
+from lectern.functions.paths import IPYNB, MIME_TYPES, PDF
 from lectern.functions.rules import CourseRules
 from lectern.models.client import ModelClient
 from lectern.models.remote import BASE_URL, RemoteClient
-from lectern.operators.archives import archived, expand_archives
+from lectern.operators.archives import list_archive_files, read_archive_files
 from lectern.operators.cache import Cache
 from lectern.operators.exercises import split_exercises
 from lectern.operators.metadata import infer_metadata
 from lectern.operators.notebooks import notebooks_to_markdown
 from lectern.operators.pdfs import Renderer, form_feed_pages, pdfs_to_markdown
 from lectern.plans.pipeline import Pipeline, register
+from lectern.runtime import materialise
 from lectern.sinks.content_metadata import ContentMetadataSink
 from lectern.sources.base import CourseDump
 from lectern.sources.config import read_env
@@ -32,11 +33,20 @@ EXERCISE_SHEETS = (("exam", "previous_year_exam"), ("practice", "homework"))
 CACHE_DIR = "CACHE_DIR"
 
 
+#: What is taken out of archives besides documents: images that notebooks show.
+IMAGES = sorted({kind for kind in MIME_TYPES.values() if kind.startswith("image/")})
+
+
 def described_notebooks(df: DataFrame, dump: str, client: ModelClient | None, cache: Cache | None) -> DataFrame:
-    """Archives expanded and their notebooks converted, with the images that lie in the dump or in the archives described."""
-    files = read_images(df.sparkSession, dump).unionByName(archived(df, own_folder=True).where(guess_mime_type(F.col("path")).startswith("image/")))
-    rows = expand_archives(df, [PDF, IPYNB], own_folder=True)
-    return notebooks_to_markdown(rows, files, client, cache, keep_ending=True)
+    """Archives expanded and their notebooks converted, with the images that lie in the dump or in the archives described.
+
+    Archives are listed once, and their documents and images read in one pass, which is written to shared storage: no later stage opens an archive.
+    """
+    listed = materialise(list_archive_files(df, [PDF, IPYNB, *IMAGES], own_folder=True), "listed")
+    files = materialise(with_content(read_archive_files(listed, keep=("__archive",))), "files")
+    image = F.coalesce(F.col("__archive").isNotNull() & F.col("mime_type").isin(IMAGES), F.lit(False))
+    images = read_images(df.sparkSession, dump).unionByName(files.where(image).select("path", "content"))
+    return notebooks_to_markdown(files.where(~image).select(*df.columns), images, client, cache, keep_ending=True)
 
 
 @register("course")
@@ -58,7 +68,6 @@ def course(dump: str, output: str, info: dict, lms_prefix: str, rules: CourseRul
         sources=(CourseDump(dump, lms_prefix, prefixes),),
         stages=(
             partial(infer_metadata, rules=rules or CourseRules()),
-            with_content,
             partial(described_notebooks, dump=dump, client=client, cache=kept),
             partial(pdfs_to_markdown, pairs=pairs, client=client, render=render, cache=kept, keep_ending=True),
             partial(split_exercises, pairs=pairs, client=client, cache=kept, own_folder=True),

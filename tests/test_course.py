@@ -11,15 +11,18 @@ from http.server import BaseHTTPRequestHandler, HTTPServer
 from pathlib import Path
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from lectern.functions import paths as P
 from lectern.models import ModelError, RemoteClient, StandIn
+from lectern.operators import archives
 from lectern.operators.archives import archived, entries, expand_archives
 from lectern.operators.pdfs import LARGEST, library_pages
 from lectern.plans import course
 from lectern.schema import as_resources
 from lectern.sinks.content_metadata import ContentMetadataSink, file_names
+from lectern.sinks.course_files import read_manifest
 from lectern.sources.course_dump import read_dump
 
 
@@ -120,12 +123,48 @@ def test_models_are_called_once_and_not_again_with_a_cache(spark, tmp_path):
     assert [r.title for r in make().run(spark).orderBy("ord").collect()] == [d["title"] for d in before] and documents(out) == before
     assert client.calls() == want
     # the images stand before the first heading, so the sheet itself is looked at
-    rows = make().stages[2](make().stages[1](make().stages[0](make().extract(spark))))
+    rows = make().stages[1](make().stages[0](make().extract(spark)))
     text = rows.where("path LIKE '%n.ipynb.md'").first().text
     assert "![png image of 5 bytes](i/x.png)" in text and "![webp image of 3 bytes](y.webp)" in text and "![u](z.blob)" in text and "![](gone.png)" in text
     assert client.calls() == want
 
 
+@pytest.mark.parametrize("cached", [False, True])
+def test_each_archive_is_opened_twice_a_run(spark, tmp_path, monkeypatch, cached):
+    """Once for its directory and once for its entries, documents and images together, however many stages follow."""
+    out, opened = tmp_path / "course", tmp_path / "opened"
+    opened.mkdir()
+    book = notebook("![own](i.PNG)\n# Exercise 1\nt")
+    dump(out / "lms", [("File_1", f"z{i}.zip", zipped({"n.ipynb": book, "a.pdf": f"# Exercise 1\np{i}", "i.PNG": "12345"}), "Homework") for i in range(3)])
+    real = archives.open_store
+
+    def counting(uri):
+        (opened / f"{uri.rsplit('/', 1)[1]}-{uuid.uuid4().hex}").touch()
+        return real(uri)
+
+    monkeypatch.setattr(archives, "open_store", counting)
+    # the functions that tasks run must carry the counting one, so they go by value
+    cloudpickle.register_pickle_by_value(archives)
+    try:
+        rows = course(dump=str(out / "lms"), output=str(out), info={}, lms_prefix="https://lms", cache=str(tmp_path / "cache") if cached else None).run(spark)
+    finally:
+        cloudpickle.unregister_pickle_by_value(archives)
+    assert rows.where("path LIKE '%n.ipynb%'").count() == 3 and rows.where("path LIKE '%a.pdf%'").count() == 3
+    names = [p.name.split("-")[0] for p in opened.iterdir()]
+    assert sorted(names) == sorted(["z0.zip", "z1.zip", "z2.zip"] * 2)
+
+
+def test_a_damaged_archive_does_not_stop_the_course(spark, tmp_path):
+    out = tmp_path / "course"
+    dump(out / "lms", [("File_1", "bad.zip", b"PK no", "Broken"), ("File_2", "a.md", SHEET % (b"one", b"two"), "Homework A")])
+    rows, report = course(dump=str(out / "lms"), output=str(out), info={}, lms_prefix="https://lms").report(spark)
+    assert [d["title"] for d in documents(out)] == ["Homework A > Exercise 1", "Homework A > Exercise 2"]
+    (failed,) = read_manifest(spark, str(out)).where("kind = 'failure'").collect()
+    assert failed.path.endswith("bad.zip") and "BadZipFile" in failed.reason
+    counts = {r.name: (r.rows, r.errors) for r in report.collect()}
+    assert counts == {"sources": (2, 0), "infer_metadata": (2, 0), "described_notebooks": (2, 1), "pdfs_to_markdown": (2, 1), "split_exercises": (3, 1)}
+
+
 def test_deeper_pages_and_odd_names(spark, tmp_path):
     dump(tmp_path, [("File_1", "a+b c.pdf", b"x", "T")])
     deep = tmp_path / "File_1" / "content" / "File_1"
