@@ -9,10 +9,12 @@ from __future__ import annotations
 import io
 import json
 import zipfile
-from collections.abc import Callable
-from dataclasses import replace
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
+from functools import partial
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,16 +22,23 @@ from pyspark.sql import types as T
 from lectern.functions import html as H
 from lectern.functions import paths as P
 from lectern.functions import rules as R
+from lectern.models.calls import calling
+from lectern.models.client import StandIn
+from lectern.models.remote import ModelError
 from lectern.operators import cache as C
 from lectern.operators import exercises as X
-from lectern.operators.archives import expand_archives
+from lectern.operators.archives import expand_archive_files, expand_archives
+from lectern.operators.cache import Cache
 from lectern.operators.gates import concatenate
 from lectern.operators.metadata import infer_metadata
 from lectern.operators.notebooks import describe_images, images_rewritten, notebooks_to_markdown
 from lectern.operators.pdfs import fenced, pdfs_to_markdown
-from lectern.runtime import new_path, ship
-from lectern.schema import as_resources, metadata
+from lectern.operators.rule_tables import infer_by_course, rules_table
+from lectern.plans.pipeline import Pipeline
+from lectern.runtime import materialise, new_path, open_store, ship
+from lectern.schema import METADATA_FIELDS, as_resources, metadata
 from lectern.sinks.content_metadata import ContentMetadataSink, content_paths, documents_by_source
+from lectern.sinks.course_files import read_manifest
 from lectern.sources.course_dump import last_links, resolve, section_links
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,10 +120,11 @@ def page_section_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.select("page_id", "section_title", "url", "title", F.col("ord")[1].alias("pos"))
 
 
-#: A small dump made of documents: every fifth is a resource page with two content links and maybe a platform link.
+#: A dump made of documents: each is a resource page with its text, two content links and maybe a platform link, one of them before and the others after the text.
 _DUMP = """
     SELECT doc_id, concat('File_', doc_id) AS folder, concat('p', doc_id, '.html') AS file,
-           concat('<html><main><a href="content/old.txt">x</a><a href="content/f', doc_id, '.pdf">y</a>',
+           concat('<html><a href="content/outside.txt">w</a><main><a href="content/old.txt">x</a><p>', replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'),
+                  '</p><a href="content/f', doc_id, '.pdf">y</a>',
                   CASE WHEN doc_id % 2 = 0 THEN concat('<a href="https://lms.example.org/r/', doc_id, '">z</a>') ELSE '' END,
                   '</main></html>') AS html,
            concat('./File_', doc_id, '/p', doc_id, '.html') AS url, concat('Sheet ', doc_id, ' (File)') AS title
@@ -305,6 +315,57 @@ def metadata_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full.withColumn("associated_video_lectures", F.array_join("associated_video_lectures", ","))
 
 
+#: Rules of a second course: days of the spring before, months by their Latin beginnings too, other keywords, nothing strict.
+_OTHER = R.CourseRules(
+    calendar={"2025-09-10": None, "2025-09-12": 1, "2025-10-01": 2, "2025-11-20": 3}, start="2025-09-01", end="2025-12-24",
+    keywords=(R.Keyword("homework", "theory", "reading"), R.Keyword("x", "odd", "letter", whole=False, in_week=True), R.Keyword("project", "practice", "lab", whole=False)),
+    otherwise=("none", "none"), homework=("theory", "reading"), notes=("odd", "letter"), solution="sheet", first_month=9, strict=False,
+)
+_OTHER_SQL = f"""
+    WITH b AS (
+        SELECT *, CASE WHEN kind = 'moodle' THEN section_title ELSE lower(title) END AS dated,
+               CASE WHEN kind = 'moodle' THEN lower(section_title) || chr(10) || lower(title) ELSE lower(title) END AS words FROM ({_TITLES})
+    ), c AS (
+        SELECT *, regexp_extract(dated, '^\\s*(\\d{{1,2}})\\s*-\\s*\\d{{1,2}}\\s+([A-Za-z]+)', 1) AS d,
+               list_position(['jan', 'fev', 'mar', 'avr', 'may', 'jui', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec'],
+                   lower(substr(regexp_extract(dated, '^\\s*(\\d{{1,2}})\\s*-\\s*\\d{{1,2}}\\s+([A-Za-z]+)', 2), 1, 3))) AS mm
+        FROM b
+    ), e AS (
+        SELECT *, CASE WHEN d = '' THEN DATE '2025-09-01' ELSE least(greatest(
+               make_date(CAST(CASE WHEN mm >= 9 THEN 2025 ELSE 2026 END AS INTEGER), CAST(mm AS INTEGER), CAST(d AS INTEGER)), DATE '2025-09-01'), DATE '2025-12-24') END AS day
+        FROM c
+    ), w AS (
+        SELECT *, CASE day WHEN DATE '2025-09-12' THEN 1 WHEN DATE '2025-10-01' THEN 2 WHEN DATE '2025-11-20' THEN 3 END AS wk,
+               CASE day WHEN DATE '2025-09-12' THEN DATE '2025-10-01' WHEN DATE '2025-10-01' THEN DATE '2025-11-20' WHEN DATE '2025-11-20' THEN DATE '2025-11-27' ELSE day END AS following
+        FROM e
+    ), k AS (
+        SELECT *, CASE WHEN regexp_matches(words, '(^|[^\\p{{L}}\\p{{N}}_])homework($|[^\\p{{L}}\\p{{N}}_])') THEN 'theory/reading'
+               WHEN contains(words, 'x') AND wk IS NOT NULL THEN 'odd/letter' WHEN contains(words, 'project') THEN 'practice/lab' ELSE 'none/none' END AS k
+        FROM w
+    )
+    SELECT o_orderkey, split_part(k, '/', 1) AS type, split_part(k, '/', 2) AS subtype, contains(words, 'sheet') AS is_solution, CAST(wk AS INTEGER) AS week,
+           CASE WHEN k = 'theory/reading' THEN CAST(CASE WHEN contains(words, 'sheet') THEN following ELSE day END AS VARCHAR) || 'T00:00:00.000000' END AS opens,
+           CASE WHEN mime_type = 'application/pdf' THEN CASE WHEN k = 'odd/letter' THEN 'google' ELSE 'gemini' END END AS processing_method
+    FROM k
+"""
+
+
+@query(f"""
+    SELECT 'autumn' AS course, * FROM ({_RULES_SQL}
+        SELECT o_orderkey AS id, split_part(k, '/', 1) AS type, split_part(k, '/', 2) AS subtype, solved AS is_solution, CAST(wk AS INTEGER) AS week,
+               CASE WHEN k = 'practice/homework' THEN CAST(last_date AS VARCHAR) || 'T00:00:00.000000' END AS opens,
+               CASE WHEN mime_type = 'application/pdf' THEN CASE WHEN k = 'theory/lecture_notes' THEN 'google' ELSE 'gemini' END END AS processing_method
+        FROM h) WHERE id % 3 <> 0
+    UNION ALL SELECT 'other', * FROM ({_OTHER_SQL}) WHERE o_orderkey % 3 = 0
+""")
+def two_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two courses in one job, each row by the rules of its own, which are rows of a table."""
+    rows = _order_resources(spark, sf_dir)
+    course = F.when(F.col("id") % 3 != 0, "autumn").otherwise("other")
+    found = infer_by_course(rows, rules_table(spark, {"autumn": RULES, "other": _OTHER}), course)
+    return found.select(course.alias("course"), "id", "type", "subtype", "is_solution", "week", F.col("from_").alias("opens"), "processing_method")
+
+
 # --- sources, sinks, cache ----------------------------------------------------------------------------------------
 
 
@@ -315,13 +376,23 @@ def _document_resources(spark: SparkSession, sf_dir: str, **more: Column) -> Dat
     return as_resources(docs, **(fixed | more))
 
 
+def _hashed(documents: str) -> Column:
+    """A hash over all fields of all of a part's metadata documents, in order."""
+    text = lambda d, f: F.coalesce(F.array_join(d[f], ",") if f == "associated_video_lectures" else d[f].cast("string"), F.lit("~"))
+    fields = [f.rstrip("_") for f in METADATA_FIELDS]
+    return F.sha2(F.array_join(F.transform(documents, lambda d: F.concat_ws("|", *[text(d, f) for f in fields])), "\n"), 256)
+
+
 @query("""
-    SELECT source, doc_id // 1000 AS part, CAST(count(*) AS BIGINT) AS n_docs, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids
+    SELECT source, doc_id // 1000 AS part, CAST(count(*) AS BIGINT) AS n_docs, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids,
+           sha256(string_agg(concat('Document ', doc_id, '|/out/d', doc_id, '|', doc_id, '|~|~|false|false|false|false|~|~|~|~|~|~|~|~|~|false|false|false|~|~'),
+                             chr(10) ORDER BY doc_id)) AS documents_sha256
     FROM documents GROUP BY 1, 2
 """)
 def docs_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = documents_by_source(_document_resources(spark, sf_dir), F.expr("id div 1000"))
-    return by.select("source", "part", "n_docs", F.array_join(F.transform("documents", lambda d: d["id"].cast("string")), ",").alias("ids"))
+    ids = F.array_join(F.transform("documents", lambda d: d["id"].cast("string")), ",")
+    return by.select("source", "part", "n_docs", ids.alias("ids"), _hashed("documents").alias("documents_sha256"))
 
 
 @query("""
@@ -399,6 +470,44 @@ def zip_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select("id", "title", "path", "mime_type", F.sha2("content", 256).alias("sha256"))
 
 
+#: Documents in one archive of ``archive_files``.
+_PER_ARCHIVE = 50
+
+
+@query(f"""
+    SELECT doc_id AS id, concat('Archive ', doc_id // {_PER_ARCHIVE}, ' > d', doc_id, '.md') AS title,
+           concat('z', doc_id // {_PER_ARCHIVE}, '.zip/t/d', doc_id, '.md') AS path, 'text/markdown' AS mime_type, sha256(coalesce(text, '')) AS sha256
+    FROM documents
+""")
+def archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of many documents, written to shared storage and read by range; each also holds an older entry of every name, and junk."""
+    folder = new_path(spark, "archives")
+    store, root = open_store(folder)
+    store.create_dir(root, recursive=True)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = open_store(folder)
+        for b in batches:
+            for key, docs in zip(b.column(0).to_pylist(), b.column(1)):
+                part = f"{root}/_{key}.{TaskContext.get().taskAttemptId()}"
+                with store.open_output_stream(part) as f, zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
+                    z.writestr("__MACOSX/._junk.md", "junk")
+                    for older in (True, False):
+                        for d in docs:
+                            z.writestr(zipfile.ZipInfo(f"t/d{d['doc_id'].as_py()}.md"), "older" if older else d["text"].as_py() or "")
+                store.move(part, f"{root}/z{key}.zip")
+            yield b.select([0])
+
+    docs = _table(spark, sf_dir, "documents").where("doc_id IS NOT NULL")
+    grouped = docs.groupBy(F.expr(f"doc_id div {_PER_ARCHIVE}").alias("key")).agg(F.collect_list(F.struct("doc_id", "text")).alias("docs"))
+    made = materialise(grouped.mapInArrow(write, "key long"), "archived")
+    path = F.concat(F.lit(f"{folder}/z"), F.col("key"), F.lit(".zip"))
+    zips = as_resources(made, title=F.concat(F.lit("Archive "), F.col("key")), source=F.lit("z"), url=path, path=path, mime_type=F.lit(P.ZIP))
+    files = expand_archive_files(zips, [P.MARKDOWN], own_folder=True)
+    id_of = F.regexp_extract("path", r"d(\d+)\.md$", 1).cast("long")
+    return files.select(id_of.alias("id"), "title", F.substring("path", len(folder) + 2, 1 << 30).alias("path"), "mime_type", F.sha2("content", 256).alias("sha256"))
+
+
 @F.arrow_udf(T.BinaryType())
 def _notebook(cells: pa.Array) -> pa.Array:
     out = []
@@ -476,6 +585,69 @@ def written_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(files, "path").select("source", "id", "title", "path", "sha256")
 
 
+@query("""
+    SELECT concat('content/d', doc_id) AS path, 'content' AS kind, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS bytes, sha256(coalesce(text, '')) AS sha256,
+           CAST(NULL AS BIGINT) AS documents FROM documents
+    UNION ALL SELECT concat('metadata/', source, '.json'), 'metadata', NULL, NULL, count(*) FROM documents GROUP BY source
+""")
+def written_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest after two runs: the first one's files, all under other paths, are gone from it and from the folders."""
+    out = new_path(spark, "course")
+    docs = _document_resources(spark, sf_dir, text=F.coalesce(F.col("text"), F.lit("")))
+    sink = ContentMetadataSink(out, {"course_title": "T"}, base="/out")
+    sink.load(docs.withColumn("path", F.concat(F.lit("/out/stale/"), F.col("id"))))
+    sink.load(docs)
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{out}/content")
+    there = there.select(F.concat(F.lit("content/"), F.element_at(F.split("path", "/content/"), -1)).alias("path"))
+    found = read_manifest(spark, out).join(there.withColumn("there", F.lit(True)), "path", "full")
+    size = lambda c: F.when(F.col("kind") == "content", F.col(c)).alias(c)
+    return found.where("kind = 'metadata' OR there IS NOT NULL").select("path", "kind", size("bytes"), size("sha256"), "documents")
+
+
+class _Wary(StandIn):
+    """Refuses texts with a number of characters that seven divides."""
+
+    def describe(self, image: bytes, mime_type: str) -> str:
+        if len(image.decode()) % 7 == 0:
+            raise ModelError("refused")
+        return super().describe(image, mime_type)
+
+
+@query("""
+    SELECT DISTINCT sha256(text) AS sha256, CASE WHEN length(text) % 7 = 0 THEN NULL ELSE concat('plain image of ', octet_length(encode(text)), ' bytes') END AS value,
+           CASE WHEN length(text) % 7 = 0 THEN 'refused' END AS error, CASE WHEN length(text) % 7 = 0 THEN 2 ELSE 1 END AS tries
+    FROM documents WHERE text IS NOT NULL
+""")
+def refused_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls drained from a queue, by two runs: what was answered is asked once, what was refused twice, and each has a record with its reason."""
+    cache, client = Cache(new_path(spark, "cache")), _Wary()
+    docs = _table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    ask = calling(lambda content: client.describe(content, "text/plain"))
+    reply = lambda d: d.select("sha256", ask("content").alias("r")).select("sha256", "r.value", "r.error")
+    calls = -(-docs.count() // 4 // spark.sparkContext.defaultParallelism)
+    for _ in range(2):
+        C.once(docs, F.lit(True), F.encode("text", "UTF-8"), "describe", reply, cache, max(16, calls))
+    cache.compact(spark)
+    return cache.records(spark, "describe").select("sha256", "value", "error", "tries")
+
+
+@query(f"""
+    WITH n AS ({_NAMED_SQL}), c AS (SELECT sha256, filename, max_by(concat('v', doc_id), doc_id % 4) AS value FROM n GROUP BY 1, 2 HAVING count(DISTINCT doc_id % 4) = count(*))
+    SELECT doc_id, value FROM n JOIN c USING (sha256, filename)
+""")
+def cache_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four appends, one after the other, compacted to a file a bucket between the third and the last; keys written twice by one append are left out."""
+    cache, named = Cache(new_path(spark, "cache")), _named(spark, sf_dir)
+    for i in range(4):
+        some = named.where(F.pmod("doc_id", F.lit(4)) == i)
+        cache.write(some.select(*C.KEY, F.concat(F.lit("v"), F.col("doc_id")).alias("value")), "named")
+        if i >= 2:
+            cache.compact(spark)
+    plain = named.groupBy(*C.KEY).agg((F.count_distinct(F.expr("pmod(doc_id, 4)")) == F.count(F.lit(1))).alias("plain")).where("plain").select(*C.KEY)
+    rows = named.select("doc_id", *C.KEY).join(plain, C.KEY)
+    return C.hits(rows, cache.lookup(rows, "named")).select("doc_id", "value")
+
+
 #: A turn's whole text; ASCII white space at its end would be cut with the snippet.
 _CLEAN_SQL = r"concat(regexp_replace(text, '[\x09-\x0D\x1C-\x20]+$', ''), '.')"
 
@@ -570,13 +742,41 @@ def pdf_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pdfs_to_markdown(rows).select("id", "path", "mime_type", "text")
 
 
+@query(f"""
+    WITH u AS ({_UNIQUE_SQL})
+    SELECT 0 AS stage, 'sources' AS name, count(DISTINCT conv_id) AS rows, 0 AS errors FROM conversations
+    UNION ALL SELECT 1, 'infer_metadata', count(DISTINCT conv_id), 0 FROM conversations
+    UNION ALL SELECT 2, 'split_exercises', (SELECT count(*) FROM u WHERE conv_id % 2 = 0 AND conv_id % 5 <> 4)
+        + (SELECT count(DISTINCT conv_id) FROM conversations WHERE NOT (conv_id % 2 = 0 AND conv_id % 5 <> 4)), 0
+""")
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a pipeline's run counts at each stage; types are set after the inference here, so that some sheets are split."""
+    sheets = materialise(_sheet_resources(spark, sf_dir), "sheets")
+
+    @dataclass(frozen=True)
+    class Sheets:
+        def extract(self, spark: SparkSession) -> DataFrame:
+            return sheets
+
+    def infer_metadata_(df: DataFrame) -> DataFrame:
+        kept = infer_metadata(df, replace(RULES, strict=False)).drop("type", "subtype")
+        return as_resources(kept, type=F.when(F.col("id") % 2 == 0, "practice"), subtype=F.when(F.col("id") % 2 == 0, "homework"))
+
+    infer_metadata_.__name__ = "infer_metadata"
+    stages = (infer_metadata_, partial(X.split_exercises, pairs=[("practice", "homework")]))
+    return Pipeline("sheets", (Sheets(),), stages).report(spark)[1]
+
+
 # --- the flagship: pages to metadata documents --------------------------------------------------------------------
 
 
 @query(f"""
     WITH l AS (SELECT page_id, url, title, pos FROM ({_LINKS_SQL}) WHERE starts_with(url, '/'))
     SELECT CASE WHEN page_id % 2 = 0 THEN 'even' ELSE 'odd' END AS source, CAST(page_id // 100 AS INTEGER) AS part, CAST(count(*) AS BIGINT) AS n_docs,
-           string_agg(title, '|' ORDER BY page_id, pos) AS titles
+           string_agg(title, '|' ORDER BY page_id, pos) AS titles,
+           sha256(string_agg(concat(title, '|', url, '|', '~|theory|lecture_slides|false|false|false|false|~|~|~|',
+               coalesce(nullif(array_to_string(regexp_extract_all(lower(title), '\\b(1[0-9]{{3}}|2[0-9]{{3}})\\b', 1), '-'), ''), '~'),
+               '|~|~|~|~|~|false|false|false|~|~'), chr(10) ORDER BY page_id, pos)) AS documents_sha256
     FROM l GROUP BY 1, 2
 """)
 def course_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -584,5 +784,5 @@ def course_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = as_resources(links, source=F.when(F.col("page_id") % 2 == 0, "even").otherwise("odd"), path=F.col("url"),
                         mime_type=P.guess_mime_type(F.col("url")), ord=F.array(F.col("page_id").cast("int"), F.col("pos")))
     by = documents_by_source(infer_metadata(rows, replace(RULES, strict=False)), F.floor(F.col("ord")[0] / 100).cast("int"))
-    return by.select("source", "part", "n_docs", F.array_join(F.transform("documents", lambda d: d["title"]), "|").alias("titles"))
+    return by.select("source", "part", "n_docs", F.array_join(F.transform("documents", lambda d: d["title"]), "|").alias("titles"), _hashed("documents").alias("documents_sha256"))
 
