@@ -16,12 +16,12 @@ from lectern.runtime import materialise, new_path, open_store
 
 KEY = ["sha256", "filename"]
 SCHEMA = "sha256 string, filename string, value string, at long, error string, tries int, scope string, bucket int"
-#: Keys are dealt to buckets by the first two digits of their hash.
-BUCKETS = 256
+#: Keys are dealt to buckets by the first six bits of their hash.
+BUCKETS = 64
 
 
 def bucket_of(sha256: Column) -> Column:
-    return F.coalesce(F.conv(F.substring(sha256, 1, 2), 16, 10).cast("int"), F.lit(0))
+    return F.coalesce((F.conv(F.substring(sha256, 1, 2), 16, 10).cast("int") * BUCKETS / 256).cast("int"), F.lit(0))
 
 
 def cache_key(df: DataFrame, content: str = "content", filename: str = "filename") -> DataFrame:
@@ -99,7 +99,7 @@ class Cache:
         error = F.col("error") if "error" in values.columns else F.lit(None).cast("string")
         tries = F.col("tries").cast("int") if "tries" in values.columns else F.lit(1)
         rows = values.select(*KEY, "value", F.unix_micros(F.current_timestamp()).alias("at"), error.alias("error"), tries.alias("tries"), F.lit(scope).alias("scope"))
-        self._put(rows.withColumn("bucket", bucket_of(F.col("sha256"))))
+        self._put(rows.withColumn("bucket", bucket_of(F.col("sha256"))).repartition("bucket"))
 
     def _put(self, rows: DataFrame) -> str:
         """Write rows as a folder that takes its name, by the time, when it is whole."""

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import io
 import json
+import warnings
 import zipfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
@@ -491,6 +492,7 @@ def archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             for key, docs in zip(b.column(0).to_pylist(), b.column(1)):
                 part = f"{root}/_{key}.{TaskContext.get().taskAttemptId()}"
                 with store.open_output_stream(part) as f, zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
+                    warnings.filterwarnings("ignore", "Duplicate name")  # they are meant
                     z.writestr("__MACOSX/._junk.md", "junk")
                     for older in (True, False):
                         for d in docs:
