@@ -102,3 +102,13 @@ def test_bound_keeps_similar_pairs():
     low = np.array([np.array(nearcopies.band_keys(np.unique(base))[1], np.int64).view(np.uint64), *low])
     i, j = nearcopies._may_be_similar(np.array([300] * 61), np.arange(61), low, Fraction("0.8"))
     assert {k + 1 for k in first} <= set(j[i == 0].tolist()) and len(first) > 40
+
+
+def test_pairs_at_the_bound(spark):
+    """A similarity of exactly 0.8 links, one shingle less does not: 404 or 403 of 504 words are 400 or 399 of 500 shingles."""
+    rows = []
+    for i in range(30):
+        text = [f"w{i}x{j}" for j in range(504)]
+        rows += [(3 * i, " ".join(text)), (3 * i + 1, " ".join(text[: 404 if i % 2 else 403]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in nearcopies.keep_one(docs).collect()) == sorted([3 * i for i in range(30)] + [3 * i + 1 for i in range(30) if i % 2 == 0])

@@ -1,6 +1,8 @@
 """Every registered query and the pipeline over the smallest tables: against SQL where there is some, else by brute force."""
 
+import base64
 import hashlib
+import itertools
 import re
 import zlib
 from pathlib import Path
@@ -8,12 +10,14 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
+import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lectern.llm import sharding, toxicity
-from lectern.llm.queries import ORACLE_SQL, PIECE_BPE, QUERIES, WORD_BPE, tokenizer_path
+from lectern.llm.queries import BYTE_BPE, ORACLE_SQL, PIECE_BPE, QUERIES, WORD_BPE, tokenizer_path
 from lectern.runtime import clean, shared_dir
 from tests.llm import test_alignment, test_migration
 
@@ -123,6 +127,52 @@ def test_packing_rows(spark):
     assert times == dict.fromkeys(texts, 1)
 
 
+def test_counts_fingerprints_and_edits_by_brute_force(spark):
+    """Every row of op1, op6 and op9 from their definitions."""
+    docs = read("documents").sort_values("doc_id")
+    texts = dict(zip(docs.doc_id.tolist(), [t or "" for t in docs.text]))
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(tokenizer_path(BYTE_BPE), "rb"))}
+    import public_tokenizers
+
+    encoding = tiktoken.Encoding("all", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    count = lambda t: len(encoding.encode_ordinary(t))
+    for r in QUERIES["op1_token_counts"](spark, str(DATA)).collect():
+        t = texts[r.doc_id]
+        n, half, quarter = len(t), len(t) // 2, len(t) // 4
+        edited = t[:half] + t[:60] + t[half + 40 :]
+        edited = edited[:quarter] + " it's 2 new words " + edited[quarter:]
+        edited = edited[7:]
+        assert (r.n_chars, r.n_tokens, r.edited_chars, r.edited_tokens) == (n, count(t), len(edited), count(edited))
+    prints = {}
+    for i, t in texts.items():
+        w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in words(t)]
+        shingles = [" ".join(w[j : j + 3]) for j in range(max(1, len(w) - 2))] if w else []
+        h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+        prints[i] = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    parent = {i: i for i in prints}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in itertools.combinations(sorted(prints), 2):
+        if (prints[i] ^ prints[j]).bit_count() <= 3:
+            a, b = find(i), find(j)
+            parent[max(a, b)] = min(a, b)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in QUERIES["op6_simhash_near_dedup"](spark, str(DATA)).collect()}
+    assert got == {i: (f"{p:016x}", find(i)) for i, p in prints.items()}
+    ids = sorted(texts)
+    own = {}
+    for r in QUERIES["op9_fingerprints"](spark, str(DATA)).collect():
+        t, after = texts[r.doc_id], texts[ids[(ids.index(r.doc_id) + 1) % len(ids)]]
+        cut = len(t) // 4
+        edited = t[: len(t) - cut] + after[:cut]
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        assert own.setdefault(t, r.fingerprint) == r.fingerprint
+
+
 def test_sentencepiece_alignment_and_rewrite_rows(spark):
     """Whole tables against the libraries and the definition."""
     docs = read("documents")
