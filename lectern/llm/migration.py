@@ -163,10 +163,15 @@ NARROW = {"balance": pa.float32(), "nation_id": pa.int32()}
 DEFAULTS = {"nation_id": -1, "city": "none"}
 
 
-def _before(counts: DataFrame) -> DataFrame:
-    """``part, n`` with the rows of earlier parts, over two levels, so that no window holds all parts."""
+def _before(counts: DataFrame, groups: int = 1024) -> DataFrame:
+    """``part, n`` with the rows of earlier parts, over two levels: parts within at most ``groups`` runs of them, and those runs.
+
+    So the one window over all runs holds a fixed number of rows at most, however many parts there are.
+    """
     upto = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counts = materialise(counts.withColumn("group", F.shiftright("part", 8)), "parts")
+    counts = materialise(counts, "parts")
+    last = counts.agg(F.max("part")).first()[0] or 0
+    counts = counts.withColumn("group", F.shiftright("part", max(0, last.bit_length() - groups.bit_length() + 1)))
     near = counts.withColumn("near", upto(Window.partitionBy("group").orderBy("part")))
     far = counts.groupBy("group").agg(F.sum("n").alias("n")).select("group", upto(Window.orderBy("group")).alias("far"))
     return near.join(far, "group").select("part", "n", (F.col("near") + F.col("far")).alias("before"))

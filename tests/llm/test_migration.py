@@ -143,3 +143,12 @@ def test_a_rewrite_that_runs_again_finds_its_input(spark, tmp_path):
     assert got == [(0, f"{folder}/a0.parquet", False), (9, f"{folder}/a1-evolved.parquet", True), (9, f"{folder}/a2-evolved.parquet", True)]
     again = spark.createDataFrame([(p,) for _, p, _ in got], "path string")
     assert [r.drift for r in M.rewrite(again, TARGET, M.DEFAULTS).collect()] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("parts, groups", [(1, 1024), (40, 8), (1000, 4), (7, 1)])
+def test_rows_before_a_part(spark, parts, groups):
+    sizes = [(i * 37) % 11 + 1 for i in range(parts)]
+    df = spark.createDataFrame(list(enumerate(sizes)), "part long, n long")
+    got = {r.part: (r.n, r.before) for r in M._before(df, groups).collect()}
+    assert got == {i: (n, sum(sizes[:i])) for i, n in enumerate(sizes)}
+    assert M._before(df.limit(0)).count() == 0
