@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from mimetypes import MimeTypes
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MARKDOWN, PDF, ZIP = "text/markdown", "application/pdf", "application/zip"
 IPYNB, MP4 = "application/x-ipynb+json", "video/mp4"
 
-#: File endings and their types.
-MIME_TYPES = {
+#: File endings and their types, where the standard library has none or, by version, another.
+_OWN_TYPES = {
     ".7z": "application/x-7z-compressed", ".aac": "audio/aac", ".avi": "video/x-msvideo", ".avif": "image/avif", ".bat": "text/plain",
     ".bib": "text/x-bibtex", ".bmp": "image/bmp", ".c": "text/plain", ".cpp": "text/x-c++src", ".css": "text/css", ".csv": "text/csv",
     ".doc": "application/msword",
@@ -28,6 +30,11 @@ MIME_TYPES = {
     ".xls": "application/vnd.ms-excel", ".xlsx": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet",
     ".xml": "text/xml", ".zip": ZIP,
 }
+#: Short endings of compressed files, and the ending that their content has.
+_SHORT = {short: MimeTypes(()).suffix_map[short].rsplit(".", 1)[0] for short in MimeTypes(()).suffix_map}
+_KNOWN = MimeTypes(()).types_map[True] | _OWN_TYPES
+#: All endings: the standard library's table, without this machine's own files, under the values above.
+MIME_TYPES = {short: _KNOWN[ending] for short, ending in _SHORT.items() if ending in _KNOWN} | _KNOWN
 #: Endings that only compress: the type is that of the name without them.
 COMPRESSED = (".gz", ".bz2", ".xz", ".z", ".br")
 

@@ -2,6 +2,7 @@
 
 import io
 import json
+import mimetypes
 import sys
 import threading
 import types
@@ -211,6 +212,11 @@ def test_types_agree_with_their_column_form(spark):
     df = spark.createDataFrame([(n,) for n in names], "p string")
     got = df.select("p", P.guess_mime_type(F.col("p")).alias("m"), P.is_junk(F.col("p")).alias("j")).collect()
     assert [r.m for r in got] == [P.mime_type_of(r.p) for r in got] and [r.j for r in got] == [P.of_junk(r.p) for r in got]
+    # endings of the standard library's table, whatever their case
+    known = mimetypes.MimeTypes(())
+    for ending, kind in known.types_map[True].items():
+        assert P.MIME_TYPES[ending] == kind or ending in P._OWN_TYPES
+    assert P.mime_type_of("a.TIF") == "image/tiff" and P.mime_type_of("a.svgz") == "image/svg+xml" and P.mime_type_of("b.txz") == "application/x-tar"
 
 
 class Endpoint(BaseHTTPRequestHandler):
