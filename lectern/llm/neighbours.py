@@ -66,21 +66,26 @@ def sides_of(width: int) -> int:
     return 2 << max(0, int(width - 1).bit_length())
 
 
-def probed(x: np.ndarray, table: int, hashes: int, seed: int, most: int) -> np.ndarray:
-    """For each row the ``most`` cells nearest to it, nearest first: those with the least loss against its own cell.
+def shortfalls(x: np.ndarray, table: int, hashes: int, seed: int) -> list[np.ndarray]:
+    """For each hash of a table how much shorter each row is along every signed axis than along its nearest.
 
-    The loss is the sum over the hashes of how much shorter the vector is along the cell's axis than along its nearest.
+    A row's loss at a cell is the sum of these over the cell's axes, added up in the hashes' order.
     """
+    lengths = (along(x, table, seed, i) for i in range(hashes))
+    return [y.max(axis=1, keepdims=True) - y for y in lengths]
+
+
+def probed(x: np.ndarray, table: int, hashes: int, seed: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the ``most`` cells of least loss, least first, and these losses."""
     sides = sides_of(x.shape[1])
     wide = min(sides, int(MOST_PROBES ** (1 / hashes) + 1e-9))
     loss, number = np.zeros((len(x), 1)), np.zeros((len(x), 1), np.int64)
-    for i in range(hashes):
-        lengths, near = along(x, table, seed, i), axes(x, table, seed, wide, i)
-        short = lengths.max(axis=1, keepdims=True) - np.take_along_axis(lengths, near, axis=1)
-        loss = (loss[:, :, None] + short[:, None, :]).reshape(len(x), -1)
+    for short in shortfalls(x, table, hashes, seed):
+        near = np.argsort(short, axis=1, kind="stable")[:, :wide]
+        loss = (loss[:, :, None] + np.take_along_axis(short, near, axis=1)[:, None, :]).reshape(len(x), -1)
         number = (number[:, :, None] * sides + near[:, None, :]).reshape(len(x), -1)
     order = np.argsort(loss, axis=1, kind="stable")[:, :most]
-    return np.take_along_axis(number, order, axis=1)
+    return np.take_along_axis(number, order, axis=1), np.take_along_axis(loss, order, axis=1)
 
 
 def usable(v: Column) -> Column:
@@ -131,7 +136,7 @@ def choose(queries: np.ndarray, found: np.ndarray, of: np.ndarray, rows: np.ndar
     for hashes in range(1, most_hashes + 1):
         near, met = [], []
         for t in range(tables):
-            order = probed(queries, t, hashes, seed, MOST_PROBES)
+            order = probed(queries, t, hashes, seed, MOST_PROBES)[0]
             place = [{c: i for i, c in enumerate(r)} for r in order.tolist()]
             far = order.shape[1]
             near.append([place[q].get(c, far) for q, c in zip(of.tolist(), cells(found, t, hashes, seed).tolist())])
@@ -147,7 +152,7 @@ def choose(queries: np.ndarray, found: np.ndarray, of: np.ndarray, rows: np.ndar
 
 
 def _top(qid: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int, slack: float) -> np.ndarray:
-    """Places of each query's ``k`` best ids, each id at its best; with ``slack``, also of all that near to the last or to an id's best."""
+    """Places of each query's ``k`` best ids, each id at its best; with ``slack``, of all that reach the last of these or come that near, all where ids are fewer."""
     order = np.lexsort((-score, ids, qid))
     q, i, s = qid[order], ids[order], score[order]
     head = np.flatnonzero(np.concatenate(([True], (q[1:] != q[:-1]) | (i[1:] != i[:-1]))))
@@ -158,56 +163,59 @@ def _top(qid: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int, slack: flo
     rank = np.arange(len(hq)) - np.repeat(first, np.diff(np.append(first, len(hq))))
     if not slack:
         return order[head[by[rank < k]]]
-    last = np.minimum(first + k, np.append(first[1:], len(hq))) - 1
-    cut = np.repeat(best[by[last]], np.diff(np.append(first, len(hq))))
+    each = np.diff(np.append(first, len(hq)))
+    last = np.where(each < k, -np.inf, best[by[first + np.minimum(each, k) - 1]])
     least = np.empty(len(head))
-    least[by] = cut
-    spans = np.diff(np.append(head, len(s)))
-    return order[(s >= np.repeat(least, spans) - slack) & (s >= np.repeat(best, spans) - slack)]
+    least[by] = np.repeat(last, each)
+    return order[s >= np.repeat(least, np.diff(np.append(head, len(s)))) - slack]
+
 
+def _search(k: int, plan: Plan | None, seed: int):
+    """The ``k`` best ids for each query of a group among the rows of the cells that it probes: those of a loss up to its ``bound``.
 
-def _search(k: int):
-    """The ``k`` best ids for each query of a group: queries carry the parts of the cell that they probe, rows the part they lie in."""
+    Without a ``plan`` it probes all.
+    """
 
-    def run(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"qid": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
         if not len(q) or not len(x):
             return none
-        x = x.sort_values("part", kind="stable")
-        part, xs, qs = x["part"].to_numpy(), _matrix(x["v"]), _matrix(q["v"])
+        x = x.sort_values("cell", kind="stable")
+        cell, xs, qs = x["cell"].to_numpy(), _matrix(x["v"]), _matrix(q["v"])
         xu, qu = unit(xs), unit(qs)
-        lists = q["parts"].to_numpy()
-        wants = np.repeat(np.arange(len(q)), [len(p) for p in lists])
-        asked = np.concatenate(lists)
-        order = np.argsort(asked, kind="stable")
-        asked, wants = asked[order], wants[order]
-        a, b, rough = [], [], []
-        starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), len(part)]):
-            who = wants[np.searchsorted(asked, part[lo], "left") : np.searchsorted(asked, part[lo], "right")]
-            for at in range(0, len(who), 1024):
-                w = who[at : at + 1024]
+        ids, qid, bound = x["ids"].to_numpy(), q["qid"].to_numpy(), q["bound"].to_numpy()
+        own = np.array([i[0] for i in ids])
+        starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))).tolist()
+        sides, out = sides_of(xs.shape[1]), []
+        for at in range(0, len(qs), 1024):
+            short = shortfalls(qu[at : at + 1024], int(key[0]) % plan.tables, plan.hashes, seed) if plan else []
+            n, a, b, rough = len(qu[at : at + 1024]), [], [], []
+            for lo, hi in zip(starts, [*starts[1:], len(cell)]):
+                loss = np.zeros(n)
+                for i, s in enumerate(short):
+                    loss = loss + s[:, int(cell[lo]) // sides ** (len(short) - 1 - i) % sides]
+                w = at + np.flatnonzero(loss <= bound[at : at + n] + 1e-9)
+                if not len(w):
+                    continue
                 s = qu[w] @ xu[lo:hi].T
-                # of one part's rows no more than the k best can stay; ties and rounding are kept
-                if s.shape[1] > 4 * k:
+                # of one cell's rows no more than the k best can stay, if they are of different ids; ties and rounding are kept
+                if s.shape[1] > 4 * k and len(np.unique(own[lo:hi])) == hi - lo:
                     i, j = np.nonzero(s >= np.partition(s, -2 * k, axis=1)[:, [-2 * k]] - 1e-9)
                 else:
                     i, j = np.nonzero(np.ones(s.shape, bool))
                 a.append(w[i])
                 b.append(lo + j)
                 rough.append(s[i, j])
-        if not a:
-            return none
-        a, b, rough = np.concatenate(a), np.concatenate(b), np.concatenate(rough)
-        ids = x["ids"].to_numpy()
-        return _exact(q["qid"].to_numpy(), qs, xs, ids, a, b, rough, k)
+            if a:
+                out.append(_exact(qid, qs, xs, ids, np.concatenate(a), np.concatenate(b), np.concatenate(rough), k))
+        return pd.concat(out) if out else none
 
     return run
 
 
 def _exact(qid: np.ndarray, qs: np.ndarray, xs: np.ndarray, ids: np.ndarray, a: np.ndarray, b: np.ndarray, rough: np.ndarray, k: int) -> pd.DataFrame:
-    """Rank the pairs ``(a, b)`` of queries and rows: by rough scores down to few, then exactly; a row stands for several ids."""
-    few = _top(a, b, rough, k, 1e-9)
+    """Rank the pairs ``(a, b)`` of queries and rows: by rough scores down to few, then exactly; a row stands for several ids, and an id may have several rows."""
+    few = _top(a, np.array([i[0] for i in ids])[b], rough, k, 1e-9)
     a, b = a[few], b[few]
     s = cosines(qs[a], xs[b])
     held = [ids[i] for i in b.tolist()]
@@ -228,7 +236,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = 4, re
     found exactly, and the plan that compares least while it finds ``recall`` of them is taken; a given number of
     ``probes`` is used instead, with one hash a table. Every row is indexed.
     Equal vectors are one entry of the index with their ``k`` + 1 smallest ids, beyond which no query looks. Rows are
-    dealt by the cell, or by its first axis where a group so stays small; groups of more than ``block`` are cut into
+    dealt by runs of cells of about ``block`` rows; a query is sent once to each run that it probes in, with the greatest
+    loss that it probes at, from which the task finds its cells. Runs of more rows are cut into
     blocks, each met by each block of queries in a task's group of its own. A query that finds fewer than ``k`` so is
     compared with all rows, in such blocks, as are vectors of another length than most, among themselves. Scores are
     exact cosines of the original vectors.
@@ -259,11 +268,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = 4, re
     main, ask = index.where(F.col("d") == width), asked.where(F.col("d") == width)
     plan = Plan(1, tables, probes, 0.0, 0.0) if probes else fit(ask, main, rows, width, k, tables, recall, seed, sample)
 
-    sides = sides_of(width)
-    whole = plan.hashes
-    while whole > 1 and rows / sides ** (whole - 1) <= block:
-        whole -= 1
-    below = sides ** (plan.hashes - whole)  # cells of one dealing group
+    # a dealing group is a run of cells that holds about a block of rows
+    below = max(1, sides_of(width) ** plan.hashes * block // rows)
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def lies(vs: pa.Array) -> pa.Array:
@@ -271,34 +277,28 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = 4, re
         at = np.stack([cells(x, t, plan.hashes, seed) for t in range(plan.tables)], axis=1) if len(x) else np.empty((0, plan.tables), np.int64)
         return pa.array(list(at), pa.list_(pa.int64()))
 
-    group = "struct<g:bigint,parts:array<bigint>>"
-
-    @F.arrow_udf(f"array<{group}>")
+    @F.arrow_udf("array<struct<g:bigint,bound:double>>")
     def looks(vs: pa.Array) -> pa.Array:
         out: list[list] = [[] for _ in range(len(vs))]
         x = unit(_matrix(vs)) if len(vs) else np.empty((0, 1))
         for t in range(plan.tables if len(vs) else 0):
-            for i, near in enumerate(probed(x, t, plan.hashes, seed, plan.probes)):
-                near = np.sort(near)
-                g, at = np.unique(near // below, return_index=True)
-                for j, parts in zip(g.tolist(), np.split(near % below, at[1:])):
-                    out[i].append({"g": j * plan.tables + t, "parts": parts})
-        return pa.array(out, pa.list_(pa.struct([("g", pa.int64()), ("parts", pa.list_(pa.int64()))])))
-
-    at = F.posexplode(lies("v")).alias("t", "c")
-    dealt = main.select("v", "ids", "h1", at)
-    deal = F.expr(f"(c div {below}L) * {plan.tables}L + t")
-    dealt = dealt.select("v", "ids", "h1", deal.alias("g"), F.expr(f"c % {below}L").alias("part"))
-    probing = ask.select("qid", "v", F.explode(looks("v")).alias("l")).select("qid", "v", "l.g", "l.parts")
-    found = materialise(_best(probing, dealt, k + 1, block), "found")
+            near, loss = probed(x, t, plan.hashes, seed, plan.probes)
+            for i, g in enumerate(near // below):
+                out[i] += [{"g": j * plan.tables + t, "bound": loss[i, -1]} for j in np.unique(g).tolist()]
+        return pa.array(out, pa.list_(pa.struct([("g", pa.int64()), ("bound", pa.float64())])))
+
+    at = F.posexplode(lies("v")).alias("t", "cell")
+    dealt = main.select("v", "ids", "h1", at).withColumn("g", F.expr(f"(cell div {below}L) * {plan.tables}L + t")).drop("t")
+    probing = ask.select("qid", "v", F.explode(looks("v")).alias("l")).select("qid", "v", "l.g", "l.bound")
+    found = materialise(_best(probing, dealt, k + 1, block, plan, seed), "found")
 
     # those that found too few, and other lengths among themselves: one cell for each length
     full = found.groupBy("qid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > k)
     rest = materialise(asked.join(full, "qid", "left_anti"), "rest")
     if not rest.isEmpty():
-        every = index.select("v", "ids", "h1", F.col("d").cast("long").alias("g"), F.lit(0).cast("long").alias("part"))
-        again = rest.select("qid", "v", F.col("d").cast("long").alias("g"), F.array(F.lit(0).cast("long")).alias("parts"))
-        exact = materialise(_best(again, every, k + 1, block), "found")
+        every = index.select("v", "ids", "h1", F.col("d").cast("long").alias("g"), F.lit(0).cast("long").alias("cell"))
+        again = rest.select("qid", "v", F.col("d").cast("long").alias("g"), F.lit(0.0).alias("bound"))
+        exact = materialise(_best(again, every, k + 1, block, None, seed), "found")
         found = found.join(rest.select("qid"), "qid", "left_anti").unionByName(exact)
     named = found.join(asked.select("qid", "h1", "h2"), "qid").join(wanted, ["h1", "h2"]).where("id <> vec_id")
     named = named.groupBy(F.col("id").alias("query_id"), "vec_id").agg(F.max("score").alias("score"))
@@ -306,8 +306,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, tables: int = 4, re
     return named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _best(asked: DataFrame, index: DataFrame, k: int, block: int) -> DataFrame:
-    """``qid, vec_id, score``: the ``k`` best ids of each query ``(qid, v, g, parts)`` among rows ``(v, ids, h1, g, part)`` of its groups."""
+def _best(asked: DataFrame, index: DataFrame, k: int, block: int, plan: Plan | None, seed: int) -> DataFrame:
+    """``qid, vec_id, score``: the ``k`` best ids of each query ``(qid, v, g, bound)`` among rows ``(v, ids, h1, g, cell)`` of its groups; see ``_search``."""
     parts = lambda rows, name: rows.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias(name))
     split = materialise(parts(index, "ni").join(parts(asked, "nq"), "g"), "groups")
 
@@ -319,7 +319,7 @@ def _best(asked: DataFrame, index: DataFrame, k: int, block: int) -> DataFrame:
 
     by = ["g", "bi", "bq"]
     left, right = dealt(asked, "nq", "ni", "qid"), dealt(index, "ni", "nq", "h1")
-    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(_search(k), "qid long, vec_id long, score double")
+    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(_search(k, plan, seed), "qid long, vec_id long, score double")
     found = found.groupBy("qid", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k).drop("at")

@@ -152,3 +152,12 @@ def test_scores_of_very_large_and_small_vectors(spark):
     assert found[0] == found[1] and len(found[0]) == 20 and all(r[3] is not None for r in found[0])
     q, v = np.full((1, 3), 1e200), np.full((1, 3), 1e-200)
     assert cosines(q, v)[0] == pytest.approx(1.0)
+
+
+def test_an_id_that_shares_a_vector_with_a_better_placed_id_is_found(spark):
+    """Id 1 has a nearer vector of its own, so its second row counts for id 9 only; rows of one id do not use up places."""
+    rows = [(0, [1.0, 0.0, 0.0]), (1, [1.0, 0.01, 0.0]), (1, [1.0, 0.05, 0.0]), (9, [1.0, 0.05, 0.0])]
+    rows += [(1, [1.0, 0.02 + i / 1e4, 0.0]) for i in range(30)] + [(i, [1.0, 0.1 * i, 0.0]) for i in range(2, 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["rank"], r.vec_id) for r in nearest(df, F.col("vec_id") == 0, probes=8).collect())
+    assert got == [(1, 1), (2, 9), (3, 2), (4, 3), (5, 4)]
