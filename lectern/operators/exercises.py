@@ -69,11 +69,22 @@ def file_of(number: Column, legacy_suffix: bool = False) -> Column:
     return F.concat(stem(safe) if legacy_suffix else safe, F.lit(".md"))
 
 
+def files_of(exercises: Column) -> Column:
+    """``file, number, snippet`` of a document's unique exercises; a number with a slash whose file name another has as well gets a part of its hash."""
+
+    def name(e: Column) -> Column:
+        shared = F.size(F.filter(exercises, lambda x: file_of(x["number"]) == file_of(e["number"]))) > 1
+        apart = F.concat(e["number"], F.lit("-"), F.substring(F.sha2(e["number"].cast("binary"), 256), 1, 8))
+        return file_of(F.when(shared & F.contains(e["number"], F.lit("/")), apart).otherwise(e["number"]))
+
+    return F.transform(exercises, lambda e: F.struct(name(e).alias("file"), e["number"].alias("number"), e["snippet"].alias("snippet")))
+
+
 def split_exercises(df: DataFrame, pairs: list[tuple[str, str]] | None = None, client: ModelClient | None = None, legacy_suffix: bool = False, cache: Cache | None = None, own_folder: bool = False) -> DataFrame:
     """Markdown rows of the given (type, subtype) pairs replaced by a row for each exercise; others pass.
 
     A text without exercises disappears. New rows come in the order of their file names, by code point, and are one
-    chunk each; their solution flag is the document's. Their files go to ``exercises/`` beside the document, or with
+    chunk each; their solution flag is the document's. No two numbers of a document share a file name. Their files go to ``exercises/`` beside the document, or with
     ``own_folder`` into a folder named as the document, so that no two sheets' exercises meet. A client other than the
     stand-in is called once for each distinct text, and its replies are kept; in the ``cache``, if there is one. A sheet that it refuses passes whole.
     """
@@ -91,11 +102,9 @@ def split_exercises(df: DataFrame, pairs: list[tuple[str, str]] | None = None, c
         found = once(df, gate, F.encode(text, "UTF-8"), f"split-1-{client.name}", reply, cache)
         found = found.withColumn("__found", F.coalesce(parse_reply(F.col("__value")), F.array().cast(EXERCISES)))
         gate = gate & (F.col("__value").isNotNull() | text.isNull())  # a refused sheet stays whole
-    named = F.transform(
-        unique_exercises(F.col("__found")),
-        lambda e: F.struct(file_of(e["number"], legacy_suffix).alias("file"), e["number"].alias("number"), e["snippet"].alias("snippet")),
-    )
-    found = found.withColumn("__named", named)
+    found = found.withColumn("__unique", unique_exercises(F.col("__found")))
+    old = lambda e: F.struct(file_of(e["number"], True).alias("file"), e["number"].alias("number"), e["snippet"].alias("snippet"))
+    found = found.withColumn("__named", F.transform("__unique", old) if legacy_suffix else files_of(F.col("__unique")))
     if legacy_suffix:  # of one file name the last counts
         later = lambda e, i: F.exists(F.slice("__named", i + 2, F.size("__named")), lambda x: x["file"] == e["file"])
         found = found.withColumn("__named", F.filter("__named", lambda e, i: ~later(e, i)))

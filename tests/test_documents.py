@@ -9,7 +9,7 @@ from lectern.functions import paths as P
 from lectern.models.client import StandIn
 from lectern.operators.archives import entries, expand_archives
 from lectern.operators.cache import Cache
-from lectern.operators.exercises import dedup_exercises, parse_reply, split_exercises, unique_exercises
+from lectern.operators.exercises import dedup_exercises, files_of, parse_reply, split_exercises, unique_exercises
 from lectern.operators.notebooks import describe_images, images_rewritten, markdown_of, notebooks_to_markdown
 from lectern.operators.pdfs import clamped, fenced, pdfs_to_markdown, png_data_url
 from lectern.schema import as_resources, check_schema
@@ -224,3 +224,14 @@ def test_paths(spark):
     assert strip == "a b"
     with pytest.raises(Exception, match="is not below"):
         df.select(P.relative_to(p, "/other")).collect()
+
+
+def test_numbers_that_would_share_a_file_name(spark):
+    """1/2 and 1_2 are two exercises with a file each; alone, a slash is an underscore."""
+    schema = "k int, e array<struct<snippet:string,number:string,is_solution:boolean>>"
+    rows = [(1, [("a", "1/2", False), ("b", "1_2", False), ("c", "3/4", False)]), (2, [("a", "1/2/3", False), ("b", "1_2/3", True)]), (3, []), (4, None)]
+    got = {r.k: r.f for r in spark.createDataFrame(rows, schema).select("k", files_of(F.col("e")).alias("f")).collect()}
+    names = {k: [e.file for e in f] for k, f in got.items() if f is not None}
+    assert names[1][1:] == ["1_2.md", "3_4.md"] and names[1][0].startswith("1_2-") and names[1][0].endswith(".md")
+    assert len(set(names[2])) == 2 and all("/" not in n for n in names[1] + names[2])
+    assert [e.number for e in got[1]] == ["1/2", "1_2", "3/4"] and names[3] == [] and got[4] is None
