@@ -35,6 +35,11 @@ class ModelError(RuntimeError):
     """The endpoint gave no usable reply."""
 
 
+def image_url(image: bytes, mime_type: str = PNG) -> str:
+    """An image as a data URL, the form in which a message carries it."""
+    return f"data:{mime_type};base64,{base64.b64encode(image).decode()}"
+
+
 @dataclass(frozen=True)
 class RemoteClient:
     """The model ``name`` at ``base_url``. Calls are tried ``tries`` times, with growing pauses, where that may help."""
@@ -80,8 +85,7 @@ class RemoteClient:
         raise ModelError(f"no reply from {self.base_url}: {error}") from error
 
     def _with_image(self, text: str, image: bytes, mime_type: str) -> str:
-        url = f"data:{mime_type};base64,{base64.b64encode(image).decode()}"
-        return self.request([{"type": "text", "text": text}, {"type": "image_url", "image_url": {"url": url}}])
+        return self.request([{"type": "text", "text": text}, {"type": "image_url", "image_url": {"url": image_url(image, mime_type)}}])
 
     def transcribe(self, page: bytes) -> str:
         return self._with_image(_TRANSCRIBE, page, PNG)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import base64
 import json
 from collections.abc import Callable, Iterable, Iterator
 
@@ -12,7 +11,8 @@ from pyspark.sql import functions as F
 
 from lectern.functions.paths import MARKDOWN, PDF, with_suffix
 from lectern.models.calls import calling, parallel_of
-from lectern.models.client import PNG, ModelClient, StandIn
+from lectern.models.client import ModelClient, StandIn
+from lectern.models.remote import image_url
 from lectern.operators.cache import Cache, hits, once
 from lectern.operators.gates import change_where, in_pairs, passes
 from lectern.runtime import materialise, ship
@@ -35,7 +35,7 @@ def clamped(width: int, height: int, most: tuple[int, int] = LARGEST) -> tuple[i
 
 
 def png_data_url(png: bytes) -> str:
-    return f"data:{PNG};base64," + base64.b64encode(png).decode()
+    return image_url(png)
 
 
 def library_pages(content: bytes, dpi: int = 72) -> Iterator[bytes]:
