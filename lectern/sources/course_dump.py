@@ -15,15 +15,15 @@ from lectern.schema import LMS, as_resources
 PREFIXES = ("./File",)
 
 
-def section_links(pages: DataFrame, prefixes: tuple[str, ...] = PREFIXES, header: str = "h3") -> DataFrame:
+def section_links(pages: DataFrame, prefixes: tuple[str, ...] = PREFIXES, header: str = "h3", entities: tuple[str, ...] | None = None) -> DataFrame:
     """``pages(html, ...)`` to one row a kept link: the other columns, ``section_title, section_text, url, title, ord``.
 
     Links are kept before any row is made; a section without one gives none. ``ord`` is (section, link), from 0, in
-    document order.
+    document order. ``entities`` as in ``html.sections``.
     """
     ship(pages.sparkSession)
     keep = [c for c in pages.columns if c != "html"]
-    found = pages.select(*keep, F.posexplode(H.sections_of(F.col("html"), header)).alias("__s", "__section"))
+    found = pages.select(*keep, F.posexplode(H.sections_of(F.col("html"), header, entities)).alias("__s", "__section"))
     links = F.filter(
         F.transform(F.col("__section.links"), lambda x, i: F.struct(i.alias("i"), x["url"].alias("url"), x["title"].alias("title"))),
         lambda x: H.starts_with_any(x["url"], prefixes),

@@ -1,7 +1,9 @@
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from lectern.functions.html import anchors, sections
+from lectern.queries import ORACLE_SQL, QUERIES
 from lectern.sources.course_dump import last_links, link_target, read_dump, resolve, section_links
 
 INDEX = """<html><body><h3> 3 - 4 <b>Octob</b> </h3>before<p>Text <i>one</i></p>
@@ -21,6 +23,25 @@ def test_sections():
     assert sections(None) == sections("") == []
 
 
+def test_entities_that_are_read():
+    page = "<h3>a &amp; b&amp;&amp</h3><p>&lt;x&gt; &nbsp &#65; &amp;lt;</p>"
+    assert [(s["section_title"], s["section_text"]) for s in sections(page)] == [("a & b&&", "<x> \xa0 A &lt;")]
+    assert [(s["section_title"], s["section_text"]) for s in sections(page, entities=("amp", "lt", "gt"))] == [("a & b&&amp", "<x> &nbsp &#65; &lt;")]
+    assert sections(None, entities=("amp",)) == []
+
+
+@pytest.mark.parametrize("name", ["page_section_links"])
+def test_texts_cut_within_an_entity_are_read_as_in_sql(spark, tmp_path, name):
+    page = lambda t: f"<html><head><title>{t}</title></head><body><article><h1>{t}</h1><p>x &amp y<a href=\"/u\">u</a></p></article></body></html>"
+    rows = [(i, page(t)) for i, t in enumerate(["a&amp;&amp;&amp", "b &lt", "c&amp;lt; &quot", "d &gt;&am", "e &amp;"])]
+    spark.createDataFrame(rows, "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    got = QUERIES[name](spark, str(tmp_path))
+    want = duck.sql(ORACLE_SQL[name])
+    assert sorted(tuple(r) for r in got.select(*want.columns).collect()) == sorted(want.fetchall()) and got.count() == len(rows)
+
+
 def test_anchors():
     assert anchors("<p><a href='1'>x</a><a>no</a></p>") == [{"url": "1", "title": "x"}]
     assert anchors("<p></p>", "main") is None
