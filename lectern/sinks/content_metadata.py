@@ -49,7 +49,9 @@ class ContentMetadataSink:
         failed = F.coalesce(F.col("kind") == ERROR, F.lit(False))
         good = df.where(~failed)
         note = df.where(failed).select(F.lit(FAILURE).alias("what"), "path", *_empty("source", "data"), F.coalesce("section_text", F.lit("")).alias("doc"))
-        write_files(self._content(good).union(self._metadata(content_paths(good, self.base))).union(note), self.output, self.course_info)
+        content = self._content(good)
+        # metadata first: the task of a large source takes longest
+        write_files(self._metadata(content_paths(good, self.base)).union(content).union(note), self.output, self.course_info)
 
     def _content(self, df: DataFrame) -> DataFrame:
         to, data = relative_to(F.col("path"), self.base, "content/").alias("to"), F.coalesce(F.encode("text", "UTF-8"), F.col("content")).alias("data")
